@@ -1,0 +1,7 @@
+"""Streaming.
+
+The workload this library reproduces is batch only: every input is read in
+full, there is no event time, watermark, windowed aggregation or stateful
+operator to express.  The package is kept so the layout is uniform; nothing
+is registered here.
+"""
