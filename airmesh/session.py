@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -71,4 +72,20 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     was hash-partitioned on a join key stays co-partitioned afterwards.
     """
     ensure_checkpoint_dir(df.sparkSession)
+    # The write job that follows the eager count re-runs only the last stage:
+    # earlier stages are served from the count job's shuffle files.
     return df.checkpoint(eager=True)
+
+
+def materialize(df: DataFrame, name: str = "state") -> DataFrame:
+    """Write ``df`` as a parquet table under the checkpoint folder and read it back.
+
+    One job computes and writes the rows (no second pass as with an RDD
+    checkpoint); the returned frame's lineage is just the file scan, so a lost
+    executor re-reads files instead of recomputing earlier rounds.
+    """
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    path = f"{base}/airmesh-tables/{name}-{uuid.uuid4().hex}"
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
