@@ -60,7 +60,8 @@ def pagerank(graph: Graph, tol: float | None = 1e-5, max_iter: int | None = None
         )
         new = ranks.select("id", F.col("rank").alias("prev")).join(contrib, "id", "left").select(
             "id", (F.lit(reset) + F.lit(1.0 - reset) * F.coalesce(F.col("s"), F.lit(0.0))).alias("rank"), "prev")
-        ranks = cut_lineage(new)
+        # the convergence aggregate is the action that computes and checkpoints the round
+        ranks = cut_lineage(new, eager=tol is None)
         if tol is not None:
             delta = ranks.agg(F.max(F.abs(F.col("rank") - F.col("prev")))).first()[0]
             if delta is None or delta < tol:

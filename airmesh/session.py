@@ -65,16 +65,18 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     return sc.getCheckpointDir() or scratch
 
 
-def cut_lineage(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` to the reliable checkpoint folder and return it.
+def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
+    """Mark ``df`` for the reliable checkpoint folder and return the truncated frame.
 
     The returned plan keeps the output partitioning of ``df`` so a frame that
     was hash-partitioned on a join key stays co-partitioned afterwards.
+    With ``eager`` the rows are written now; otherwise the first action on the
+    returned frame computes them and the write follows that job, re-running
+    only its last stage from the job's shuffle files — iterative loops use
+    their per-round convergence test as that action.
     """
     ensure_checkpoint_dir(df.sparkSession)
-    # The write job that follows the eager count re-runs only the last stage:
-    # earlier stages are served from the count job's shuffle files.
-    return df.checkpoint(eager=True)
+    return df.checkpoint(eager=eager)
 
 
 def materialize(df: DataFrame, name: str = "state") -> DataFrame:
