@@ -41,7 +41,7 @@ def label_propagation(graph: Graph, max_steps: int = MAX_STEPS) -> DataFrame:
         .union(e.select(F.col("dst").alias("sender"), F.col("src").alias("receiver")))
         .groupBy("sender", "receiver").agg(F.count(F.lit(1)).alias("mult"))
     )
-    degrees = votes_edges.groupBy(F.col("sender").alias("id")).agg(F.sum("mult").alias("degree"))
+    degrees = votes_edges.groupBy(F.col("sender").alias("id")).agg(F.count(F.lit(1)).alias("degree"))
     hot = find_hot_keys(degrees, votes_edges.count())
     ids = cut_lineage(all_vertex_ids(graph))
     labels = cut_lineage(ids.select("id", F.col("id").alias("label"), F.col("id").alias("prev"),

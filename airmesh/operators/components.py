@@ -56,12 +56,12 @@ def _small_star(e: DataFrame) -> DataFrame:
 
 
 def _is_star_forest(e: DataFrame) -> bool:
-    """Every vertex points at one parent and no parent has a parent itself."""
-    multi = e.groupBy("a").count().filter(F.col("count") > 1).limit(1).count()
-    if multi:
-        return False
-    chained = e.select(F.col("b").alias("a")).distinct().join(e.select("a"), "a", "left_semi").limit(1).count()
-    return chained == 0
+    """Every vertex points at one parent and no parent has a parent itself (one aggregate)."""
+    roles = e.select(F.col("a").alias("v"), F.lit(1).alias("child"), F.lit(0).alias("parent")).union(
+        e.select(F.col("b").alias("v"), F.lit(0).alias("child"), F.lit(1).alias("parent")))
+    per = roles.groupBy("v").agg(F.sum("child").alias("c"), F.max("parent").alias("p"))
+    bad = per.filter((F.col("c") > 1) | ((F.col("c") >= 1) & (F.col("p") == 1)))
+    return bad.limit(1).count() == 0
 
 
 def connected_components(graph: Graph, max_rounds: int = MAX_ROUNDS) -> DataFrame:

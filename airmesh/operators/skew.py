@@ -45,6 +45,8 @@ def find_hot_keys(degrees: DataFrame, n_edges: int, key: str = "id", degree: str
     spark = degrees.sparkSession
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     threshold = hot_threshold(n_edges, partitions)
+    if n_edges <= threshold:  # no key can exceed the threshold: skip the scan
+        return HotKeys(None, 0, threshold)
     hot = degrees.filter(F.col(degree) > threshold).select(F.col(key).alias("id"))
     count = hot.count()
     if count == 0:

@@ -89,7 +89,7 @@ def q_adjacency(spark, sf_dir):
     body="""SELECT (SELECT count(*) FROM airport) AS n_declared, (SELECT count(*) FROM ids) AS n_vertices,
        (SELECT count(*) FROM ids) - (SELECT count(*) FROM airport) AS n_ghosts,
        (SELECT count(*) FROM route) AS n_edges,
-       (SELECT coalesce(sum(CASE WHEN src_id = dest_id THEN 1 ELSE 0 END), 0) FROM route) AS n_self_loops"""))
+       (SELECT CAST(coalesce(sum(CASE WHEN src_id = dest_id THEN 1 ELSE 0 END), 0) AS BIGINT) FROM route) AS n_self_loops"""))
 def q_graph_summary(spark, sf_dir):
     airports, _, routes = _ctx(spark, sf_dir)
     return graph.graph_summary(graph.build_graph(airports, routes))

@@ -20,17 +20,17 @@ from .sqltext import SENSOR, with_ctes
 # ---------------------------------------------------------------- rule-based inputs over lineitem
 _RB = """rb AS (
   SELECT l_orderkey, l_linenumber,
-         CASE l_returnflag WHEN 'A' THEN 0.0 WHEN 'N' THEN 1.0 WHEN 'R' THEN 2.0 END AS label,
+         CAST(CASE l_returnflag WHEN 'A' THEN 0 WHEN 'N' THEN 1 WHEN 'R' THEN 2 END AS DOUBLE) AS label,
          CAST(l_partkey % 3 AS DOUBLE) AS prediction,
          l_quantity / 50 AS s0, l_discount * 10 AS s1, l_tax * 12 AS s2,
          CAST(l_linenumber % 4 AS DOUBLE) AS cluster, l_quantity, l_discount, l_tax
   FROM lineitem)"""
 _OVR = """ovr AS (
-  SELECT l_orderkey, l_linenumber, 0 AS class, s0 AS score, CASE WHEN label = 0 THEN 1.0 ELSE 0.0 END AS positive FROM rb
+  SELECT l_orderkey, l_linenumber, 0 AS class, s0 AS score, CAST(CASE WHEN label = 0 THEN 1 ELSE 0 END AS DOUBLE) AS positive FROM rb
   UNION ALL
-  SELECT l_orderkey, l_linenumber, 1, s1, CASE WHEN label = 1 THEN 1.0 ELSE 0.0 END FROM rb
+  SELECT l_orderkey, l_linenumber, 1, s1, CAST(CASE WHEN label = 1 THEN 1 ELSE 0 END AS DOUBLE) FROM rb
   UNION ALL
-  SELECT l_orderkey, l_linenumber, 2, s2, CASE WHEN label = 2 THEN 1.0 ELSE 0.0 END FROM rb)"""
+  SELECT l_orderkey, l_linenumber, 2, s2, CAST(CASE WHEN label = 2 THEN 1 ELSE 0 END AS DOUBLE) FROM rb)"""
 _GROUPS = """g0 AS (SELECT class, score, sum(positive) AS pos, sum(1.0 - positive) AS neg FROM ovr GROUP BY class, score),
 g AS (SELECT *, sum(pos) OVER (PARTITION BY class ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_pos,
              sum(neg) OVER (PARTITION BY class ORDER BY score DESC ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS cum_neg,
@@ -169,8 +169,8 @@ _POS_IDX = """pidx AS (SELECT value, row_number() OVER (ORDER BY n DESC, value)
 
 
 @query("one_hot", with_ctes(SENSOR, _POS_IDX, body="""SELECT s.id, s.Position, CAST(p.idx AS DOUBLE) AS position_idx,
-  CASE WHEN p.idx = 0 THEN 1.0 ELSE 0.0 END AS oh_0, CASE WHEN p.idx = 1 THEN 1.0 ELSE 0.0 END AS oh_1,
-  CASE WHEN p.idx = 2 THEN 1.0 ELSE 0.0 END AS oh_2
+  CAST(CASE WHEN p.idx = 0 THEN 1 ELSE 0 END AS DOUBLE) AS oh_0, CAST(CASE WHEN p.idx = 1 THEN 1 ELSE 0 END AS DOUBLE) AS oh_1,
+  CAST(CASE WHEN p.idx = 2 THEN 1 ELSE 0 END AS DOUBLE) AS oh_2
 FROM sensor s JOIN pidx p ON p.value = s.Position"""))
 def q_one_hot(spark, sf_dir):
     s = standins.sensor(spark, sf_dir)
@@ -203,7 +203,7 @@ lidx AS (SELECT value, row_number() OVER (ORDER BY n DESC, value) - 1 AS idx
 sd AS (SELECT {', '.join(f'stddev_samp({c}) AS {c}' for c in SENSOR_NUMERIC)} FROM tr)""",
     body="SELECT s.id, CAST(l.idx AS DOUBLE) AS label, " + ", ".join(
         f"round(s.{c} / sd.{c}, 6) AS f_{i}" for i, c in enumerate(SENSOR_NUMERIC)) + ", " + ", ".join(
-        f"CASE WHEN p.idx = {j} THEN 1.0 ELSE 0.0 END AS f_{len(SENSOR_NUMERIC) + j}" for j in range(3)) +
+        f"CAST(CASE WHEN p.idx = {j} THEN 1 ELSE 0 END AS DOUBLE) AS f_{len(SENSOR_NUMERIC) + j}" for j in range(3)) +
     """ FROM sensor s CROSS JOIN sd JOIN lidx l ON l.value = s.Workout
 LEFT JOIN pidx p ON p.value = s.Position"""))
 def q_feature_vectors(spark, sf_dir):
@@ -257,3 +257,11 @@ def q_gmm_sweep(spark, sf_dir):
     train, test = _sensor_split(spark, sf_dir)
     return cluster.sweep("gmm", train, test)
 
+
+
+@query("k_scoreboard")
+def q_k_scoreboard(spark, sf_dir):
+    """Both clustering sweeps on one board, one row per (model, k)."""
+    train, test = _sensor_split(spark, sf_dir)
+    board = cluster.sweep("kmeans", train, test).unionByName(cluster.sweep("gmm", train, test))
+    return board.orderBy("model", "k")

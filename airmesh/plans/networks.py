@@ -80,7 +80,7 @@ def q_largest_component(spark, sf_dir):
 _REPORT = """m AS (SELECT cc.component, a.id, a.name, a.country FROM cc JOIN airport a ON a.id = cc.id),
 sz AS (SELECT component, count(*) AS size FROM m GROUP BY component HAVING count(*) >= 5),
 top AS (SELECT * FROM sz ORDER BY component LIMIT 10),
-ranked AS (SELECT m.*, top.size, row_number() OVER (PARTITION BY m.component ORDER BY m.id) AS member_rank
+ranked AS (SELECT m.*, top.size, CAST(row_number() OVER (PARTITION BY m.component ORDER BY m.id) AS INTEGER) AS member_rank
            FROM m JOIN top ON top.component = m.component)"""
 
 
@@ -98,7 +98,7 @@ keep AS (SELECT * FROM sz WHERE size >= 2 AND {label} NOT IN (SELECT {label} FRO
 m AS (SELECT cc.{label}, keep.size, a.id, a.name, a.country
       FROM cc JOIN keep ON keep.{label} = cc.{label} JOIN airport a ON a.id = cc.id),
 kn AS (SELECT {label}, count(*) AS n_known FROM m GROUP BY {label}),
-ranked AS (SELECT m.*, kn.n_known, row_number() OVER (PARTITION BY m.{label} ORDER BY m.id) AS member_rank
+ranked AS (SELECT m.*, kn.n_known, CAST(row_number() OVER (PARTITION BY m.{label} ORDER BY m.id) AS INTEGER) AS member_rank
            FROM m JOIN kn ON kn.{label} = m.{label})"""
 
 
@@ -131,7 +131,7 @@ def q_pagerank(spark, sf_dir):
 
 
 @query("pagerank_top", _rec(AIRPORT, ROUTE, _IDS, _PR, body="""
-SELECT row_number() OVER (ORDER BY round(p.rank, 9) DESC, p.id) AS position, p.id, a.name, a.country,
+SELECT CAST(row_number() OVER (ORDER BY round(p.rank, 9) DESC, p.id) AS INTEGER) AS position, p.id, a.name, a.country,
        round(p.rank, 6) AS rank
 FROM prs p JOIN airport a ON a.id = p.id ORDER BY round(p.rank, 9) DESC, p.id LIMIT 10"""))
 def q_pagerank_top(spark, sf_dir):
