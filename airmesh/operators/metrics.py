@@ -47,18 +47,39 @@ def ovr_scores(df: DataFrame, scores: str = "scores", label: str = "label", keep
     return ex.select(*keep, "class", "score", (F.col("_label") == F.col("class")).cast("double").alias("positive"))
 
 
-def _score_groups(ovr: DataFrame) -> DataFrame:
-    """Per (class, distinct score): positives / negatives at that score, and the
-    cumulative counts of all scores ≥ it.  The window runs over distinct scores
-    only — at most one row per distinct score per class."""
+SCORE_BUCKETS = 4096
+
+
+def _score_groups(ovr: DataFrame, buckets: int = SCORE_BUCKETS) -> DataFrame:
+    """Per (class, distinct score): positives / negatives at that score and the
+    cumulative counts over all scores ≥ it, plus class totals P and N.
+
+    Exact two-level prefix sum, so no window ever holds a whole class (with
+    model probabilities nearly every row is a distinct score):
+    distinct scores fall into ``buckets`` order-preserving buckets over the
+    class's [min, max]; bucket totals get a cumulative window of at most
+    ``buckets`` rows per class, and each score adds the running sum inside its
+    own (class, bucket) window.
+    """
     g = ovr.groupBy("class", "score").agg(
         F.sum("positive").alias("pos"), F.sum(F.lit(1.0) - F.col("positive")).alias("neg"))
-    w = Window.partitionBy("class").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
-    tot = Window.partitionBy("class")
-    return g.select(
+    rng = g.groupBy("class").agg(F.min("score").alias("lo"), F.max("score").alias("hi"),
+                                 F.sum("pos").alias("P"), F.sum("neg").alias("N"))
+    span = F.col("hi") - F.col("lo")
+    bucket = F.when(span > 0, F.least(F.floor((F.col("score") - F.col("lo")) / span * buckets),
+                                      F.lit(buckets - 1))).otherwise(F.lit(0)).cast("int")
+    gb = g.join(F.broadcast(rng), "class").withColumn("bucket", bucket)  # rng: one row per class
+    totals = gb.groupBy("class", "bucket").agg(F.sum("pos").alias("bpos"), F.sum("neg").alias("bneg"))
+    above = Window.partitionBy("class").orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select("class", "bucket",
+                            F.coalesce(F.sum("bpos").over(above), F.lit(0.0)).alias("off_pos"),
+                            F.coalesce(F.sum("bneg").over(above), F.lit(0.0)).alias("off_neg"))
+    local = Window.partitionBy("class", "bucket").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
+    return gb.join(offsets, ["class", "bucket"]).select(
         "class", "score", "pos", "neg",
-        F.sum("pos").over(w).alias("cum_pos"), F.sum("neg").over(w).alias("cum_neg"),
-        F.sum("pos").over(tot).alias("P"), F.sum("neg").over(tot).alias("N"),
+        (F.col("off_pos") + F.sum("pos").over(local)).alias("cum_pos"),
+        (F.col("off_neg") + F.sum("neg").over(local)).alias("cum_neg"),
+        "P", "N",
     )
 
 

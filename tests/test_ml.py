@@ -129,3 +129,26 @@ def test_curve_sink_partitions_by_class(spark, tmp_dir, rb):
     scores.write_curves(metrics.roc_points(ovr), path)
     back = spark.read.parquet(path)
     assert sorted(r["class"] for r in back.select("class").distinct().collect()) == [0, 1, 2]
+
+
+def test_auc_two_level_prefix_sum_with_many_distinct_scores(spark):
+    import random
+
+    rnd = random.Random(7)
+    rows = [(rnd.random() ** 2, float(rnd.random() < 0.3)) for _ in range(3000)] + [(0.5, 1.0), (0.5, 0.0)] * 20
+    df = spark.createDataFrame([(0, s, p) for s, p in rows], "class int, score double, positive double")
+    g = metrics._score_groups(df, buckets=7).orderBy(F.desc("score")).collect()
+    run_pos = run_neg = 0.0
+    for r in g:  # cumulative counts equal a plain running sum over descending scores
+        run_pos += r.pos
+        run_neg += r.neg
+        assert (r.cum_pos, r.cum_neg) == (run_pos, run_neg)
+    got = metrics.roc_auc(df).first().auc
+    # exact pairwise AUC (MLlib's class bins above 1000 distinct scores, so it is only approximate here)
+    import bisect
+
+    neg = sorted(s for s, p in rows if p == 0.0)
+    pos = [s for s, p in rows if p == 1.0]
+    pairs = sum(bisect.bisect_left(neg, s) + 0.5 * (bisect.bisect_right(neg, s) - bisect.bisect_left(neg, s))
+                for s in pos)
+    assert got == pytest.approx(pairs / (len(pos) * len(neg)), abs=1e-12)
