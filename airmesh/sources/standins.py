@@ -18,9 +18,11 @@ All of them read whole tables; their size grows with the scale factor.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.sequence import lead_in_group
+
 ROUTE_MIN_QUANTITY = 40.0
 SPARSE_ROUTE_MIN_QUANTITY = 45.0
 POSITIONS = ("wrist", "pocket", "leg")
@@ -60,19 +62,19 @@ def routes(spark: SparkSession, sf_dir: str, min_quantity: float = ROUTE_MIN_QUA
     """airline_id, src_id, dest_id — one row per consecutive pair of bulk lines.
 
     The line order inside an order is made total with the part and supplier
-    keys because (orderkey, linenumber) is not unique in the data.
+    keys because (orderkey, linenumber) is not unique in the data.  The pairing
+    is a skew-safe lead (``operators.sequence``): an order with a huge number
+    of lines is spread over many tasks.
     """
-    w = Window.partitionBy("l_orderkey").orderBy("l_linenumber", "l_partkey", "l_suppkey")
-    return (
+    lines = (
         table(spark, sf_dir, "lineitem")
         .filter(F.col("l_quantity") >= min_quantity)
-        .select(
-            F.col("l_suppkey").alias("airline_id"),
-            F.col("l_partkey").alias("src_id"),
-            F.lead("l_partkey").over(w).alias("dest_id"),
-        )
-        .filter(F.col("dest_id").isNotNull())
+        .select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
     )
+    # lead over the order's lines, without sending a whole order to one task
+    paired = lead_in_group(lines, "l_orderkey", ["l_linenumber", "l_partkey", "l_suppkey"], "l_partkey", "dest_id")
+    return paired.filter(F.col("dest_id").isNotNull()).select(
+        F.col("l_suppkey").alias("airline_id"), F.col("l_partkey").alias("src_id"), "dest_id")
 
 
 def airport_text(spark: SparkSession, sf_dir: str) -> DataFrame:
