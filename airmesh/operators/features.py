@@ -9,10 +9,11 @@ from __future__ import annotations
 
 from pyspark.ml import Pipeline
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.schemas import SENSOR_NUMERIC
+from .sequence import global_rank
 
 LABEL = "label"
 FEATURES = "features"
@@ -21,12 +22,13 @@ FEATURES = "features"
 def string_index(df: DataFrame, column: str) -> DataFrame:
     """``value, idx, n``: index by frequency desc, ties by value; nulls not indexed.
 
-    The window orders the distinct values only (one row per category).
+    Categories are ranked with a distributed global rank (``sequence.global_rank``),
+    so even a very high-cardinality column is never ordered inside one task.
     """
     counts = df.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(
         F.count(F.lit(1)).alias("n"))
-    w = Window.orderBy(F.desc("n"), F.asc("value"))
-    return counts.select("value", (F.row_number().over(w) - 1).cast("double").alias("idx"), "n")
+    ranked = global_rank(counts, [F.desc("n"), F.asc("value")], "pos")
+    return ranked.select("value", (F.col("pos") - 1).cast("double").alias("idx"), "n")
 
 
 def indexer(column: str, output: str, handle_invalid: str = "keep") -> StringIndexer:

@@ -46,3 +46,24 @@ def lead_in_group(df: DataFrame, group: str, order: list[str], value: str, out:
         "left",
     )
     return joined.select(*df.columns, F.coalesce(F.col(out), F.col("_next_v")).alias(out))
+
+
+def global_rank(df: DataFrame, order: list, out: str = "rank", partitions: int | None = None) -> DataFrame:
+    """``df`` plus ``out`` = 1-based position in the total order ``order`` (row_number
+    semantics) without a single-partition window.
+
+    Rows are range-partitioned on the order (pinned in the checkpoint folder),
+    numbered inside their partition, and shifted by the row counts of the
+    partitions before them — a table with one row per partition.
+    """
+    spark = df.sparkSession
+    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = cut_lineage(df.repartitionByRange(n, *order).sortWithinPartitions(*order)
+                         .withColumn("_pid", F.spark_partition_id()))
+    local = ranged.withColumn("_local", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)))
+    sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
+    offsets = sizes.select(  # one row per partition
+        "_pid", F.coalesce(F.sum("_n").over(Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)),
+                           F.lit(0)).alias("_off"))
+    return local.join(F.broadcast(offsets), "_pid").select(
+        *df.columns, (F.col("_off") + F.col("_local")).cast("long").alias(out))

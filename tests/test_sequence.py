@@ -22,3 +22,15 @@ def test_lead_in_group_with_more_partitions_than_rows(spark):
     df = spark.createDataFrame([(1, 1, 10), (1, 2, 20), (2, 1, 30)], "g long, k int, v long")
     got = sorted(map(tuple, lead_in_group(df, "g", ["k"], "v", "nxt", partitions=16).collect()))
     assert got == [(1, 1, 10, 20), (1, 2, 20, None), (2, 1, 30, None)]
+
+
+def test_global_rank_matches_row_number(spark):
+    from airmesh.operators.sequence import global_rank
+
+    rnd = random.Random(5)
+    rows = [(f"v{rnd.randint(0, 300)}", rnd.randint(1, 20)) for _ in range(500)]
+    df = spark.createDataFrame(rows, "value string, n long").dropDuplicates(["value"])
+    order = [F.desc("n"), F.asc("value")]
+    want = df.withColumn("pos", F.row_number().over(Window.orderBy(*order)).cast("long"))
+    got = global_rank(df, order, "pos", partitions=6)
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
