@@ -47,7 +47,13 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     cluster an unset value is an error because a machine-local folder would
     not survive the loss of an executor.
     """
-    sc = spark.sparkContext
+    try:
+        sc = spark.sparkContext
+    except Exception:  # Spark Connect: the server applies its own spark.checkpoint.dir
+        configured = spark.conf.get(_CHECKPOINT_KEY, None)
+        if not configured:
+            raise RuntimeError("set spark.checkpoint.dir on the Spark Connect server") from None
+        return configured
     current = sc.getCheckpointDir()
     if current:
         return current

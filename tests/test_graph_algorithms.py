@@ -187,3 +187,16 @@ def test_skew_split_join_matches_plain_join(spark, monkeypatch):
     got = sorted(tuple(r) for r in skew.join_vertex_values(edges, "src", vals, hot).collect())
     want = sorted(tuple(r) for r in edges.join(vals.withColumnRenamed("id", "src"), "src").collect())
     assert got == want
+
+
+def test_restrict_to_requests_and_unknown_labels(spark):
+    e = spark.createDataFrame([(1, 2, 1.0), (2, 3, 1.0), (1, 4, 2.0)], "src long, dst long, km double")
+    src = spark.createDataFrame([(1,)], "id long")
+    dst = spark.createDataFrame([(3,), (4,)], "id long")
+    p = paths.simple_paths(e, src, dst, 3)
+    req = spark.createDataFrame([(1, 3)], "src long, dst long")
+    kept = paths.restrict_to_requests(p, req).collect()
+    assert [list(r.path) for r in kept] == [[1, 2, 3]]
+    names = spark.createDataFrame([(1, "a"), (3, "c")], "id long, name string")
+    lab = paths.label_paths(paths.restrict_to_requests(p, req), names).first()
+    assert lab.labels == "1:a -> 2:??? -> 3:c"
