@@ -58,6 +58,15 @@ def airlines(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def route_lines(spark: SparkSession, sf_dir: str, min_quantity: float = ROUTE_MIN_QUANTITY) -> DataFrame:
+    """The bulk lines routes are made of (filter and 4-column projection reach the scan)."""
+    return (
+        table(spark, sf_dir, "lineitem")
+        .filter(F.col("l_quantity") >= min_quantity)
+        .select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
+    )
+
+
 def routes(spark: SparkSession, sf_dir: str, min_quantity: float = ROUTE_MIN_QUANTITY) -> DataFrame:
     """airline_id, src_id, dest_id — one row per consecutive pair of bulk lines.
 
@@ -66,11 +75,7 @@ def routes(spark: SparkSession, sf_dir: str, min_quantity: float = ROUTE_MIN_QUA
     is a skew-safe lead (``operators.sequence``): an order with a huge number
     of lines is spread over many tasks.
     """
-    lines = (
-        table(spark, sf_dir, "lineitem")
-        .filter(F.col("l_quantity") >= min_quantity)
-        .select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    )
+    lines = route_lines(spark, sf_dir, min_quantity)
     # lead over the order's lines, without sending a whole order to one task
     paired = lead_in_group(lines, "l_orderkey", ["l_linenumber", "l_partkey", "l_suppkey"], "l_partkey", "dest_id")
     return paired.filter(F.col("dest_id").isNotNull()).select(
