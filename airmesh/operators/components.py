@@ -32,45 +32,55 @@ def _canonical(edges: DataFrame) -> DataFrame:
     )
 
 
-def _large_star(e: DataFrame) -> DataFrame:
+def _large_star(e: DataFrame, n_edges: int) -> DataFrame:
     """For every u: link each larger neighbour v to m(u) = min(Γ(u) ∪ {u})."""
     sym = e.select(F.col("a").alias("u"), F.col("b").alias("v")).union(
         e.select(F.col("b").alias("u"), F.col("a").alias("v")))
     mins = sym.groupBy("u").agg(F.min("v").alias("m"), F.count(F.lit(1)).alias("degree"))
     mins = mins.select(F.col("u").alias("id"), F.least("u", "m").alias("m"), "degree")
-    n = e.count() * 2
-    hot = find_hot_keys(mins, n, degree="degree")
+    hot = find_hot_keys(mins, 2 * n_edges, degree="degree")
     up = sym.filter(F.col("v") > F.col("u"))
     linked = join_vertex_values(up, "u", mins.select("id", "m"), hot)
     return linked.select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
 
 
-def _small_star(e: DataFrame) -> DataFrame:
+def _small_star(e: DataFrame, n_edges: int) -> DataFrame:
     """For every u: link u and its smaller neighbours to the smallest of them."""
     mins = e.groupBy("a").agg(F.min("b").alias("m"), F.count(F.lit(1)).alias("degree"))
-    hot = find_hot_keys(mins.withColumnRenamed("a", "id"), e.count(), degree="degree")
+    hot = find_hot_keys(mins.withColumnRenamed("a", "id"), n_edges, degree="degree")
     linked = join_vertex_values(e, "a", mins.select(F.col("a").alias("id"), "m"), hot)
     children = linked.filter(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
     parents = mins.select("a", F.col("m").alias("b"))
     return children.union(parents).distinct()
 
 
-def _is_star_forest(e: DataFrame) -> bool:
-    """Every vertex points at one parent and no parent has a parent itself (one aggregate)."""
+def _star_check(e: DataFrame) -> tuple[bool, int]:
+    """(is a star forest, number of edges) in one aggregate.
+
+    Star forest: every vertex points at one parent and no parent has a parent.
+    """
     roles = e.select(F.col("a").alias("v"), F.lit(1).alias("child"), F.lit(0).alias("parent")).union(
         e.select(F.col("b").alias("v"), F.lit(0).alias("child"), F.lit(1).alias("parent")))
     per = roles.groupBy("v").agg(F.sum("child").alias("c"), F.max("parent").alias("p"))
-    bad = per.filter((F.col("c") > 1) | ((F.col("c") >= 1) & (F.col("p") == 1)))
-    return bad.limit(1).count() == 0
+    bad = ((F.col("c") > 1) | ((F.col("c") >= 1) & (F.col("p") == 1))).cast("int")
+    row = per.agg(F.coalesce(F.max(bad), F.lit(0)).alias("bad"), F.coalesce(F.sum("c"), F.lit(0)).alias("n")).first()
+    return row.bad == 0, int(row.n)
 
 
 def connected_components(graph: Graph, max_rounds: int = MAX_ROUNDS) -> DataFrame:
-    """``id, component`` for every vertex (declared and ghost)."""
+    """``id, component`` for every vertex (declared and ghost).
+
+    Each round's edge set is checkpointed lazily: the count / star check that
+    the next step needs anyway is the action that computes and writes it.
+    """
     e = cut_lineage(_canonical(graph.edges))
+    n = e.count()
     for _ in range(max_rounds):
-        e = cut_lineage(_large_star(e))
-        e = cut_lineage(_small_star(e))
-        if _is_star_forest(e):
+        large = cut_lineage(_large_star(e, n), eager=False)
+        n_large = large.count()
+        e = cut_lineage(_small_star(large, n_large), eager=False)
+        done, n = _star_check(e)
+        if done:
             break
     else:
         raise RuntimeError(f"connected components did not converge in {max_rounds} rounds")
