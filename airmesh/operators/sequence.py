@@ -23,17 +23,24 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 
 
+def _range_sorted(df: DataFrame, keys: list, partitions: int | None) -> DataFrame:
+    """Range-partition on ``keys`` and sort inside partitions.
+
+    Without an explicit count the exchange uses the session's shuffle
+    partitions and AQE may merge *adjacent* ranges for small inputs, which keeps
+    the global order that the partition ids encode.
+    """
+    ranged = df.repartitionByRange(partitions, *keys) if partitions else df.repartitionByRange(*keys)
+    return ranged.sortWithinPartitions(*keys)
+
+
 def lead_in_group(df: DataFrame, group: str, order: list[str], value: str, out: str,
                   partitions: int | None = None) -> DataFrame:
     """``df`` plus column ``out`` = ``value`` of the next row of the same group
     in ``order`` (null for the group's last row); rows tied on every order key
     are interchangeable, as with a window ``lead``."""
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     keys = [group, *order]
-    ranged = cut_lineage(
-        df.repartitionByRange(n, *keys).sortWithinPartitions(*keys).withColumn("_pid", F.spark_partition_id())
-    )
+    ranged = cut_lineage(_range_sorted(df, keys, partitions).withColumn("_pid", F.spark_partition_id()))
     local = ranged.withColumn(out, F.lead(value).over(Window.partitionBy("_pid", group).orderBy(*order)))
     firsts = ranged.groupBy("_pid").agg(F.min(F.struct(*[F.col(c) for c in keys], F.col(value).alias("_v"))).alias("f"))
     stitch = firsts.select(
@@ -56,10 +63,7 @@ def global_rank(df: DataFrame, order: list, out: str = "rank", partitions: int |
     numbered inside their partition, and shifted by the row counts of the
     partitions before them — a table with one row per partition.
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = cut_lineage(df.repartitionByRange(n, *order).sortWithinPartitions(*order)
-                         .withColumn("_pid", F.spark_partition_id()))
+    ranged = cut_lineage(_range_sorted(df, order, partitions).withColumn("_pid", F.spark_partition_id()))
     local = ranged.withColumn("_local", F.row_number().over(Window.partitionBy("_pid").orderBy(*order)))
     sizes = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_n"))
     offsets = sizes.select(  # one row per partition

@@ -34,3 +34,18 @@ def test_global_rank_matches_row_number(spark):
     want = df.withColumn("pos", F.row_number().over(Window.orderBy(*order)).cast("long"))
     got = global_rank(df, order, "pos", partitions=6)
     assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_default_partitioning_lets_aqe_merge_ranges(spark):
+    from airmesh.operators.sequence import global_rank
+
+    rnd = random.Random(11)
+    rows = [(rnd.randint(1, 40), rnd.randint(1, 9), rnd.randint(0, 99)) for _ in range(3000)]
+    df = spark.createDataFrame(rows, "g long, k int, v long")
+    want = df.withColumn("nxt", F.lead("v").over(Window.partitionBy("g").orderBy("k", "v")))
+    got = lead_in_group(df, "g", ["k", "v"], "v", "nxt")
+    assert sorted(map(tuple, got.collect())) == sorted(map(tuple, want.collect()))
+    d = df.dropDuplicates(["g", "k", "v"])
+    ranked = global_rank(d, ["g", "k", "v"], "pos")
+    expect = d.withColumn("pos", F.row_number().over(Window.orderBy("g", "k", "v")).cast("long"))
+    assert sorted(map(tuple, ranked.collect())) == sorted(map(tuple, expect.collect()))
