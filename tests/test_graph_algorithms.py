@@ -200,3 +200,22 @@ def test_restrict_to_requests_and_unknown_labels(spark):
     names = spark.createDataFrame([(1, "a"), (3, "c")], "id long, name string")
     lab = paths.label_paths(paths.restrict_to_requests(p, req), names).first()
     assert lab.labels == "1:a -> 2:??? -> 3:c"
+
+
+def test_pagerank_fixed_rounds_matches_power_iteration(spark):
+    edges = [(1, 2), (2, 3), (3, 1), (3, 4), (4, 2), (4, 2), (5, 1)]
+    ids = sorted({x for p in edges for x in p})
+    for rounds in (1, 3, 12, 25):
+        got = {r.id: r.rank for r in pagerank.pagerank(_graph(spark, edges), tol=None, max_iter=rounds).collect()}
+        out = defaultdict(int)
+        for a, _ in edges:
+            out[a] += 1
+        r = {i: 1.0 for i in ids}
+        for _ in range(rounds):
+            s = defaultdict(float)
+            for a, b in edges:
+                s[b] += r[a] / out[a]
+            r = {i: 0.15 + 0.85 * s[i] for i in ids}
+        tot = sum(r.values())
+        for i in ids:
+            assert got[i] == pytest.approx(r[i] * len(ids) / tot, abs=1e-12)
