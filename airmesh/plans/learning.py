@@ -265,3 +265,21 @@ def q_k_scoreboard(spark, sf_dir):
     train, test = _sensor_split(spark, sf_dir)
     board = cluster.sweep("kmeans", train, test).unionByName(cluster.sweep("gmm", train, test))
     return board.orderBy("model", "k")
+
+
+def _model_auc(spark, sf_dir, grid):
+    train, test = _sensor_split(spark, sf_dir)
+    preds = classify.train_and_predict(grid, train, test)
+    return metrics.roc_auc(metrics.ovr_scores(preds, "probability", features.LABEL))
+
+
+@query("rf_roc_auc")
+def q_rf_roc_auc(spark, sf_dir):
+    """Per-class one-vs-rest AUC of the cross-validated random forest on the test rows."""
+    return _model_auc(spark, sf_dir, classify.forest_grid())
+
+
+@query("logreg_roc_auc")
+def q_logreg_roc_auc(spark, sf_dir):
+    """Per-class one-vs-rest AUC of the cross-validated logistic regression on the test rows."""
+    return _model_auc(spark, sf_dir, classify.logistic_grid())

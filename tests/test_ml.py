@@ -152,3 +152,14 @@ def test_auc_two_level_prefix_sum_with_many_distinct_scores(spark):
     pairs = sum(bisect.bisect_left(neg, s) + 0.5 * (bisect.bisect_right(neg, s) - bisect.bisect_left(neg, s))
                 for s in pos)
     assert got == pytest.approx(pairs / (len(pos) * len(neg)), abs=1e-12)
+
+
+def test_model_auc_equals_binary_metrics(spark):
+    s = standins.sensor(spark, SF_SMALL)
+    train, test = sampling.train_test_split(s, "id")
+    preds = classify.train_and_predict(classify.logistic_grid()[:1], train, test).cache()
+    ovr = metrics.ovr_scores(preds, "probability", "label").cache()
+    got = {r["class"]: r.auc for r in metrics.roc_auc(ovr).collect()}
+    for c in sorted(got)[:3]:
+        pairs = ovr.filter(F.col("class") == c).select("score", "positive").rdd.map(tuple)
+        assert got[c] == pytest.approx(BinaryClassificationMetrics(pairs).areaUnderROC, abs=1e-9)
