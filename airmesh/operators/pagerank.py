@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import bucketed_table, cut_lineage, drop_table
 from .graph import Graph, all_vertex_ids
 from .skew import find_hot_keys, join_vertex_values
 
@@ -39,19 +39,25 @@ def pagerank(graph: Graph, tol: float | None = 1e-5, max_iter: int | None = None
     Stops when ``max |Δr| < tol`` or after ``max_iter`` rounds (at least one
     must be given; with both, whichever comes first).
 
-    Every round is written to the reliable checkpoint folder and carries the
-    previous rank, so lineage is one round deep (an executor loss re-runs one
-    round) and the convergence test is a scan of the checkpointed table.
+    Every round is written as a table bucketed on the vertex id under the
+    reliable checkpoint folder and carries the previous rank: lineage is one
+    round deep (an executor loss re-runs one round), the convergence test is a
+    scan, and the edge table — bucketed on the source once — joins each round's
+    ranks without being shuffled again.
     """
     if tol is None and max_iter is None:
         raise ValueError("give tol, max_iter or both")
     limit = max_iter if max_iter is not None else MAX_ITER
+    parts = int(graph.edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     ids = cut_lineage(all_vertex_ids(graph))
-    w_edges = cut_lineage(weighted_out_edges(graph.edges))
+    # edges bucketed on src once; each round's ranks are bucketed the same way on id, so the
+    # contribution join reads both sides in place — the edge table is never shuffled again
+    w_edges = bucketed_table(weighted_out_edges(graph.edges), "src", parts, "pr_edges")
     n_vertices = ids.count()
     degrees = w_edges.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("degree"))
     hot = find_hot_keys(degrees, w_edges.count())
-    ranks = cut_lineage(ids.select("id", F.lit(1.0).alias("rank")))
+    ranks = bucketed_table(ids.select("id", F.lit(1.0).alias("rank"), F.lit(1.0).alias("prev")), "id", parts,
+                           "pr_ranks")
     for _ in range(limit):
         contrib = (
             join_vertex_values(w_edges, "src", ranks.select("id", "rank"), hot)
@@ -60,8 +66,8 @@ def pagerank(graph: Graph, tol: float | None = 1e-5, max_iter: int | None = None
         )
         new = ranks.select("id", F.col("rank").alias("prev")).join(contrib, "id", "left").select(
             "id", (F.lit(reset) + F.lit(1.0 - reset) * F.coalesce(F.col("s"), F.lit(0.0))).alias("rank"), "prev")
-        # the convergence aggregate is the action that computes and checkpoints the round
-        ranks = cut_lineage(new, eager=tol is None)
+        previous, ranks = ranks, bucketed_table(new, "id", parts, "pr_ranks")
+        drop_table(previous)
         if tol is not None:
             delta = ranks.agg(F.max(F.abs(F.col("rank") - F.col("prev")))).first()[0]
             if delta is None or delta < tol:

@@ -97,3 +97,30 @@ def materialize(df: DataFrame, name: str = "state") -> DataFrame:
     path = f"{base}/airmesh-tables/{name}-{uuid.uuid4().hex}"
     df.write.mode("overwrite").parquet(path)
     return spark.read.parquet(path)
+
+
+def bucketed_table(df: DataFrame, key: str, buckets: int, name: str = "state") -> DataFrame:
+    """Write ``df`` as a table bucketed and sorted on ``key`` under the checkpoint folder.
+
+    Unlike a checkpoint (whose hash partitioning is lost under AQE), a bucketed
+    scan reports ``hashpartitioning(key, buckets)``, so joins on ``key`` with
+    another table bucketed the same way need no exchange on either side.  The
+    rows are hash-partitioned first so each task writes exactly one bucket.
+    Returns the table as a DataFrame; lineage is the file scan.
+    """
+    spark = df.sparkSession
+    base = ensure_checkpoint_dir(spark).rstrip("/")
+    table = f"airmesh_{name}_{uuid.uuid4().hex[:16]}"
+    (df.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)
+     .option("path", f"{base}/airmesh-tables/{table}").saveAsTable(table))
+    return spark.table(table)
+
+
+def drop_table(df: DataFrame) -> None:
+    """Forget a table made by ``bucketed_table`` (files stay under the checkpoint folder)."""
+    names = df.inputFiles()
+    if not names:
+        return
+    table = names[0].rstrip("/").split("/")[-2]
+    if table.startswith("airmesh_"):
+        df.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
