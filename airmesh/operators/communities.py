@@ -19,9 +19,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import bucketed_table, cut_lineage, drop_table
 from .graph import Graph, all_vertex_ids
-from .skew import find_hot_keys, join_vertex_values
+from .skew import HotKeys, find_hot_keys, fits_broadcast, join_vertex_values
 
 MAX_STEPS = 100
 
@@ -29,26 +29,42 @@ MAX_STEPS = 100
 def label_propagation(graph: Graph, max_steps: int = MAX_STEPS) -> DataFrame:
     """``id, label`` for every vertex (ghosts included).
 
-    Every round is written to the reliable checkpoint folder together with the
-    two previous labels, so lineage is one round deep and a single aggregate
+    Every round is written under the reliable checkpoint folder (labels are
+    broadcast to the vote edges when their size — checked from the vertex count —
+    is under the broadcast threshold; otherwise both are tables bucketed on the
+    vertex id, so the vote join never re-shuffles edges), together with the two
+    previous labels, so lineage is one round deep and a single aggregate
     tells whether the labels reached a fixed point or a two-round cycle (then
     the state at ``max_steps`` follows from the parity of the remaining rounds
     — exact, since rounds are deterministic).
     """
+    spark = graph.edges.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ids = cut_lineage(all_vertex_ids(graph))
+    small = fits_broadcast(spark, ids.count())
     e = graph.edges.select("src", "dst")
-    votes_edges = cut_lineage(
+    votes = (
         e.select(F.col("src").alias("sender"), F.col("dst").alias("receiver"))
         .union(e.select(F.col("dst").alias("sender"), F.col("src").alias("receiver")))
         .groupBy("sender", "receiver").agg(F.count(F.lit(1)).alias("mult"))
     )
-    degrees = votes_edges.groupBy(F.col("sender").alias("id")).agg(F.count(F.lit(1)).alias("degree"))
-    hot = find_hot_keys(degrees, votes_edges.count())
-    ids = cut_lineage(all_vertex_ids(graph))
-    labels = cut_lineage(ids.select("id", F.col("id").alias("label"), F.col("id").alias("prev"),
-                                    F.lit(None).cast("long").alias("prev2")))
+    if small:
+        # labels fit the broadcast threshold (checked): each round broadcasts them to the vote edges
+        votes_edges = cut_lineage(votes)
+        keep = lambda df: cut_lineage(df, eager=False)
+        hot = HotKeys(None, 0, 0)
+    else:
+        # vote edges bucketed on the sender once, every round's labels bucketed on id the same way:
+        # the vote join reads both sides in place and the edge table is never shuffled again
+        votes_edges = bucketed_table(votes, "sender", parts, "lpa_edges")
+        keep = lambda df: bucketed_table(df, "id", parts, "lpa_labels")
+        degrees = votes_edges.groupBy(F.col("sender").alias("id")).agg(F.count(F.lit(1)).alias("degree"))
+        hot = find_hot_keys(degrees, votes_edges.count())
+    labels = keep(ids.select("id", F.col("id").alias("label"), F.col("id").alias("prev"),
+                             F.lit(None).cast("long").alias("prev2")))
     for step in range(1, max_steps + 1):
         tallies = (
-            join_vertex_values(votes_edges, "sender", labels.select("id", "label"), hot)
+            join_vertex_values(votes_edges, "sender", labels.select("id", "label"), hot, broadcast_values=small)
             .groupBy("receiver", "label").agg(F.sum("mult").alias("votes"))
         )
         winner = tallies.groupBy(F.col("receiver").alias("id")).agg(
@@ -56,7 +72,9 @@ def label_propagation(graph: Graph, max_steps: int = MAX_STEPS) -> DataFrame:
         new = labels.select("id", F.col("label").alias("prev"), F.col("prev").alias("prev2")).join(
             winner, "id", "left").select(
             "id", F.coalesce(-F.col("b.neg"), F.col("prev")).alias("label"), "prev", "prev2")
-        labels = cut_lineage(new, eager=False)
+        previous, labels = labels, keep(new)
+        if not small:
+            drop_table(previous)
         # one job: did anything change since the last round / since two rounds ago?
         diff = labels.agg(
             F.max((F.col("label") != F.col("prev")).cast("int")).alias("d1"),

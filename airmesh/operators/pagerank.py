@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..session import bucketed_table, cut_lineage, drop_table
 from .graph import Graph, all_vertex_ids
-from .skew import find_hot_keys, join_vertex_values
+from .skew import HotKeys, find_hot_keys, fits_broadcast, join_vertex_values
 
 RESET_PROB = 0.15
 MAX_ITER = 1000
@@ -39,35 +39,45 @@ def pagerank(graph: Graph, tol: float | None = 1e-5, max_iter: int | None = None
     Stops when ``max |Δr| < tol`` or after ``max_iter`` rounds (at least one
     must be given; with both, whichever comes first).
 
-    Every round is written as a table bucketed on the vertex id under the
-    reliable checkpoint folder and carries the previous rank: lineage is one
-    round deep (an executor loss re-runs one round), the convergence test is a
-    scan, and the edge table — bucketed on the source once — joins each round's
-    ranks without being shuffled again.
+    Every round is written under the reliable checkpoint folder and carries the
+    previous rank: lineage is one round deep (an executor loss re-runs one
+    round) and the convergence test is a scan.  The edge table never moves per
+    round: when the rank table is under the broadcast threshold (size checked
+    from the vertex count) it is broadcast to the edges; otherwise edges are a
+    table bucketed on the source and each round's ranks a table bucketed on the
+    id, so the join reads both sides in place.
     """
     if tol is None and max_iter is None:
         raise ValueError("give tol, max_iter or both")
     limit = max_iter if max_iter is not None else MAX_ITER
-    parts = int(graph.edges.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spark = graph.edges.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ids = cut_lineage(all_vertex_ids(graph))
-    # edges bucketed on src once; each round's ranks are bucketed the same way on id, so the
-    # contribution join reads both sides in place — the edge table is never shuffled again
-    w_edges = bucketed_table(weighted_out_edges(graph.edges), "src", parts, "pr_edges")
     n_vertices = ids.count()
+    small = fits_broadcast(spark, n_vertices)
+    if small:
+        # ranks fit the broadcast threshold (checked): each round broadcasts them to the edges
+        w_edges = cut_lineage(weighted_out_edges(graph.edges))
+        keep = lambda df: cut_lineage(df, eager=tol is None)
+    else:
+        # edges bucketed on src once; every round's ranks bucketed on id the same way, so the
+        # contribution join reads both sides in place — the edge table is never shuffled again
+        w_edges = bucketed_table(weighted_out_edges(graph.edges), "src", parts, "pr_edges")
+        keep = lambda df: bucketed_table(df, "id", parts, "pr_ranks")
     degrees = w_edges.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("degree"))
-    hot = find_hot_keys(degrees, w_edges.count())
-    ranks = bucketed_table(ids.select("id", F.lit(1.0).alias("rank"), F.lit(1.0).alias("prev")), "id", parts,
-                           "pr_ranks")
+    hot = find_hot_keys(degrees, w_edges.count()) if not small else HotKeys(None, 0, 0)
+    ranks = keep(ids.select("id", F.lit(1.0).alias("rank"), F.lit(1.0).alias("prev")))
     for _ in range(limit):
         contrib = (
-            join_vertex_values(w_edges, "src", ranks.select("id", "rank"), hot)
+            join_vertex_values(w_edges, "src", ranks.select("id", "rank"), hot, broadcast_values=small)
             .groupBy(F.col("dst").alias("id"))
             .agg(F.sum(F.col("rank") * F.col("w")).alias("s"))
         )
         new = ranks.select("id", F.col("rank").alias("prev")).join(contrib, "id", "left").select(
             "id", (F.lit(reset) + F.lit(1.0 - reset) * F.coalesce(F.col("s"), F.lit(0.0))).alias("rank"), "prev")
-        previous, ranks = ranks, bucketed_table(new, "id", parts, "pr_ranks")
-        drop_table(previous)
+        previous, ranks = ranks, keep(new)
+        if not small:
+            drop_table(previous)
         if tol is not None:
             delta = ranks.agg(F.max(F.abs(F.col("rank") - F.col("prev")))).first()[0]
             if delta is None or delta < tol:

@@ -57,12 +57,16 @@ def find_hot_keys(degrees: DataFrame, n_edges: int, key: str = "id", degree: str
 
 
 def join_vertex_values(edges: DataFrame, edge_key: str, values: DataFrame, hot: HotKeys,
-                       how: str = "inner") -> DataFrame:
+                       how: str = "inner", broadcast_values: bool = False) -> DataFrame:
     """``edges ⋈ values`` on ``edges[edge_key] = values.id``, splitting hot keys.
 
-    ``values`` has column ``id`` plus value columns (one row per id).
+    ``values`` has column ``id`` plus value columns (one row per id).  With
+    ``broadcast_values`` (caller checked the size with ``fits_broadcast``) the
+    whole value table is broadcast: edges stay where they are and skew is moot.
     """
     vals = values.withColumnRenamed("id", edge_key)
+    if broadcast_values:
+        return edges.join(F.broadcast(vals), edge_key, how)
     if hot.ids is None:
         return edges.join(vals, edge_key, how)
     hot_ids = F.broadcast(hot.ids.withColumnRenamed("id", edge_key))
@@ -70,3 +74,21 @@ def join_vertex_values(edges: DataFrame, edge_key: str, values: DataFrame, hot:
     hot_part = edges.join(hot_ids, edge_key, "left_semi").join(hot_vals, edge_key, how)
     cold_part = edges.join(hot_ids, edge_key, "left_anti").join(vals, edge_key, how)
     return hot_part.unionByName(cold_part)
+
+
+STATE_BYTES_PER_ROW = 64  # id + a few numeric columns, with row overhead
+
+
+def _size_in_bytes(text: str) -> int:
+    t = text.strip().lower()
+    units = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20, "g": 1 << 30, "gb": 1 << 30}
+    for suffix in sorted(units, key=len, reverse=True):
+        if t.endswith(suffix):
+            return int(float(t[: -len(suffix)]) * units[suffix])
+    return int(t)
+
+
+def fits_broadcast(spark, n_rows: int, bytes_per_row: int = STATE_BYTES_PER_ROW) -> bool:
+    """True when a per-vertex table of ``n_rows`` is under the session's broadcast threshold."""
+    limit = _size_in_bytes(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10MB"))
+    return limit > 0 and n_rows * bytes_per_row <= limit

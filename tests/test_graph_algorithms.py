@@ -219,3 +219,17 @@ def test_pagerank_fixed_rounds_matches_power_iteration(spark):
         tot = sum(r.values())
         for i in ids:
             assert got[i] == pytest.approx(r[i] * len(ids) / tot, abs=1e-12)
+
+
+def test_large_state_path_bucketed_tables(spark, monkeypatch):
+    """Force the path used when vertex state exceeds the broadcast threshold."""
+    monkeypatch.setattr(pagerank, "fits_broadcast", lambda *a, **k: False)
+    monkeypatch.setattr(communities, "fits_broadcast", lambda *a, **k: False)
+    g = _graph(spark, [(1, 2), (1, 2), (1, 3), (2, 3), (3, 4), (5, 4)])
+    got = {r.id: r.rank for r in pagerank.pagerank(g, tol=1e-5).collect()}
+    assert got[4] == pytest.approx(1.985852, abs=1e-6) and got[1] == pytest.approx(0.487595, abs=1e-6)
+    edges = [(1, 2), (2, 3), (3, 1), (4, 5), (10, 20)]
+    ids = sorted({x for p in edges for x in p})
+    for steps in (1, 2, 5):
+        lab = {r.id: r.label for r in communities.label_propagation(_graph(spark, edges), steps).collect()}
+        assert lab == _brute_lpa(ids, edges, steps)
