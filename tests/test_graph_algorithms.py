@@ -233,3 +233,18 @@ def test_large_state_path_bucketed_tables(spark, monkeypatch):
     for steps in (1, 2, 5):
         lab = {r.id: r.label for r in communities.label_propagation(_graph(spark, edges), steps).collect()}
         assert lab == _brute_lpa(ids, edges, steps)
+
+
+def test_broadcast_threshold_check(spark):
+    from airmesh.operators import skew
+
+    assert skew._size_in_bytes("10MB") == 10 << 20 and skew._size_in_bytes("10485760b") == 10 << 20
+    assert skew._size_in_bytes("1g") == 1 << 30 and skew._size_in_bytes("2048") == 2048
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        assert not skew.fits_broadcast(spark, 10)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "1MB")
+        assert skew.fits_broadcast(spark, 1000) and not skew.fits_broadcast(spark, 10_000_000)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
