@@ -29,10 +29,12 @@ table has an empty index.
 
 from __future__ import annotations
 
+import re
 import struct
 import uuid
 import zlib
 from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache, partial
 
 import numpy as np
 import pyarrow as pa
@@ -43,14 +45,17 @@ from pyspark.sql.window import Window
 
 from airmesh.session import ensure_checkpoint_dir
 
-from .common import RowBuffer, texts_of
+from .common import RowBuffer, map_rows, texts_of
 
 FILE_BYTES = 64 << 20
-CACHE_CHUNKS = 400_000
+#: Chunks of each of the two generations of a worker's cache.
+CACHE_CHUNKS = 500_000
 #: Fixed value of the record format.
 MASK_DELTA = 0xA282EAD8
 _HEAD, _HEAD_BYTES = "<QI", 12
 _OWN, _OWN_BYTES = "<BqB", 10
+#: A mark alone between a letter or digit and a blank is a token of its own: cut off, it leaves fewer distinct chunks.
+_MARK_AFTER_WORD = re.compile(r"(?<=[^\W_])([,.])(?=[ \n])")
 _INDEX = "file string, place long, doc_id long, offset long, length long, n_tokens long"
 
 
@@ -91,6 +96,12 @@ def _open(uri: str):
     return FileSystem.from_uri(uri)
 
 
+@lru_cache(maxsize=2)
+def shared_encoder(tokenizer_path: str) -> ChunkEncoder:
+    """One encoder for all tasks of a Python worker, so that they share its cache."""
+    return ChunkEncoder(tokenizer_path)
+
+
 class ChunkEncoder:
     """Ids of texts as bytes, by a bounded cache of their chunks."""
 
@@ -99,17 +110,24 @@ class ChunkEncoder:
 
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
-        self.cache, self.most = {}, cache
+        self.young, self.old, self.most = {}, {}, cache
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        chunks = [t.replace("\n", " ").split(" ") for t in texts]
-        if len(self.cache) > self.most:
-            self.cache.clear()
-        new = list({c for own in chunks for c in own} - self.cache.keys())
-        ids = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-        kind = f"<u{self.width}"
-        self.cache.update((c, np.array(e.ids, kind).tobytes()) for c, e in zip(new, ids, strict=True))
-        return [b"".join(map(self.cache.__getitem__, own)) for own in chunks]
+        chunks = [_MARK_AFTER_WORD.sub(r" \1", t).replace("\n", " ").split(" ") for t in texts]
+        if len(self.young) > self.most:
+            self.young, self.old = {}, self.young
+        look = self.young.get
+        found = [list(map(look, own)) for own in chunks]
+        missing = {c for own, ids in zip(chunks, found, strict=True) if None in ids
+                   for c, i in zip(own, ids, strict=True) if i is None}
+        if missing:
+            new = [c for c in missing if c not in self.old]
+            kind = f"<u{self.width}"
+            encoded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
+            self.young.update((c, self.old[c]) for c in missing if c in self.old)
+            self.young.update((c, np.array(e.ids, kind).tobytes()) for c, e in zip(new, encoded, strict=True))
+            found = [list(map(look, own)) if None in ids else ids for own, ids in zip(chunks, found, strict=True)]
+        return [b"".join(ids) for ids in found]
 
 
 def write_token_files(docs: DataFrame, folder: str, make_encoder: Callable[[], ChunkEncoder], end_id: int) -> DataFrame:
@@ -156,7 +174,7 @@ def write_token_files(docs: DataFrame, folder: str, make_encoder: Callable[[], C
               # the scan position breaks ties, so that an id that many rows share is dealt out too
               .repartitionByRange(F.col("doc_id").asc_nulls_first(), F.col("at"))
               .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.col("at")))
-    placed.select("doc_id", "text").mapInArrow(write, _INDEX).write.mode("overwrite").parquet(f"{folder}/index")
+    map_rows(placed.select("doc_id", "text"), write, _INDEX).write.mode("overwrite").parquet(f"{folder}/index")
     return spark.read.schema(_INDEX).parquet(f"{folder}/index")
 
 
@@ -193,13 +211,13 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     # one row per file of up to 64 MB goes through the window, not one per document
     files = (index.groupBy("file", "place").agg(F.sum("n_tokens").alias("n"))
              .select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long").alias("start")))
-    return files.repartition("file").mapInArrow(read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return map_rows(files.repartition("file"), read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_file_digests(docs: DataFrame, tokenizer_path: str, end_id: int, folder: str | None = None) -> DataFrame:
     """Encode, write and read back ``docs``; ``folder`` is a new one in the shared folder by default."""
     spark = docs.sparkSession
     folder = folder or f"{ensure_checkpoint_dir(spark).rstrip('/')}/tokens-{uuid.uuid4().hex}"
-    write_token_files(docs, folder, lambda: ChunkEncoder(tokenizer_path), end_id)
+    write_token_files(docs, folder, partial(shared_encoder, tokenizer_path), end_id)
     return read_token_files(spark, folder)
 
