@@ -4,6 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
 
+import os
+import tempfile
+import zipfile
+from pathlib import Path
+
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -25,6 +30,29 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, f"llm-{name}")
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Give this package to the session's Python workers, as ``--py-files`` would, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _SHIPPED:
+        return
+    root = Path(__file__).resolve().parents[1]
+    archive = os.path.join(tempfile.mkdtemp(prefix="airmesh-py-"), "airmesh.zip")
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted(root.rglob("*.py")):
+            out.write(file, str(Path(root.name) / file.relative_to(root)))
+    context.addPyFile(archive)
+    _SHIPPED.add(context.applicationId)
+
+
+def map_rows(df: DataFrame, function, schema: str) -> DataFrame:
+    """``df.mapInArrow`` whose function may use this package."""
+    ship_package(df.sparkSession)
+    return df.mapInArrow(function, schema)
+
+
 def id_fold(doc_id: Column) -> Column:
     """crc32 of the id's text modulo 4; a null id counts as the empty text."""
     return (F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")) % 4).cast("int")

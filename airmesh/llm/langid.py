@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import RowBuffer, id_fold, texts_of
+from .common import RowBuffer, id_fold, map_rows, texts_of
 
 DIMENSIONS = 1024
 SLOTS = 64
@@ -126,10 +126,9 @@ def learn_prototypes(labelled: DataFrame) -> dict[str, np.ndarray]:
                 [pa.array([lang] * DIMENSIONS, pa.string()), pa.array(np.arange(DIMENSIONS, dtype=np.int64)), pa.array(vector)],
                 names=["lang", "place", "value"])
 
-    sums = (labelled.filter(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("text", "lang")
-            .mapInArrow(count, "lang string, gram long, n long")
-            .groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-            .mapInArrow(fold, "lang string, place long, value double")
+    known = labelled.filter(F.col("text").isNotNull() & F.col("lang").isNotNull()).select("text", "lang")
+    grams = map_rows(known, count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
+    sums = (map_rows(grams, fold, "lang string, place long, value double")
             # whole numbers far below 2**53, so the order of adding is no matter
             .groupBy("lang", "place").agg(F.sum("value").alias("value")).collect())
     vectors: dict[str, np.ndarray] = {}
@@ -168,7 +167,7 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], also: tuple[str
             out = batch if "text" in also else batch.drop_columns(["text"])
             yield out.append_column("lang_pred", pa.array(langs_out, pa.string())).append_column("score", pa.array(scores, pa.float64()))
 
-    return kept.mapInArrow(score, f"{out_type}, lang_pred string, score double")
+    return map_rows(kept, score, f"{out_type}, lang_pred string, score double")
 
 
 def predict_languages(docs: DataFrame) -> DataFrame:

@@ -8,13 +8,18 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import n_bytes, table
 from .langid import predict_languages
+from .mixing import mix_documents
+from .sharding import shard_rows
 from .tokencount import count_tokens
 from .tokenfile import token_file_digests
+from .toxicity import score_toxicity
+from .urlfilter import judge_urls
 
 CONTEXT_TOKENS = 4096
 END_ID = 1
+SHARDS = 40
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -22,6 +27,25 @@ def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.withColumn("over_limit", F.col("n_tokens") > CONTEXT_TOKENS)
 
 
+def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mix_documents(table(spark, sf_dir, "documents"))
+
+
+def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op5_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    dealt = shard_rows(table(spark, sf_dir, "documents"), SHARDS)
+    return dealt.select(
+        "doc_id", (n_bytes(F.col("text")) + 16).alias("size"), F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("text_crc32"),
+        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+def op6_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"))
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_languages(table(spark, sf_dir, "documents"))
 
@@ -31,6 +55,6 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op7_language_id, op10_token_files)
+    f.__name__: f for f in (op1_token_counts, op2_mixing, op4_toxicity, op5_sharding, op6_url_filter, op7_language_id, op10_token_files)
 }
 ORACLE_SQL: dict[str, str] = {}

@@ -29,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import FLUSH_ROWS, RowBuffer, heaviest, stored, texts_of
+from .common import FLUSH_ROWS, RowBuffer, heaviest, map_rows, stored, texts_of
 
 HEAD_TERMS = 300_000
 HEAD_CHARS = 64
@@ -86,9 +86,9 @@ def piece_counts(docs: DataFrame, model_path: str) -> DataFrame:
             pieces = [len(ids) if term else 1 for term, ids in zip(terms, model.encode(terms, num_threads=1), strict=True)]
             yield batch.append_column("pieces", pa.array(pieces, pa.int64()))
 
-    terms = (docs.select("text").mapInArrow(_partial_terms, "term string, docs long")
+    terms = (map_rows(docs.select("text"), _partial_terms, "term string, docs long")
              .groupBy("term").agg(F.sum("docs").alias("docs")))
-    return terms.mapInArrow(encode, "term string, docs long, pieces long")
+    return map_rows(terms, encode, "term string, docs long, pieces long")
 
 
 def count_tokens(docs: DataFrame, model_path: str, head_terms: int = HEAD_TERMS) -> DataFrame:
@@ -120,7 +120,7 @@ def count_tokens(docs: DataFrame, model_path: str, head_terms: int = HEAD_TERMS)
                 yield out.batch()
         yield from out.rest()
 
-    rows = docs.mapInArrow(spread, "doc_id long, text_key long, n_bytes long, copies long, known long, term string, n long")
+    rows = map_rows(docs, spread, "doc_id long, text_key long, n_bytes long, copies long, known long, term string, n long")
     rest = counts.select("term", "pieces")
     sums = (rows.join(rest, "term", "left")
             .groupBy("doc_id", "text_key")
