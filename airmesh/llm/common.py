@@ -12,6 +12,7 @@ from pathlib import Path
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from airmesh.session import materialize
 
@@ -47,7 +48,7 @@ def ship_package(spark: SparkSession) -> None:
     _SHIPPED.add(context.applicationId)
 
 
-def map_rows(df: DataFrame, function, schema: str) -> DataFrame:
+def map_rows(df: DataFrame, function, schema: str | StructType) -> DataFrame:
     """``df.mapInArrow`` whose function may use this package."""
     ship_package(df.sparkSession)
     return df.mapInArrow(function, schema)
@@ -71,7 +72,7 @@ def heaviest(df: DataFrame, weight: str, most: int) -> int:
     """
     classes = (df.groupBy(F.floor(F.log2(F.greatest(F.col(weight), F.lit(1)))).alias("c"))
                .count().collect())
-    total, floor = 0, 64
+    total, floor = 0, 62
     for row in sorted(classes, key=lambda r: -r["c"]):
         total += row["count"]
         if total > most:

@@ -9,8 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import n_bytes, table
+from .decontam import find_leaks
 from .langid import predict_languages
 from .mixing import mix_documents
+from .ngramjoin import link_components
 from .sharding import shard_rows
 from .tokencount import count_tokens
 from .tokenfile import token_file_digests
@@ -31,6 +33,10 @@ def op2_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mix_documents(table(spark, sf_dir, "documents"))
 
 
+def op3_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op4_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
@@ -50,11 +56,15 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_languages(table(spark, sf_dir, "documents"))
 
 
+def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_components(table(spark, sf_dir, "documents"))
+
+
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), END_ID)
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_mixing, op4_toxicity, op5_sharding, op6_url_filter, op7_language_id, op10_token_files)
+    f.__name__: f for f in (op1_token_counts, op2_mixing, op3_decontamination, op4_toxicity, op5_sharding, op6_url_filter, op7_language_id, op8_ngram_join, op10_token_files)
 }
 ORACLE_SQL: dict[str, str] = {}
