@@ -170,8 +170,21 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], also: tuple[str
     return map_rows(kept, score, f"{out_type}, lang_pred string, score double")
 
 
+def keep_identified(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` (doc_id, text, lang, ...) with a language, all their columns.
+
+    Learned as by ``predict_languages``; only texts that are null or have no
+    letter are rejected (short texts have small cosines and are kept).
+    """
+    fold = id_fold(F.col("doc_id"))
+    prototypes = learn_prototypes(docs.filter(fold != 2).select("text", "lang"))
+    scored = docs.select(F.struct(*docs.columns).alias("document"), "doc_id", "text") if docs.columns else docs
+    found = identify(scored, prototypes, ("document",))
+    return found.filter(F.col("lang_pred") != UNDEFINED).select("document.*")
+
+
 def predict_languages(docs: DataFrame) -> DataFrame:
     """Learn from the rows of fold 0, 1 and 3, predict all: (doc_id, held_out, lang_pred, score)."""
-    held = docs.withColumn("held_out", id_fold(F.col("doc_id")) == 2)
+    held = docs.select("doc_id", "text", "lang").withColumn("held_out", id_fold(F.col("doc_id")) == 2)
     prototypes = learn_prototypes(held.filter(~F.col("held_out")))
     return identify(held, prototypes, ("held_out",)).select("doc_id", "held_out", "lang_pred", "score")

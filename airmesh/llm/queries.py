@@ -12,6 +12,7 @@ from .common import n_bytes, table
 from .decontam import find_leaks
 from .langid import predict_languages
 from .mixing import mix_documents
+from .mtree import top_k
 from .ngramjoin import link_components
 from .sharding import shard_rows
 from .tokencount import count_tokens
@@ -22,6 +23,7 @@ from .urlfilter import judge_urls
 CONTEXT_TOKENS = 4096
 END_ID = 1
 SHARDS = 40
+NEIGHBOURS = 20
 
 
 def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,7 +59,11 @@ def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return link_components(table(spark, sf_dir, "documents"))
+    return link_components(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
+def op9_exact_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return top_k(table(spark, sf_dir, "embeddings"), NEIGHBOURS, F.col("vec_id") % 20 == 0)
 
 
 def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,6 +71,41 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_mixing, op3_decontamination, op4_toxicity, op5_sharding, op6_url_filter, op7_language_id, op8_ngram_join, op10_token_files)
+    f.__name__: f for f in (op1_token_counts, op2_mixing, op3_decontamination, op4_toxicity, op5_sharding, op6_url_filter, op7_language_id, op8_ngram_join, op9_exact_top_k, op10_token_files)
+}
+
+ORACLE_SQL: dict[str, str] = {
+    "op8_ngram_join": r"""
+        WITH RECURSIVE words AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                                             '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w
+            FROM documents),
+        sets AS (
+            SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+                ELSE list_distinct(list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' '))) END AS s
+            FROM words),
+        shingles AS (SELECT doc_id, unnest(s) AS x FROM sets),
+        shared AS (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both
+            FROM shingles a JOIN shingles b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2),
+        links AS (
+            SELECT a, b FROM shared JOIN sets p ON p.doc_id = a JOIN sets q ON q.doc_id = b
+            WHERE 100 * both >= 80 * (len(p.s) + len(q.s) - both)),
+        edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
+        reach AS (
+            SELECT doc_id AS a, doc_id AS b FROM documents
+            UNION SELECT r.a, e.b FROM reach r JOIN edges e ON r.b = e.a)
+        SELECT s.doc_id, any_value(len(s.s))::BIGINT AS n_shingles, min(r.b) AS component_id
+        FROM sets s JOIN reach r ON r.a = s.doc_id GROUP BY s.doc_id""",
+    "op9_exact_top_k": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)) AS q FROM embeddings
+            WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+        scored AS (
+            SELECT a.vec_id AS query_id, b.vec_id, list_inner_product(a.q, b.q)::BIGINT AS score
+            FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 20 = 0),
+        ranked AS (
+            SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM scored)
+        SELECT * FROM ranked WHERE rank <= 20""",
 }
-ORACLE_SQL: dict[str, str] = {}
