@@ -138,7 +138,8 @@ def mix_slots(targets: DataFrame, seed: int = SEED) -> DataFrame:
     # draws are made in runs, so that a hot source's are spread before they are many
     runs = drawn.filter("draws > 0").withColumn(
         "run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("draws") - 1) / SHARD_SLOTS).cast("long"))))
-    runs = runs.repartition("source", "run")
+    # few small rows that become many: a fixed number of partitions keeps AQE from making one of them
+    runs = runs.repartition(int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions")), "source", "run")
     each = runs.withColumn("draw", F.explode(F.sequence(
         F.col("run") * SHARD_SLOTS, F.least(F.col("run") * SHARD_SLOTS + SHARD_SLOTS, F.col("draws")) - 1)))
     epoch = F.floor(F.col("draw") / F.col("blocks")).cast("int")
@@ -164,7 +165,8 @@ def taken_pieces(placed: DataFrame, targets: DataFrame) -> DataFrame:
     """Pieces of documents joined with the slots that take their blocks."""
     slots = mix_slots(targets).withColumnRenamed("source", "s").withColumnRenamed("block", "b")
     pieces = block_pieces(placed)
-    return pieces.join(slots, F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b"))).drop("s", "b")
+    # the planner takes exploded rows for as few as they came from: no broadcast here, at any size
+    return pieces.hint("merge").join(slots.hint("merge"), F.col("source").eqNullSafe(F.col("s")) & (F.col("block") == F.col("b"))).drop("s", "b")
 
 
 def mix_documents(docs: DataFrame) -> DataFrame:
@@ -174,7 +176,7 @@ def mix_documents(docs: DataFrame) -> DataFrame:
     own = ("chunk", "source", "place")
     taken = taken_pieces(with_offsets(placed), targets).groupBy(*own).agg(F.sum("words").alias("took"))
     taken = taken.select(*(F.col(c).alias(f"t_{c}") for c in own), "took")
-    rows = placed.join(taken, F.col("source").eqNullSafe(F.col("t_source")) & (F.col("chunk") == F.col("t_chunk"))
+    rows = placed.join(taken.hint("merge"), F.col("source").eqNullSafe(F.col("t_source")) & (F.col("chunk") == F.col("t_chunk"))
                        & (F.col("place") == F.col("t_place")), "left")
     known = targets.withColumnRenamed("source", "g")
     return (rows.join(F.broadcast(known) if known.count() <= BROADCAST_SOURCES else known, F.col("source").eqNullSafe(F.col("g")))
