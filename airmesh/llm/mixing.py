@@ -41,6 +41,7 @@ CHUNK_ROWS = 5_000
 SEED = 17
 #: Sources whose targets may be broadcast; more are joined by a shuffle.
 BROADCAST_SOURCES = 100_000
+_ROW = "_scan_row"
 #: Steps of a permutation until it lands inside its range; the chance of more is under 1e-20.
 MOST_STEPS = 40
 
@@ -181,3 +182,30 @@ def mix_documents(docs: DataFrame) -> DataFrame:
     known = targets.withColumnRenamed("source", "g")
     return (rows.join(F.broadcast(known) if known.count() <= BROADCAST_SOURCES else known, F.col("source").eqNullSafe(F.col("g")))
             .select("doc_id", "size", "source_size", "target", F.coalesce("took", F.lit(0)).cast("long").alias("taken")))
+
+
+def mixed_texts(docs: DataFrame) -> DataFrame:
+    """The mix as documents: a row of ``docs`` for each pass that takes words of it, all its columns.
+
+    Its text holds the words that the pass takes: the text as it is if that is
+    all of them, else those of the taken blocks, in order, with single blanks.
+    ``n_chars``, where it is a column, follows the text.  Rows without words are
+    in no mix.
+    """
+    numbered = docs.withColumn(_ROW, F.monotonically_increasing_id())
+    placed = placed_documents(numbered, _ROW)
+    targets = stored(source_targets(placed), "mix-targets")
+    own = ("chunk", "source", "place")
+    taken = taken_pieces(with_offsets(placed), targets).groupBy(*own, "epoch").agg(
+        F.sum("words").alias("took"), F.array_sort(F.collect_list(F.struct("at", "words"))).alias("pieces"))
+    taken = taken.select(*(F.col(c).alias(f"t_{c}") for c in own), "epoch", "took", "pieces")
+    rows = placed.hint("merge").join(
+        taken.hint("merge"), F.col("source").eqNullSafe(F.col("t_source")) & (F.col("chunk") == F.col("t_chunk")) & (F.col("place") == F.col("t_place")))
+    rows = rows.select(F.col(_ROW).alias(f"{_ROW}_t"), (F.col("took") == F.col("size")).alias("_whole"), "pieces")
+    mixed = numbered.hint("merge").join(rows.hint("merge"), F.col(_ROW) == F.col(f"{_ROW}_t"))
+    words = F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1))
+    parts = F.flatten(F.transform("pieces", lambda p: F.slice(words, (p["at"] + 1).cast("int"), p["words"].cast("int"))))
+    mixed = mixed.withColumn("text", F.when(F.col("_whole"), F.col("text")).otherwise(F.array_join(parts, " ")))
+    if "n_chars" in docs.columns:
+        mixed = mixed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    return mixed.select(*docs.columns)
