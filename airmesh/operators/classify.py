@@ -23,7 +23,12 @@ from . import features as feat
 from .metrics import confusion_matrix
 from .sampling import NUM_FOLDS, fold_of
 
+# --- fixed values: seed and parameter grids of the workload ---
 SEED = 12321
+REG_PARAMS = (0.0, 0.1)
+ELASTIC_NET_PARAMS = (0.0, 1.0)
+NUM_TREES = (40, 70, 100, 130)
+# --- end fixed values ---
 PARALLELISM = 4
 
 
@@ -38,12 +43,12 @@ class Candidate:
 
 def logistic_grid() -> list[Candidate]:
     """regParam {0, 0.1} × elasticNetParam {0, 1}; multinomial, no standardization, 100 iterations."""
-    return [Candidate("logreg", {"regParam": r, "elasticNetParam": e}) for r in (0.0, 0.1) for e in (0.0, 1.0)]
+    return [Candidate("logreg", {"regParam": r, "elasticNetParam": e}) for r in REG_PARAMS for e in ELASTIC_NET_PARAMS]
 
 
 def forest_grid() -> list[Candidate]:
     """numTrees {40, 70, 100, 130}, seeded."""
-    return [Candidate("forest", {"numTrees": n}) for n in (40, 70, 100, 130)]
+    return [Candidate("forest", {"numTrees": n}) for n in NUM_TREES]
 
 
 def _estimator(c: Candidate):
@@ -54,12 +59,12 @@ def _estimator(c: Candidate):
 
 
 def _pipeline(c: Candidate) -> Pipeline:
-    prep = feat.logistic_pipeline() if c.name == "logreg" else feat.forest_pipeline()
+    prep = feat.logistic_pipeline(labelled=True) if c.name == "logreg" else feat.forest_pipeline(labelled=True)
     return Pipeline(stages=[*prep.getStages(), _estimator(c)])
 
 
 def fit(c: Candidate, train: DataFrame) -> PipelineModel:
-    """Preprocessing and model fitted together on ``train`` only."""
+    """Preprocessing and model fitted together on ``train`` (rows with their label index) only."""
     return _pipeline(c).fit(train)
 
 
@@ -88,7 +93,9 @@ def cross_validate(grid: list[Candidate], train: DataFrame, key: str = "id", fol
 
     The score table has ``len(grid) × folds`` rows (bounded by the search size).
     """
-    data = train.withColumn("_fold", fold_of(key, folds))
+    labels = feat.label_index(train) if feat.LABEL not in train.columns else None
+    # kept for all fits of the search; what a lost executor held is read again
+    data = (labels.transform(train) if labels else train).withColumn("_fold", fold_of(key, folds)).persist()
 
     def run(job):
         i, c, f = job
@@ -98,8 +105,11 @@ def cross_validate(grid: list[Candidate], train: DataFrame, key: str = "id", fol
         return (c.name, i, c.describe(), f, f1, acc)
 
     jobs = [(i, c, f) for i, c in enumerate(grid) for f in range(folds)]
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        rows = list(pool.map(run, jobs))
+    try:
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            rows = list(pool.map(run, jobs))
+    finally:
+        data.unpersist()
     return train.sparkSession.createDataFrame(rows, SCORE_SCHEMA)
 
 
@@ -127,6 +137,8 @@ def train_and_predict(grid: list[Candidate], train: DataFrame, test: DataFrame,
     """
     from pyspark.ml.functions import vector_to_array
 
+    labels = feat.label_index(train.select("Workout").unionByName(test.select("Workout")))
+    train, test = labels.transform(train), labels.transform(test)
     scores = cross_validate(grid, train, key)
     best = best_candidate(grid, scores)
     preds = fit(best, train).transform(test)

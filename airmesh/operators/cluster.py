@@ -12,8 +12,10 @@ from ..sources.schemas import SENSOR_GYRO
 from . import features as feat
 from .metrics import silhouette
 
+# --- fixed values: seed and cluster counts of the workload ---
 SEED = 12321
 K_RANGE = tuple(range(2, 12))
+# --- end fixed values ---
 PARALLELISM = 4
 
 SWEEP_SCHEMA = T.StructType([
@@ -34,13 +36,18 @@ def sweep(model: str, train: DataFrame, test: DataFrame, columns: tuple[str, ...
 
     Silhouette is null when every test row falls into one cluster (undefined).
     """
-    tr = feat.assemble(train, columns)
-    te = feat.assemble(test, columns)
+    # kept for all fits of the sweep; what a lost executor held is read again
+    tr = feat.assemble(train, columns).select(feat.FEATURES).persist()
+    te = feat.assemble(test, columns).select(feat.FEATURES).persist()
 
     def run(k):
         preds = _estimator(model, k).fit(tr).transform(te)
         return (model, k, silhouette(preds, feat.FEATURES, "prediction").first()[0])
 
-    with ThreadPoolExecutor(max_workers=parallelism) as pool:
-        rows = list(pool.map(run, ks))
+    try:
+        with ThreadPoolExecutor(max_workers=parallelism) as pool:
+            rows = list(pool.map(run, ks))
+    finally:
+        tr.unpersist()
+        te.unpersist()
     return train.sparkSession.createDataFrame(rows, SWEEP_SCHEMA)

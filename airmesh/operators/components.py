@@ -137,9 +137,10 @@ def small_clusters(assignment: DataFrame, vertices: DataFrame, min_size: int = 2
     """
     sizes = component_sizes(assignment, label)
     largest = largest_component(assignment, label).select(F.col(label).alias("_largest"))
-    keep = sizes.join(F.broadcast(largest), F.col(label) == F.col("_largest"), "left_anti").filter(
-        F.col("size") >= min_size)
-    members = assignment.join(keep, label).join(vertices.select("id", "name", "country"), "id")
+    # the giant cluster goes by a scalar comparison, before any row of it is shuffled
+    giant = largest.agg(F.max("_largest")).scalar()
+    keep = sizes.filter((F.col("size") >= min_size) & (F.col(label) != giant))
+    members = assignment.filter(F.col(label) != giant).join(keep, label).join(vertices.select("id", "name", "country"), "id")
     known = members.groupBy(label).agg(F.count(F.lit(1)).alias("n_known"))
     return _first_members(members, label, per_cluster).join(known, label).select(
         label, "size", "n_known", "member_rank", "id", "name", "country")

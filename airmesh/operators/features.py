@@ -41,14 +41,28 @@ def one_hot(index_col: str, output: str) -> OneHotEncoder:
     return OneHotEncoder(inputCols=[index_col], outputCols=[output], handleInvalid="keep", dropLast=True)
 
 
+def label_stage(label: str, labelled: bool) -> list:
+    """The label indexer, unless the rows carry their label index already."""
+    return [] if labelled else [indexer(label, LABEL, handle_invalid="error")]
+
+
+def label_index(df: DataFrame, label: str = "Workout"):
+    """Label indexer fitted on every row that will be trained on or scored.
+
+    Labels are no features, so this leaks nothing; a label that a training fold
+    lacks still has its index, and its rows count as errors of that fold.
+    """
+    return indexer(label, LABEL, handle_invalid="error").fit(df.select(label))
+
+
 def logistic_pipeline(numeric: tuple[str, ...] = SENSOR_NUMERIC, position: str = "Position",
-                      label: str = "Workout") -> Pipeline:
+                      label: str = "Workout", labelled: bool = False) -> Pipeline:
     """Position index → one-hot; numeric assemble → std-scale (no centering);
     features = [scaled numeric, one-hot position]; label = indexed exercise."""
     return Pipeline(stages=[
         indexer(position, "position_idx"),
         one_hot("position_idx", "position_vec"),
-        indexer(label, LABEL, handle_invalid="error"),
+        *label_stage(label, labelled),
         VectorAssembler(inputCols=list(numeric), outputCol="numeric_vec"),
         StandardScaler(inputCol="numeric_vec", outputCol="numeric_scaled", withStd=True, withMean=False),
         VectorAssembler(inputCols=["numeric_scaled", "position_vec"], outputCol=FEATURES),
@@ -56,11 +70,11 @@ def logistic_pipeline(numeric: tuple[str, ...] = SENSOR_NUMERIC, position: str =
 
 
 def forest_pipeline(numeric: tuple[str, ...] = SENSOR_NUMERIC, position: str = "Position",
-                    label: str = "Workout") -> Pipeline:
+                    label: str = "Workout", labelled: bool = False) -> Pipeline:
     """Numeric readings + position index as features; label = indexed exercise."""
     return Pipeline(stages=[
         indexer(position, "position_idx"),
-        indexer(label, LABEL, handle_invalid="error"),
+        *label_stage(label, labelled),
         VectorAssembler(inputCols=[*numeric, "position_idx"], outputCol=FEATURES),
     ])
 

@@ -47,35 +47,31 @@ def ovr_scores(df: DataFrame, scores: str = "scores", label: str = "label", keep
     return ex.select(*keep, "class", "score", (F.col("_label") == F.col("class")).cast("double").alias("positive"))
 
 
-SCORE_BUCKETS = 4096
-
-
-def _score_groups(ovr: DataFrame, buckets: int = SCORE_BUCKETS) -> DataFrame:
+def _score_groups(ovr: DataFrame) -> DataFrame:
     """Per (class, distinct score): positives / negatives at that score and the
     cumulative counts over all scores ≥ it, plus class totals P and N.
 
-    Exact two-level prefix sum, so no window ever holds a whole class (with
-    model probabilities nearly every row is a distinct score):
-    distinct scores fall into ``buckets`` order-preserving buckets over the
-    class's [min, max]; bucket totals get a cumulative window of at most
-    ``buckets`` rows per class, and each score adds the running sum inside its
-    own (class, bucket) window.
+    Exact two-level prefix sum, so no window ever holds a whole class, however
+    its scores are spread (with model probabilities nearly every row is a
+    distinct score and most lie near 0 or 1): distinct scores are range
+    partitioned on (class, score), pinned in the checkpoint folder, summed
+    inside their partition, and shifted by the totals of the class's
+    partitions before — a table of one row per partition and class.
     """
     g = ovr.groupBy("class", "score").agg(
         F.sum("positive").alias("pos"), F.sum(F.lit(1.0) - F.col("positive")).alias("neg"))
-    rng = g.groupBy("class").agg(F.min("score").alias("lo"), F.max("score").alias("hi"),
-                                 F.sum("pos").alias("P"), F.sum("neg").alias("N"))
-    span = F.col("hi") - F.col("lo")
-    bucket = F.when(span > 0, F.least(F.floor((F.col("score") - F.col("lo")) / span * buckets),
-                                      F.lit(buckets - 1))).otherwise(F.lit(0)).cast("int")
-    gb = g.join(F.broadcast(rng), "class").withColumn("bucket", bucket)  # rng: one row per class
-    totals = gb.groupBy("class", "bucket").agg(F.sum("pos").alias("bpos"), F.sum("neg").alias("bneg"))
-    above = Window.partitionBy("class").orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
-    offsets = totals.select("class", "bucket",
-                            F.coalesce(F.sum("bpos").over(above), F.lit(0.0)).alias("off_pos"),
-                            F.coalesce(F.sum("bneg").over(above), F.lit(0.0)).alias("off_neg"))
-    local = Window.partitionBy("class", "bucket").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
-    return gb.join(offsets, ["class", "bucket"]).select(
+    order = ["class", F.desc("score")]
+    ranged = cut_lineage(g.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_pid", F.spark_partition_id()))
+    totals = ranged.groupBy("_pid", "class").agg(F.sum("pos").alias("bpos"), F.sum("neg").alias("bneg"))
+    whole = Window.partitionBy("class")
+    above = whole.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        "_pid", "class",
+        F.coalesce(F.sum("bpos").over(above), F.lit(0.0)).alias("off_pos"),
+        F.coalesce(F.sum("bneg").over(above), F.lit(0.0)).alias("off_neg"),
+        F.sum("bpos").over(whole).alias("P"), F.sum("bneg").over(whole).alias("N"))
+    local = Window.partitionBy("_pid", "class").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
+    return ranged.join(offsets, ["_pid", "class"]).select(
         "class", "score", "pos", "neg",
         (F.col("off_pos") + F.sum("pos").over(local)).alias("cum_pos"),
         (F.col("off_neg") + F.sum("neg").over(local)).alias("cum_neg"),
@@ -85,10 +81,11 @@ def _score_groups(ovr: DataFrame, buckets: int = SCORE_BUCKETS) -> DataFrame:
 
 def roc_points(ovr: DataFrame) -> DataFrame:
     """``class, threshold, fpr, tpr`` per distinct score, plus the (0,0) start and
-    (1,1) end points (threshold null), for every class in one job."""
+    (1,1) end points (threshold null), for every class in one job.  Where a
+    class has no positive (negative) row, tpr (fpr) is undefined: null."""
     g = _score_groups(ovr)
     pts = g.select("class", F.col("score").alias("threshold"),
-                   (F.col("cum_neg") / F.col("N")).alias("fpr"), (F.col("cum_pos") / F.col("P")).alias("tpr"))
+                   F.try_divide("cum_neg", "N").alias("fpr"), F.try_divide("cum_pos", "P").alias("tpr"))
     classes = ovr.select("class").distinct()
     ends = classes.select("class", F.lit(None).cast("double").alias("threshold"),
                           F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr")).unionByName(
@@ -100,12 +97,13 @@ def roc_points(ovr: DataFrame) -> DataFrame:
 def roc_auc(ovr: DataFrame) -> DataFrame:
     """``class, auc``: trapezoid area under the ROC curve (tied scores share a diagonal).
 
-    Σ over score groups of neg · (2·cum_pos − pos) / 2, divided by P·N.
+    Σ over score groups of neg · (2·cum_pos − pos) / 2, divided by P·N; null for
+    a class without positive or without negative rows.
     """
     g = _score_groups(ovr)
     return g.groupBy("class").agg(
-        (F.sum(F.col("neg") * (F.lit(2.0) * F.col("cum_pos") - F.col("pos")) / F.lit(2.0))
-         / (F.first("P") * F.first("N"))).alias("auc"))
+        F.try_divide(F.sum(F.col("neg") * (F.lit(2.0) * F.col("cum_pos") - F.col("pos")) / F.lit(2.0)),
+                     F.first("P") * F.first("N")).alias("auc"))
 
 
 def _features(df: DataFrame, features) -> Column:
@@ -154,13 +152,13 @@ def silhouette(df: DataFrame, features, prediction: str = "prediction") -> DataF
     own = lambda name: F.coalesce(*[F.when(F.col(f"c{i}") == F.col("c"), F.col(f"{name}{i}")) for i in range(k)])
     ab = d.select(
         own("n").alias("own_n"),
-        (own("d") * own("n") / (own("n") - F.lit(1))).alias("a"),
+        F.try_divide(own("d") * own("n"), own("n") - F.lit(1)).alias("a"),
         F.least(*[F.when(F.col(f"c{i}") != F.col("c"), F.col(f"d{i}")) for i in range(k)]).alias("b"),
     )
     a, b = F.col("a"), F.col("b")
     coef = (F.when(F.col("own_n") == 1, F.lit(0.0))
-            .when(a < b, F.lit(1.0) - a / b)
-            .when(a > b, b / a - F.lit(1.0))
+            .when(a < b, F.lit(1.0) - F.try_divide(a, b))
+            .when(a > b, F.try_divide(b, a) - F.lit(1.0))
             .otherwise(F.lit(0.0)))
     return ab.select(coef.alias("s")).agg(F.avg("s").alias("silhouette"))
 

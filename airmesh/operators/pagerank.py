@@ -82,6 +82,9 @@ def pagerank(graph: Graph, tol: float | None = 1e-5, max_iter: int | None = None
             delta = ranks.agg(F.max(F.abs(F.col("rank") - F.col("prev")))).first()[0]
             if delta is None or delta < tol:
                 break
+    else:
+        if max_iter is None:
+            raise RuntimeError(f"PageRank did not converge to {tol} in {limit} rounds")
     total = ranks.agg(F.sum("rank")).first()[0]
     scale = n_vertices / total if total else 1.0
     return ranks.select("id", (F.col("rank") * F.lit(scale)).alias("rank"))

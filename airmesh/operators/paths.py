@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.paths import path_text
+from ..session import cut_lineage, materialize
 
 
 def backward_reach(edges: DataFrame, targets: DataFrame, max_hops: int) -> list[DataFrame]:
@@ -24,12 +25,12 @@ def backward_reach(edges: DataFrame, targets: DataFrame, max_hops: int) -> list[
     ``reach[0]`` is the target set itself.  Each level is one semi-join plus a
     distinct over vertex ids, so its size is bounded by |V|.
     """
-    base = targets.select("id").distinct()
+    base = materialize(targets.select("id").distinct(), "reach")
     levels = [base]
     for _ in range(max_hops):
         # reach[k] = targets ∪ {u : u → v, v ∈ reach[k-1]} — one reference to the previous level
         step = edges.join(levels[-1].withColumnRenamed("id", "dst"), "dst", "left_semi").select(F.col("src").alias("id"))
-        levels.append(base.union(step).distinct())
+        levels.append(materialize(base.union(step).distinct(), "reach"))  # read by this hop's prune and the next level
     return levels
 
 
@@ -68,6 +69,7 @@ def simple_paths(edges: DataFrame, sources: DataFrame, targets: DataFrame, max_h
                 (F.col("km") + F.col("w")).alias("km"),
             )
         )
+        frontier = materialize(frontier, "frontier")  # read by this hop's hits and by the next hop
         hits.append(
             frontier.join(tgt, "last", "left_semi")
             .select("origin", F.col("last").alias("target"), F.lit(hop).alias("hops"), "path", "km")
@@ -78,6 +80,63 @@ def simple_paths(edges: DataFrame, sources: DataFrame, targets: DataFrame, max_h
     return out
 
 
+def shortest_paths(edges: DataFrame, sources: DataFrame, targets: DataFrame, max_hops: int = 3,
+                   weight: str = "km") -> DataFrame:
+    """Per (origin, target) the shortest path of 1..max_hops edges; ties break on the path text.
+
+    Edge weights are positive, so the best path of h edges to a vertex extends
+    a best path of h - 1 edges that avoids it: after each hop only the best
+    row of each (origin, last, hops) is kept — |origins| · |V| rows at most —
+    instead of every simple path.  Returns ``origin, target, hops, path, km``.
+    """
+    e = edges.select("src", "dst", F.col(weight).cast("double").alias("w")).filter("src <> dst")
+    reach = backward_reach(e, targets, max_hops)
+    frontier = sources.select(F.col("id").alias("origin"), F.array("id").alias("path"), F.col("id").alias("last"), F.lit(0.0).alias("km")).distinct()
+    tgt = targets.select(F.col("id").alias("last")).distinct()
+    hits = []
+    for hop in range(1, max_hops + 1):
+        frontier = _prune(frontier, reach[max_hops - hop + 1])
+        grown = frontier.join(e, frontier["last"] == e["src"]).filter(F.col("dst") != F.col("origin")).select(
+            "origin", F.array_append("path", F.col("dst")).alias("path"), F.col("dst").alias("last"), (F.col("km") + F.col("w")).alias("km"))
+        best = F.min(F.struct("km", path_text("path").alias("t"), "path"))
+        frontier = materialize(grown.groupBy("origin", "last").agg(best.alias("b")).select("origin", "b.path", "last", "b.km"), "frontier")
+        hits.append(frontier.join(tgt, "last", "left_semi").select(
+            "origin", F.col("last").alias("target"), F.lit(hop).alias("hops"), "path", "km"))
+    out = hits[0]
+    for h in hits[1:]:
+        out = out.unionByName(h)
+    return extreme_paths(out)
+
+
+def request_paths(edges: DataFrame, requests: DataFrame, max_hops: int = 3, weight: str = "km") -> DataFrame:
+    """All simple paths of 1..max_hops edges from ``src`` to ``dst`` of each row of ``requests``.
+
+    The requested pair is carried from the first hop: a frontier row knows its
+    target, and is kept only while that target is within the hops left of it.
+    Returns ``origin, target, hops, path, km``; a request asked twice counts once.
+    """
+    e = edges.select("src", "dst", F.col(weight).cast("double").alias("w"))
+    asked = materialize(requests.select(F.col("src").alias("origin"), F.col("dst").alias("target")).distinct(), "requests")
+    reach = [materialize(asked.select("target", F.col("target").alias("id")).distinct(), "reach")]
+    for _ in range(max_hops - 1):
+        step = e.join(reach[-1].withColumnRenamed("id", "dst"), "dst").select("target", F.col("src").alias("id"))
+        reach.append(materialize(reach[0].union(step).distinct(), "reach"))
+    frontier = asked.select("origin", "target", F.array("origin").alias("path"), F.col("origin").alias("last"), F.lit(0.0).alias("km"))
+    hits = []
+    for hop in range(1, max_hops + 1):
+        frontier = materialize(
+            frontier.join(e, frontier["last"] == e["src"]).filter(~F.array_contains("path", F.col("dst")))
+            .select("origin", "target", F.array_append("path", F.col("dst")).alias("path"), F.col("dst").alias("last"),
+                    (F.col("km") + F.col("w")).alias("km"))
+            .join(reach[max_hops - hop].withColumnRenamed("id", "last"), ["target", "last"], "left_semi"), "frontier")
+        hits.append(frontier.filter(F.col("last") == F.col("target")).select("origin", "target", F.lit(hop).alias("hops"), "path", "km"))
+        frontier = frontier.filter(F.col("last") != F.col("target"))
+    out = hits[0]
+    for h in hits[1:]:
+        out = out.unionByName(h)
+    return out
+
+
 def restrict_to_requests(paths: DataFrame, requests: DataFrame) -> DataFrame:
     """Keep paths whose (origin, target) is in ``requests(src, dst)``."""
     req = requests.select(F.col("src").alias("origin"), F.col("dst").alias("target")).distinct()
@@ -104,19 +163,21 @@ def label_paths(paths: DataFrame, vertices: DataFrame, unknown: str = "???") ->
 
     Each path is exploded into at most ``max_hops + 1`` positions, looked up
     with a left join and re-assembled in position order, grouping by the
-    path's own columns (a group never holds more than one path's positions).
+    path's row (a group never holds more than one path's positions).
     """
     names = vertices.groupBy("id").agg(F.min("name").alias("name"))
     cols = paths.columns
-    exploded = paths.select(*cols, F.posexplode("path").alias("_pos", "id"))
+    # equal paths stay one row each: the row number is written, so that it is the same wherever it is read
+    numbered = cut_lineage(paths.withColumn("_row", F.monotonically_increasing_id()))
+    exploded = numbered.select(*cols, "_row", F.posexplode("path").alias("_pos", "id"))
     labelled = exploded.join(names, "id", "left").select(
-        *cols, "_pos",
+        *cols, "_row", "_pos",
         F.concat(F.col("id").cast("string"), F.lit(":"), F.coalesce(F.col("name"), F.lit(unknown))).alias("_lab"),
     )
-    return labelled.groupBy(*cols).agg(
+    return labelled.groupBy("_row", *cols).agg(
         F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_pos", "_lab"))), lambda s: s["_lab"]),
                      " -> ").alias("labels")
-    )
+    ).drop("_row")
 
 
 def itineraries(vertices: DataFrame, edges: DataFrame, src_country: str, dst_country: str,
@@ -143,7 +204,7 @@ def itineraries(vertices: DataFrame, edges: DataFrame, src_country: str, dst_cou
     for stops in range(0, max_stops + 1):
         # reach the destination set from here (this hop is the last one)
         frontier = _prune(frontier, reach[max_stops - stops + 1])
-        step = frontier.join(e, frontier["last"] == e["src"]).drop("src")
+        step = materialize(frontier.join(e, frontier["last"] == e["src"]).drop("src"), "step")
         final = step.join(b.select(F.col("id").alias("dst")), "dst", "left_semi")
         interior = F.slice("path", 2, F.greatest(F.size("path") - 1, F.lit(1)))
         if strict:

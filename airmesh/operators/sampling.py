@@ -15,13 +15,15 @@ from pyspark.sql import functions as F
 # --- fixed values: split / fold hash parameters and workload constants ---
 SPLIT_MULTIPLIER = 1103515245
 SPLIT_INCREMENT = 12345
-SPLIT_MODULUS = 2147483648  # 2**31
+SPLIT_MODULUS = 2147483647  # 2**31 - 1, a prime: every digit of the hash depends on the whole key
+SAMPLE_MODULUS = 2147483648  # 2**31
 FOLD_MULTIPLIER = 69069
 FOLD_SCALE = 7919
 FOLD_MODULUS = 2147483647  # 2**31 - 1
 TRAIN_BUCKETS = 7  # of 10 → 70 / 30
 NUM_FOLDS = 5
 SAMPLE_TARGET = 500_000
+HISTOGRAM_BUCKETS = 65536
 # --- end fixed values ---
 
 
@@ -30,14 +32,20 @@ def _key(key) -> Column:
 
 
 def split_hash(key) -> Column:
-    """``(key * 1103515245 + 12345) mod 2**31`` without overflow."""
+    """``(key * 1103515245 + 12345) mod (2**31 - 1)`` without overflow."""
     k = F.pmod(_key(key), F.lit(SPLIT_MODULUS))
     return F.pmod(k * F.lit(SPLIT_MULTIPLIER) + F.lit(SPLIT_INCREMENT), F.lit(SPLIT_MODULUS))
 
 
+def sample_hash(key) -> Column:
+    """The sampler's hash, in [0, 2**31); only its order (its high digits) is used."""
+    k = F.pmod(_key(key), F.lit(SAMPLE_MODULUS))
+    return F.pmod(k * F.lit(SPLIT_MULTIPLIER) + F.lit(SPLIT_INCREMENT), F.lit(SAMPLE_MODULUS))
+
+
 def unit_hash(key) -> Column:
     """Uniform-looking value in [0, 1) from the key."""
-    return split_hash(key).cast("double") / F.lit(float(SPLIT_MODULUS))
+    return sample_hash(key).cast("double") / F.lit(float(SAMPLE_MODULUS))
 
 
 def is_train(key, train_buckets: int = TRAIN_BUCKETS) -> Column:
@@ -59,18 +67,37 @@ def train_test_split(df: DataFrame, key: str) -> tuple[DataFrame, DataFrame]:
 
 def sample_to_target(df: DataFrame, key: str, target: int = SAMPLE_TARGET) -> DataFrame:
     """Keep about ``target`` rows: fraction ``min(1, target / count)`` by key hash,
-    then at most ``target`` rows in hash order.
+    then at most ``target`` rows in (hash, key) order.
 
-    The count is one aggregate; the cap is a top-``target`` (TakeOrderedAndProject),
-    bounded by ``target`` rows, not by the table.
+    The cap is a cutoff on the hash, found from two histograms of at most
+    ``HISTOGRAM_BUCKETS`` rows, so the result is a filter over the table's own
+    partitions.  Only rows whose hash equals the cutoff are ever ordered.
     """
-    total = df.count()
-    fraction = min(1.0, target / total) if total else 1.0
-    u = unit_hash(key)
-    return (
-        df.withColumn("_u", u)
-        .filter(F.col("_u") < F.lit(fraction))
-        .orderBy("_u", key)
-        .limit(target)
-        .drop("_u")
-    )
+    if target <= 0:
+        return df.limit(0)
+    coarse = SAMPLE_MODULUS // HISTOGRAM_BUCKETS
+    h = sample_hash(key)
+    counts = {r["b"]: r["n"] for r in df.groupBy(F.floor(h / coarse).alias("b")).agg(F.count(F.lit(1)).alias("n")).collect()}
+    total = sum(counts.values())
+    if total <= target:
+        return df
+    fraction = target / total
+    kept = df.filter(unit_hash(key) < F.lit(fraction))
+    # the bucket in which the target is passed, then the hash; rows without a key hash to null and go
+    passed, bucket = _passed({b: n for b, n in counts.items() if b is not None}, target)
+    if bucket is None:
+        return kept
+    fine = df.filter(F.floor(h / coarse) == bucket).groupBy(h.alias("h")).agg(F.count(F.lit(1)).alias("n")).collect()
+    more, cutoff = _passed({r["h"]: r["n"] for r in fine}, target - passed)
+    ties = kept.filter(h == cutoff).orderBy(key).limit(target - passed - more)
+    return kept.filter(h < cutoff).unionByName(ties)
+
+
+def _passed(counts: dict, target: int) -> tuple[int, int | None]:
+    """Rows before, and the first value at which the running count exceeds ``target``."""
+    before = 0
+    for value in sorted(counts):
+        if before + counts[value] > target:
+            return before, value
+        before += counts[value]
+    return before, None

@@ -41,7 +41,10 @@ def lead_in_group(df: DataFrame, group: str, order: list[str], value: str, out:
     are interchangeable, as with a window ``lead``."""
     keys = [group, *order]
     ranged = cut_lineage(_range_sorted(df, keys, partitions).withColumn("_pid", F.spark_partition_id()))
-    local = ranged.withColumn(out, F.lead(value).over(Window.partitionBy("_pid", group).orderBy(*order)))
+    slice_order = Window.partitionBy("_pid", group).orderBy(*order)
+    # a null lead may be a null value: the last row of a slice is told by a lead of a constant
+    local = ranged.withColumn(out, F.lead(value).over(slice_order)).withColumn(
+        "_last", F.lead(F.lit(True)).over(slice_order).isNull())
     firsts = ranged.groupBy("_pid").agg(F.min(F.struct(*[F.col(c) for c in keys], F.col(value).alias("_v"))).alias("f"))
     stitch = firsts.select(
         F.lag("_pid").over(Window.orderBy("_pid")).alias("_prev_pid"),  # one row per partition
@@ -49,10 +52,10 @@ def lead_in_group(df: DataFrame, group: str, order: list[str], value: str, out:
     ).filter(F.col("_prev_pid").isNotNull())
     joined = local.join(
         F.broadcast(stitch),
-        (local["_pid"] == stitch["_prev_pid"]) & (local[group] == stitch["_g"]) & local[out].isNull(),
+        (local["_pid"] == stitch["_prev_pid"]) & local[group].eqNullSafe(stitch["_g"]) & local["_last"],
         "left",
     )
-    return joined.select(*df.columns, F.coalesce(F.col(out), F.col("_next_v")).alias(out))
+    return joined.select(*df.columns, F.when(F.col("_last"), F.col("_next_v")).otherwise(F.col(out)).alias(out))
 
 
 def global_rank(df: DataFrame, order: list, out: str = "rank", partitions: int | None = None) -> DataFrame:

@@ -11,6 +11,8 @@ from .registry import query
 from .sqltext import (
     AIRLINE,
     AIRPORT,
+    ALL_AIRLINES,
+    ALL_AIRPORTS,
     AIRPORT_TEXT,
     ROUTE,
     VALID_WEIGHTED_EDGE,
@@ -96,16 +98,16 @@ def q_graph_summary(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- scans / cleaning
-@query("scan_airports", with_ctes(AIRPORT, body="SELECT id, name, latitude, longitude FROM airport"))
+@query("scan_airports", with_ctes(ALL_AIRPORTS, body="SELECT id, name, latitude, longitude FROM airport"))
 def q_scan_airports(spark, sf_dir):
     fields = pick(AIRPORT_FIELDS, "id", "name", "latitude", "longitude")
-    return delimited.clean_named(standins.airports(spark, sf_dir), fields)
+    return delimited.clean_named(standins.all_airports(spark, sf_dir), fields)
 
 
-@query("scan_airlines", with_ctes(AIRLINE, body="SELECT id, name FROM airline"))
+@query("scan_airlines", with_ctes(ALL_AIRLINES, body="SELECT id, name FROM airline"))
 def q_scan_airlines(spark, sf_dir):
     from ..sources.schemas import AIRLINE_FIELDS
-    return delimited.clean_named(standins.airlines(spark, sf_dir), pick(AIRLINE_FIELDS, "id", "name"))
+    return delimited.clean_named(standins.all_airlines(spark, sf_dir), pick(AIRLINE_FIELDS, "id", "name"))
 
 
 @query("scan_routes", with_ctes(ROUTE, body="SELECT airline_id, src_id, dest_id FROM route"))
@@ -136,7 +138,7 @@ def q_typed_cast(spark, sf_dir):
 
 
 @query("airports_by_country", with_ctes(
-    AIRPORT, body="SELECT id, country FROM airport WHERE country = 'Brand#11'"))
+    ALL_AIRPORTS, body="SELECT id, country FROM airport WHERE country = 'Brand#11'"))
 def q_airports_by_country(spark, sf_dir):
-    a = standins.airports(spark, sf_dir)
+    a = standins.all_airports(spark, sf_dir)
     return a.filter(F.col("country") == "Brand#11").select("id", "country")

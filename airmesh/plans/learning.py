@@ -117,7 +117,7 @@ def q_silhouette(spark, sf_dir):
     return s.select(F.round("silhouette", 6).alias("silhouette"))
 
 
-_SPLIT = ("(((l_orderkey % 2147483648) * 1103515245 + 12345) % 2147483648) % 10 < 7")
+_SPLIT = ("(((l_orderkey % 2147483647) * 1103515245 + 12345) % 2147483647) % 10 < 7")
 _FOLD = ("(((((l_orderkey % 2147483647) * 69069 + 1) % 2147483647) * 7919) % 2147483647) % 5")
 
 
@@ -154,14 +154,16 @@ def q_scan_sensor(spark, sf_dir):
     return s.select("id", *[F.col(n).try_cast(t).alias(n) for n, t in SENSOR_COLUMNS])
 
 
+#: Below the row count at every scale, so that fraction and cap both act.
+SAMPLED = 300
 _U = "((((id % 2147483648) * 1103515245 + 12345) % 2147483648) / 2147483648.0)"
 
 
 @query("sample_target", with_ctes(SENSOR, body=f"""SELECT id, {_SENSOR_COLS} FROM sensor
-WHERE {_U} < least(1.0, {sampling.SAMPLE_TARGET}.0 / (SELECT count(*) FROM sensor))
-ORDER BY {_U}, id LIMIT {sampling.SAMPLE_TARGET}"""))
+WHERE {_U} < least(1.0, {SAMPLED}.0 / (SELECT count(*) FROM sensor))
+ORDER BY {_U}, id LIMIT {SAMPLED}"""))
 def q_sample_target(spark, sf_dir):
-    return sampling.sample_to_target(standins.sensor(spark, sf_dir), "id", sampling.SAMPLE_TARGET)
+    return sampling.sample_to_target(standins.sensor(spark, sf_dir), "id", SAMPLED)
 
 
 _POS_IDX = """pidx AS (SELECT value, row_number() OVER (ORDER BY n DESC, value) - 1 AS idx
@@ -177,7 +179,8 @@ def q_one_hot(spark, sf_dir):
     model = Pipeline(stages=[features.indexer("Position", "position_idx"),
                              features.one_hot("position_idx", "position_vec")]).fit(s)
     out = model.transform(s).withColumn("_v", vector_to_array("position_vec"))
-    return out.select("id", "Position", "position_idx", *[F.col("_v")[i].alias(f"oh_{i}") for i in range(3)])
+    width = len(model.stages[0].labels)
+    return out.select("id", "Position", "position_idx", *[F.col("_v")[i].alias(f"oh_{i}") for i in range(width)])
 
 
 @query("standard_scale", with_ctes(SENSOR, body="SELECT id, " + ", ".join(
@@ -190,7 +193,7 @@ def q_standard_scale(spark, sf_dir):
     return scaled.select("id", *[F.round(arr[i], 6).alias(c) for i, c in enumerate(SENSOR_NUMERIC)])
 
 
-_TRAIN = "((((id % 2147483648) * 1103515245 + 12345) % 2147483648) % 10 < 7)"
+_TRAIN = "((((id % 2147483647) * 1103515245 + 12345) % 2147483647) % 10 < 7)"
 
 
 @query("feature_vectors", with_ctes(
@@ -199,7 +202,7 @@ _TRAIN = "((((id % 2147483648) * 1103515245 + 12345) % 2147483648) % 10 < 7)"
 pidx AS (SELECT value, row_number() OVER (ORDER BY n DESC, value) - 1 AS idx
   FROM (SELECT Position AS value, count(*) AS n FROM tr GROUP BY 1) t),
 lidx AS (SELECT value, row_number() OVER (ORDER BY n DESC, value) - 1 AS idx
-  FROM (SELECT Workout AS value, count(*) AS n FROM tr GROUP BY 1) t),
+  FROM (SELECT Workout AS value, count(*) AS n FROM sensor GROUP BY 1) t),
 sd AS (SELECT {', '.join(f'stddev_samp({c}) AS {c}' for c in SENSOR_NUMERIC)} FROM tr)""",
     body="SELECT s.id, CAST(l.idx AS DOUBLE) AS label, " + ", ".join(
         f"round(s.{c} / sd.{c}, 6) AS f_{i}" for i, c in enumerate(SENSOR_NUMERIC)) + ", " + ", ".join(
@@ -209,40 +212,48 @@ LEFT JOIN pidx p ON p.value = s.Position"""))
 def q_feature_vectors(spark, sf_dir):
     s = standins.sensor(spark, sf_dir)
     train, _ = sampling.train_test_split(s, "id")
-    out = features.logistic_pipeline().fit(train).transform(s)
+    labels = features.label_index(s)
+    model = features.logistic_pipeline(labelled=True).fit(labels.transform(train))
+    out = model.transform(labels.transform(s))
     arr = vector_to_array(features.FEATURES)
-    n = len(SENSOR_NUMERIC) + 3
+    n = len(SENSOR_NUMERIC) + len(model.stages[0].labels)  # as many positions as the fitted index has
     return out.select("id", features.LABEL,
                       *[(F.round(arr[i], 6) if i < len(SENSOR_NUMERIC) else arr[i]).alias(f"f_{i}") for i in range(n)])
 
 
 # ---------------------------------------------------------------- trained models (no SQL form)
 def _sensor_split(spark, sf_dir):
-    s = sampling.sample_to_target(standins.sensor(spark, sf_dir), "id")
-    return sampling.train_test_split(s, "id")
+    """All rows, split; nothing is cut."""
+    return sampling.train_test_split(standins.sensor(spark, sf_dir), "id")
+
+
+def _fit_split(spark, sf_dir):
+    """The labelled rows that a classifier is fitted on are bounded (``SAMPLE_TARGET``); all test rows are scored."""
+    train, test = _sensor_split(spark, sf_dir)
+    return sampling.sample_to_target(train, "id"), test
 
 
 @query("logreg_predictions")
 def q_logreg_predictions(spark, sf_dir):
-    train, test = _sensor_split(spark, sf_dir)
+    train, test = _fit_split(spark, sf_dir)
     return classify.train_and_predict(classify.logistic_grid(), train, test)
 
 
 @query("rf_predictions")
 def q_rf_predictions(spark, sf_dir):
-    train, test = _sensor_split(spark, sf_dir)
+    train, test = _fit_split(spark, sf_dir)
     return classify.train_and_predict(classify.forest_grid(), train, test)
 
 
 @query("cv_scores")
 def q_cv_scores(spark, sf_dir):
-    train, _ = _sensor_split(spark, sf_dir)
+    train, _ = _fit_split(spark, sf_dir)
     return classify.cross_validate(classify.logistic_grid() + classify.forest_grid(), train)
 
 
 @query("cv_best")
 def q_cv_best(spark, sf_dir):
-    train, _ = _sensor_split(spark, sf_dir)
+    train, _ = _fit_split(spark, sf_dir)
     return classify.best_scores(classify.cross_validate(classify.logistic_grid() + classify.forest_grid(), train))
 
 
@@ -268,7 +279,7 @@ def q_k_scoreboard(spark, sf_dir):
 
 
 def _model_auc(spark, sf_dir, grid):
-    train, test = _sensor_split(spark, sf_dir)
+    train, test = _fit_split(spark, sf_dir)
     preds = classify.train_and_predict(grid, train, test)
     return metrics.roc_auc(metrics.ovr_scores(preds, "probability", features.LABEL))
 

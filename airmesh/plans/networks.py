@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ..operators import communities, components, graph, pagerank
 from ..sources import standins
 from .registry import query
-from .sqltext import AIRPORT, ROUTE, SPARSE_ROUTE
+from .sqltext import AIRPORT, ROUTE, ORDER_ROUTE
 
 TOL = 1e-5
 LPA_STEPS = 100
@@ -50,9 +50,7 @@ prs AS (SELECT id, rank * (SELECT count(*) FROM ids) / (SELECT sum(rank) FROM fi
 
 
 def _sparse_graph(spark, sf_dir):
-    airports = standins.airports(spark, sf_dir)
-    routes = standins.routes(spark, sf_dir, standins.SPARSE_ROUTE_MIN_QUANTITY)
-    return graph.build_graph(airports, routes)
+    return graph.build_graph(standins.airports(spark, sf_dir), standins.order_routes(spark, sf_dir))
 
 
 def _dense_graph(spark, sf_dir):
@@ -60,18 +58,18 @@ def _dense_graph(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- connected components
-@query("connected_components", _rec(AIRPORT, SPARSE_ROUTE, _IDS, _CC, body="SELECT id, component FROM cc"))
+@query("connected_components", _rec(AIRPORT, ORDER_ROUTE, _IDS, _CC, body="SELECT id, component FROM cc"))
 def q_connected_components(spark, sf_dir):
     return components.connected_components(_sparse_graph(spark, sf_dir))
 
 
-@query("component_sizes", _rec(AIRPORT, SPARSE_ROUTE, _IDS, _CC,
+@query("component_sizes", _rec(AIRPORT, ORDER_ROUTE, _IDS, _CC,
                                body="SELECT component, count(*) AS size FROM cc GROUP BY component"))
 def q_component_sizes(spark, sf_dir):
     return components.component_sizes(components.connected_components(_sparse_graph(spark, sf_dir)))
 
 
-@query("largest_component", _rec(AIRPORT, SPARSE_ROUTE, _IDS, _CC, body="""SELECT component, count(*) AS size
+@query("largest_component", _rec(AIRPORT, ORDER_ROUTE, _IDS, _CC, body="""SELECT component, count(*) AS size
 FROM cc GROUP BY component ORDER BY size DESC, component LIMIT 1"""))
 def q_largest_component(spark, sf_dir):
     return components.largest_component(components.connected_components(_sparse_graph(spark, sf_dir)))
@@ -84,7 +82,7 @@ ranked AS (SELECT m.*, top.size, CAST(row_number() OVER (PARTITION BY m.componen
            FROM m JOIN top ON top.component = m.component)"""
 
 
-@query("component_report", _rec(AIRPORT, SPARSE_ROUTE, _IDS, _CC, _REPORT, body="""
+@query("component_report", _rec(AIRPORT, ORDER_ROUTE, _IDS, _CC, _REPORT, body="""
 SELECT component, size, member_rank, id, name, country FROM ranked WHERE member_rank <= 10"""))
 def q_component_report(spark, sf_dir):
     g = _sparse_graph(spark, sf_dir)
@@ -102,7 +100,7 @@ ranked AS (SELECT m.*, kn.n_known, CAST(row_number() OVER (PARTITION BY m.{label
            FROM m JOIN kn ON kn.{label} = m.{label})"""
 
 
-@query("small_components", _rec(AIRPORT, SPARSE_ROUTE, _IDS, _CC, _small_sql("component"), body="""
+@query("small_components", _rec(AIRPORT, ORDER_ROUTE, _IDS, _CC, _small_sql("component"), body="""
 SELECT component, size, n_known, member_rank, id, name, country FROM ranked WHERE member_rank <= 10"""))
 def q_small_components(spark, sf_dir):
     g = _sparse_graph(spark, sf_dir)
@@ -110,12 +108,12 @@ def q_small_components(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- label propagation
-@query("label_propagation", _rec(AIRPORT, SPARSE_ROUTE, _IDS, _LP, body="SELECT id, community AS label FROM cc"))
+@query("label_propagation", _rec(AIRPORT, ORDER_ROUTE, _IDS, _LP, body="SELECT id, community AS label FROM cc"))
 def q_label_propagation(spark, sf_dir):
     return communities.label_propagation(_sparse_graph(spark, sf_dir), LPA_STEPS)
 
 
-@query("small_communities", _rec(AIRPORT, SPARSE_ROUTE, _IDS, _LP, _small_sql("community"), body="""
+@query("small_communities", _rec(AIRPORT, ORDER_ROUTE, _IDS, _LP, _small_sql("community"), body="""
 SELECT community, size, n_known, member_rank, id, name, country FROM ranked WHERE member_rank <= 10"""))
 def q_small_communities(spark, sf_dir):
     g = _sparse_graph(spark, sf_dir)

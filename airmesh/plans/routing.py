@@ -99,13 +99,16 @@ _WE = f"""we AS (
 w AS (SELECT * FROM we WHERE NOT isnan(km) AND km > 0)"""
 
 
-def _paths_sql() -> str:
+def _paths_sql(requested: bool = False) -> str:
     parts = []
     for hops in range(1, MAX_HOPS + 1):
         frm = "w e1" + "".join(f" JOIN w e{i} ON e{i-1}.dst = e{i}.src" for i in range(2, hops + 1))
         nodes = ["e1.src"] + [f"e{i}.dst" for i in range(1, hops + 1)]
         conds = [f"e1.src IN (SELECT id FROM airport WHERE country = '{COUNTRY_A}')",
                  f"e{hops}.dst IN (SELECT id FROM airport WHERE country = '{COUNTRY_B}')"]
+        if requested:
+            frm += f" JOIN req ON req.src = e1.src AND req.dst = e{hops}.dst"
+            conds = []
         conds += [f"{x} <> {y}" for i, x in enumerate(nodes) for y in nodes[i + 1:]]
         km = " + ".join(f"e{i}.km" for i in range(1, hops + 1))
         parts.append(f"SELECT e1.src AS origin, e{hops}.dst AS target, {hops} AS hops, {_txt(*nodes)} AS path, "
@@ -138,10 +141,31 @@ def _extreme_sql(longest: bool) -> str:
   WHERE rn = 1)""", body="SELECT origin, target, hops, path, round(km, 4) AS km FROM best")
 
 
+def _shortest(spark, sf_dir):
+    airports = standins.airports(spark, sf_dir)
+    edges = cut_lineage(graph.weighted_edges(standins.routes(spark, sf_dir), airports, keep=(), distinct=True))
+    src = airports.filter(F.col("country") == COUNTRY_A).select("id")
+    dst = airports.filter(F.col("country") == COUNTRY_B).select("id")
+    return airports, paths.shortest_paths(edges, src, dst, MAX_HOPS)
+
+
+_REQ = f"req AS (SELECT id AS src, id + 1 AS dst FROM airport WHERE country = '{COUNTRY_A}')"
+
+
+@query("path_requests", with_ctes(AIRPORT, ROUTE, _WE, _REQ, f"bp AS (\n{_paths_sql(requested=True)})",
+                                  body="SELECT origin, target, hops, path, round(km, 4) AS km FROM bp"))
+def q_path_requests(spark, sf_dir):
+    """All simple paths of a request table: from each airport of one country to the next id."""
+    airports = standins.airports(spark, sf_dir)
+    edges = cut_lineage(graph.weighted_edges(standins.routes(spark, sf_dir), airports, keep=(), distinct=True))
+    requests = airports.filter(F.col("country") == COUNTRY_A).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
+    p = paths.request_paths(edges, requests, MAX_HOPS)
+    return p.select("origin", "target", "hops", path_text("path").alias("path"), F.round("km", 4).alias("km"))
+
+
 @query("shortest_path", _extreme_sql(longest=False))
 def q_shortest_path(spark, sf_dir):
-    _, p = _bounded(spark, sf_dir)
-    best = paths.extreme_paths(p, longest=False)
+    _, best = _shortest(spark, sf_dir)
     return best.select("origin", "target", "hops", path_text("path").alias("path"), F.round("km", 4).alias("km"))
 
 
@@ -160,6 +184,5 @@ ex AS (SELECT origin, target, unnest(ids) AS vid, generate_subscripts(ids, 1) AS
        string_agg(CAST(ex.vid AS VARCHAR) || ':' || coalesce(a.name, '???'), ' -> ' ORDER BY ex.pos) AS labels
 FROM ex LEFT JOIN airport a ON a.id = ex.vid GROUP BY ex.origin, ex.target"""))
 def q_path_labels(spark, sf_dir):
-    airports, p = _bounded(spark, sf_dir)
-    best = paths.extreme_paths(p, longest=False)
+    airports, best = _shortest(spark, sf_dir)
     return paths.label_paths(best, airports).select("origin", "target", "labels")

@@ -7,26 +7,29 @@ tables are spelled out as CTEs here, mirroring ``sources.standins``.
 
 from __future__ import annotations
 
-AIRPORT = """airport AS (
+ALL_AIRPORTS = """airport AS (
   SELECT p_partkey AS id, p_name AS name, p_brand AS country,
          CAST((p_partkey*37) % 1600 AS DOUBLE)/10.0 - 80.0 AS latitude,
          CAST((p_partkey*101) % 3600 AS DOUBLE)/10.0 - 180.0 AS longitude
-  FROM part WHERE p_partkey % 10 <> 3)"""
-
-AIRLINE = """airline AS (SELECT s_suppkey AS id, s_name AS name FROM supplier WHERE s_suppkey % 7 <> 0)"""
+  FROM part)"""
+AIRPORT = ALL_AIRPORTS.removesuffix(")") + " WHERE p_partkey % 10 <> 3)"
 
+ALL_AIRLINES = """airline AS (SELECT s_suppkey AS id, s_name AS name FROM supplier)"""
+AIRLINE = ALL_AIRLINES.removesuffix(")") + " WHERE s_suppkey % 7 <> 0)"
 
-def route_cte(min_quantity: float = 40.0, name: str = "route") -> str:
-    return f"""{name} AS (
+ROUTE = """route AS (
   SELECT airline_id, src_id, dest_id FROM (
     SELECT l_suppkey AS airline_id, l_partkey AS src_id,
            lead(l_partkey) OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey) AS dest_id
-    FROM lineitem WHERE l_quantity >= {min_quantity}) t
+    FROM lineitem) t
   WHERE dest_id IS NOT NULL)"""
 
-
-ROUTE = route_cte()
-SPARSE_ROUTE = route_cte(45.0, "route")
+ORDER_ROUTE = """route AS (
+  SELECT airline_id, src_id, dest_id FROM (
+    SELECT o_custkey AS airline_id, o_orderkey AS src_id,
+           lead(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS dest_id
+    FROM orders) t
+  WHERE dest_id IS NOT NULL)"""
 
 AIRPORT_TEXT = r"""airport_text AS (
   SELECT CAST(p_partkey AS VARCHAR) AS id, p_name AS name, p_type AS city, p_brand AS country,

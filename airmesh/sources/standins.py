@@ -3,13 +3,15 @@
 The real inputs (airport / airline / route files, a sensor CSV) are not
 available, so each is derived with Spark from a table of the same shape:
 
-* ``airports``  ← ``part``: one airport per part; parts whose key ends in 3
-  are left out so routes reach "ghost" airports that have no attribute row,
-  as real route files do.
-* ``airlines``  ← ``supplier``; every seventh carrier is left out so the
-  default-name rule fires.
-* ``routes``    ← consecutive bulk lines (quantity ≥ ``min_quantity``) of one
-  order: carrier = supplier, src = part, dest = next line's part.
+* ``all_airports`` ← ``part``: one airport per part; ``airports``, the vertex
+  table of graphs, lacks those whose key ends in 3, so that routes reach
+  "ghost" airports that have no attribute row, as real route files do.
+* ``all_airlines`` ← ``supplier``; ``airlines``, the name table of carrier
+  totals, lacks every seventh, so that the default-name rule fires.
+* ``routes``    ← consecutive lines of one order, all lines: carrier =
+  supplier, src = part, dest = next line's part.
+* ``order_routes`` ← consecutive orders of one customer, all orders: carrier =
+  customer, src = order, dest = next order; a graph of many components.
 * ``sensor``    ← ``embeddings``: the first seven vector elements become the
   accelerometer / gyroscope / capacitance readings, the label the exercise.
 
@@ -23,8 +25,6 @@ from pyspark.sql import functions as F
 
 from ..operators.sequence import lead_in_group
 
-ROUTE_MIN_QUANTITY = 40.0
-SPARSE_ROUTE_MIN_QUANTITY = 45.0
 POSITIONS = ("wrist", "pocket", "leg")
 
 
@@ -33,11 +33,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def airports(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """id, name, country, latitude, longitude, without the ghosts."""
+    return all_airports(spark, sf_dir).filter(F.col("id") % 10 != 3)
+
+
+def all_airports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """id, name, country, latitude, longitude."""
     key = F.col("p_partkey")
     return (
         table(spark, sf_dir, "part")
-        .filter(key % 10 != 3)
         .select(
             key.alias("id"),
             F.col("p_name").alias("name"),
@@ -50,38 +54,43 @@ def airports(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def airlines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """id, name, without the carriers that have no name."""
+    return all_airlines(spark, sf_dir).filter(F.col("id") % 7 != 0)
+
+
+def all_airlines(spark: SparkSession, sf_dir: str) -> DataFrame:
     """id, name."""
-    return (
-        table(spark, sf_dir, "supplier")
-        .filter(F.col("s_suppkey") % 7 != 0)
-        .select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
-    )
+    return table(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name"))
 
 
-def route_lines(spark: SparkSession, sf_dir: str, min_quantity: float = ROUTE_MIN_QUANTITY) -> DataFrame:
-    """The bulk lines routes are made of (filter and 4-column projection reach the scan)."""
-    return (
-        table(spark, sf_dir, "lineitem")
-        .filter(F.col("l_quantity") >= min_quantity)
-        .select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
-    )
+def route_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lines routes are made of (the 4-column projection reaches the scan)."""
+    return table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey")
 
 
-def routes(spark: SparkSession, sf_dir: str, min_quantity: float = ROUTE_MIN_QUANTITY) -> DataFrame:
-    """airline_id, src_id, dest_id — one row per consecutive pair of bulk lines.
+def routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """airline_id, src_id, dest_id — one row per consecutive pair of lines.
 
     The line order inside an order is made total with the part and supplier
     keys because (orderkey, linenumber) is not unique in the data.  The pairing
     is a skew-safe lead (``operators.sequence``): an order with a huge number
     of lines is spread over many tasks.
     """
-    lines = route_lines(spark, sf_dir, min_quantity)
+    lines = route_lines(spark, sf_dir)
     # lead over the order's lines, without sending a whole order to one task
     paired = lead_in_group(lines, "l_orderkey", ["l_linenumber", "l_partkey", "l_suppkey"], "l_partkey", "dest_id")
     return paired.filter(F.col("dest_id").isNotNull()).select(
         F.col("l_suppkey").alias("airline_id"), F.col("l_partkey").alias("src_id"), "dest_id")
 
 
+def order_routes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """airline_id, src_id, dest_id — one row per consecutive pair of a customer's orders."""
+    orders = table(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_orderkey")
+    paired = lead_in_group(orders, "o_custkey", ["o_orderdate", "o_orderkey"], "o_orderkey", "dest_id")
+    return paired.filter(F.col("dest_id").isNotNull()).select(
+        F.col("o_custkey").alias("airline_id"), F.col("o_orderkey").alias("src_id"), "dest_id")
+
+
 def airport_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Airport rows as raw text, the way a delimited file presents them.
 
