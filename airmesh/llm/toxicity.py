@@ -39,6 +39,8 @@ from pyspark.sql.window import Window
 from .common import FLUSH_ROWS, RowBuffer, heaviest, id_fold, map_rows, stored, texts_of
 
 ORDER = 8
+#: Orders of the shared model, longest first.
+LOWER = (4, 2, 1)
 DISCOUNT = 0.75
 #: Weight of the backoff of the toxic model, in rows of its context: what a few toxic texts hold by chance counts little.
 STRENGTH = 1.0
@@ -98,43 +100,45 @@ def gram_counts(labelled: DataFrame) -> DataFrame:
 
 
 def shared_model(grams: DataFrame) -> DataFrame:
-    """(lower, p): Kneser-Ney probability of the last letter of each seen gram without its first."""
+    """(lower, p): Kneser-Ney probability of the last letter of each seen gram's last ``LOWER[0]`` letters."""
     counts = {}
     types = grams.select(F.col("gram").alias("g"))
-    for n in range(ORDER - 1, 0, -1):
-        # how many different letters come before: the continuation count
-        counts[n] = types.select(F.substring("g", 2, n).alias("g")).groupBy("g").agg(F.count("*").alias("c"))
+    for n in LOWER:
+        # how many different beginnings it has been seen with: the continuation count
+        counts[n] = types.select(F.substring("g", -n, n).alias("g")).groupBy("g").agg(F.count("*").alias("c"))
         types = counts[n]
     whole = counts[1].agg(F.sum("c").alias("all"))
     model = counts[1].crossJoin(F.broadcast(whole)).select("g", (F.col("c") / F.col("all")).alias("p"))  # one row
-    for n in range(2, ORDER):
+    for n, below in zip(LOWER[-2::-1], LOWER[:0:-1], strict=True):
         own = Window.partitionBy("h")
         level = (counts[n].withColumn("h", F.substring("g", 1, n - 1))
                  .withColumn("s", F.sum("c").over(own)).withColumn("k", F.count("*").over(own))
-                 .withColumn("below", F.substring("g", 2, n - 1)))
+                 .withColumn("below", F.substring("g", -below, below)))
         model = (level.join(model.select(F.col("g").alias("below"), F.col("p").alias("q")), "below")
                  .select("g", ((F.greatest(F.col("c") - DISCOUNT, F.lit(0.0)) + DISCOUNT * F.col("k") * F.col("q")) / F.col("s")).alias("p")))
     return model.select(F.col("g").alias("lower"), "p")
 
 
 def log_ratios(grams: DataFrame) -> DataFrame:
-    """(key, weight, value): log P_toxic - log P_ordinary of each seen gram, and by context of any other."""
+    """(key, weight, value): log P_toxic - log P_ordinary by gram that the toxic class has, by context for the rest.
+
+    A gram that the toxic class lacks has the ratio of its context, whatever
+    the ordinary class has of it; without the context there, it has ratio 0.
+    """
     own = Window.partitionBy("h")
-    level = grams.withColumn("h", F.substring("gram", 1, ORDER - 1)).withColumn("lower", F.substring("gram", 2, ORDER - 1))
+    level = grams.withColumn("h", F.substring("gram", 1, ORDER - 1)).withColumn("lower", F.substring("gram", -LOWER[0], LOWER[0]))
     for c in "to":
         level = (level.withColumn(f"n_{c}", F.sum(c).over(own))
                  .withColumn(f"k_{c}", F.sum((F.col(c) > 0).cast("long")).over(own)))
-    level = level.join(shared_model(grams), "lower")
-
+    level = stored(level.filter("t > 0"), "toxic-grams")
+    backed = (STRENGTH + DISCOUNT * F.col("k_t")) / (F.col("n_t") + STRENGTH)
     ordinary = F.when(F.col("n_o") > 0, (F.greatest(F.col("o") - DISCOUNT, F.lit(0.0)) + DISCOUNT * F.col("k_o") * F.col("p"))
                       / F.col("n_o")).otherwise(F.col("p"))
-    backed = (STRENGTH + DISCOUNT * F.col("k_t")) / (F.col("n_t") + STRENGTH)
-    toxic = F.greatest(F.col("t") - DISCOUNT, F.lit(0.0)) / (F.col("n_t") + STRENGTH) + F.when(F.col("n_t") > 0, backed).otherwise(1.0) * ordinary
-    by_gram = level.select(F.col("gram").alias("key"), (F.col("t") + F.col("o")).alias("weight"),
-                           (F.log(toxic) - F.log(ordinary)).alias("value"))
-    by_context = (level.groupBy("h").agg(*(F.max(x).alias(x) for x in ("n_t", "n_o", "k_t")))
-                  .select(F.col("h").alias("key"), (F.col("n_t") + F.col("n_o")).alias("weight"),
-                          F.when(F.col("n_t") > 0, F.log(backed)).otherwise(F.lit(0.0)).alias("value")))
+    toxic = F.greatest(F.col("t") - DISCOUNT, F.lit(0.0)) / (F.col("n_t") + STRENGTH) + backed * ordinary
+    by_gram = level.join(shared_model(grams), "lower").select(
+        F.col("gram").alias("key"), (F.col("t") + F.col("o")).alias("weight"), (F.log(toxic) - F.log(ordinary)).alias("value"))
+    by_context = (level.groupBy("h").agg(F.max("n_t").alias("n_t"), F.max("n_o").alias("n_o"), F.max("k_t").alias("k_t"))
+                  .select(F.col("h").alias("key"), (F.col("n_t") + F.col("n_o")).alias("weight"), F.log(backed).alias("value")))
     return by_gram.unionByName(by_context)
 
 
@@ -188,8 +192,8 @@ def word_ratios(words: DataFrame, model: DataFrame, head_keys: int = HEAD_KEYS)
     top = model.filter(F.col("weight") >= floor).select("key", "value").toArrow()
     rest = model.filter(F.col("weight") < floor)
     head = spark.sparkContext.broadcast((dict(zip(top["key"].to_pylist(), top["value"].to_pylist(), strict=True)), _bitmap(rest)))
-    schema = pa.schema([("word", pa.string()), ("docs", pa.int64()), ("letters", pa.int64()), ("known", pa.float64()),
-                        ("gram", pa.string()), ("context", pa.string()), ("n", pa.int64())])
+    later_type = pa.list_(pa.struct([("gram", pa.string()), ("context", pa.string()), ("fallback", pa.float64())]))
+    schema = pa.schema([("word", pa.string()), ("docs", pa.int64()), ("letters", pa.int64()), ("known", pa.float64()), ("later", later_type)])
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         values, bitmap = head.value
@@ -200,29 +204,31 @@ def word_ratios(words: DataFrame, model: DataFrame, head_keys: int = HEAD_KEYS)
             return bool(bitmap[at >> 3] >> (7 - (at & 7)) & 1)
 
         for word, docs in texts_of(batches, "word", "docs"):
-            known, grams = [], word_grams(word)
+            known, later, grams = [], [], word_grams(word)
             for gram in grams:
                 if (v := values.get(gram)) is None:
                     context = gram[:-1]
                     v = values.get(context)
                     if listed(gram) or v is None and listed(context):
-                        out.add(word, 0, 0, v or 0.0, gram, context, 1)
+                        later.append({"gram": gram, "context": context, "fallback": v or 0.0})
                         continue
                 known.append(v or 0.0)
-            # the word's own row: a key that no gram has, and that no other word shares
-            out.add(word, docs, len(grams), math.fsum(known), f"{_END}{word}", f"{_END}{word}", 0)
+            out.add(word, docs, len(grams), math.fsum(known), later)
             yield from out.full()
         yield from out.rest()
 
-    rows = map_rows(words, spread, "word string, docs long, letters long, known double, gram string, context string, n long")
+    rows = stored(map_rows(words, spread, "word string, docs long, letters long, known double, "
+                           "later array<struct<gram: string, context: string, fallback: double>>"), "words-read")
     table = rest.select("key", "value")
-    joined = (rows.join(table.select(F.col("key").alias("gram"), F.col("value").alias("by_gram")), "gram", "left")
-              .join(table.select(F.col("key").alias("context"), F.col("value").alias("by_context")), "context", "left"))
-    value = F.when(F.col("by_gram").isNotNull(), F.col("by_gram")).otherwise(F.col("known") + F.coalesce("by_context", F.lit(0.0)) * F.col("n"))
-    sums = joined.groupBy("word").agg(F.sum("docs").alias("docs"), F.sum("letters").alias("letters"), F.sum(value).alias("ratio"))
+    # only words with grams outside the head are joined with the rest of the table
+    more = (rows.filter(F.size("later") > 0).select("word", F.explode("later").alias("g")).select("word", "g.*")
+            .join(table.select(F.col("key").alias("gram"), F.col("value").alias("by_gram")), "gram", "left")
+            .join(table.select(F.col("key").alias("context"), F.col("value").alias("by_context")), "context", "left")
+            .groupBy("word").agg(F.sum(F.coalesce("by_gram", F.coalesce("by_context", F.lit(0.0)) + F.col("fallback"))).alias("more")))
+    whole = rows.filter(F.size("later") == 0).withColumn("more", F.lit(0.0)).unionByName(rows.filter(F.size("later") > 0).join(more, "word"))
     # rounded, so that the order of adding is no matter
-    ratio = F.exp(F.least(F.round("ratio", 9), F.lit(200.0)))
-    return sums.select("word", "docs", "letters", F.round(F.log((1 - MIXED) + MIXED * ratio), 9).alias("value"))
+    ratio = F.exp(F.least(F.round(F.col("known") + F.col("more"), 9), F.lit(200.0)))
+    return whole.select("word", "docs", "letters", F.round(F.log((1 - MIXED) + MIXED * ratio), 9).alias("value"))
 
 
 def text_ratios(docs: DataFrame, words: DataFrame, head_words: int = HEAD_WORDS) -> DataFrame:
