@@ -14,7 +14,6 @@ operators  graph construction, carrier totals, itineraries, bounded paths,
            feature pipelines, classifiers, metrics and clustering sweeps.
 plans      named query plans over a directory of parquet tables plus the
            equivalent DuckDB SQL used as a correctness oracle.
-streaming  intentionally empty: the workload has no streaming part.
 """
 
 __version__ = "0.1.0"

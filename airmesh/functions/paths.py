@@ -15,17 +15,3 @@ def _c(x) -> Column:
 def path_text(path, sep: str = PATH_SEPARATOR) -> Column:
     """``[1, 2, 3]`` → ``'1 -> 2 -> 3'``."""
     return F.array_join(F.transform(_c(path), lambda x: x.cast("string")), sep)
-
-
-def is_simple(path) -> Column:
-    """No vertex repeats on the path."""
-    p = _c(path)
-    return F.size(F.array_distinct(p)) == F.size(p)
-
-
-def extend(path, vertex) -> Column:
-    return F.array_append(_c(path), _c(vertex))
-
-
-def visits(path, vertex) -> Column:
-    return F.array_contains(_c(path), _c(vertex))

@@ -21,7 +21,7 @@ from pyspark.sql import functions as F
 
 from ..session import bucketed_table, cut_lineage, drop_table
 from .graph import Graph, all_vertex_ids
-from .skew import HotKeys, find_hot_keys, fits_broadcast, join_vertex_values
+from .skew import NOTHING_HOT, bucket_senders, fits_broadcast, join_vertex_values
 
 MAX_STEPS = 100
 
@@ -52,19 +52,17 @@ def label_propagation(graph: Graph, max_steps: int = MAX_STEPS) -> DataFrame:
         # labels fit the broadcast threshold (checked): each round broadcasts them to the vote edges
         votes_edges = cut_lineage(votes)
         keep = lambda df: cut_lineage(df, eager=False)
-        hot = HotKeys(None, 0, 0)
     else:
-        # vote edges bucketed on the sender once, every round's labels bucketed on id the same way:
-        # the vote join reads both sides in place and the edge table is never shuffled again
-        votes_edges = bucketed_table(votes, "sender", parts, "lpa_edges")
+        # vote edges bucketed on the sender once (hot senders' apart, in even parts), every round's labels
+        # bucketed on id the same way: the vote join reads both sides in place, edges are never shuffled again
+        votes_edges = bucket_senders(votes, "sender", parts, "lpa_edges")
         keep = lambda df: bucketed_table(df, "id", parts, "lpa_labels")
-        degrees = votes_edges.groupBy(F.col("sender").alias("id")).agg(F.count(F.lit(1)).alias("degree"))
-        hot = find_hot_keys(degrees, votes_edges.count())
     labels = keep(ids.select("id", F.col("id").alias("label"), F.col("id").alias("prev"),
                              F.lit(None).cast("long").alias("prev2")))
     for step in range(1, max_steps + 1):
         tallies = (
-            join_vertex_values(votes_edges, "sender", labels.select("id", "label"), hot, broadcast_values=small)
+            (join_vertex_values(votes_edges, "sender", labels.select("id", "label"), NOTHING_HOT, broadcast_values=True) if small
+             else votes_edges.with_values(labels.select("id", "label")))
             .groupBy("receiver", "label").agg(F.sum("mult").alias("votes"))
         )
         winner = tallies.groupBy(F.col("receiver").alias("id")).agg(

@@ -19,9 +19,11 @@ from pyspark.sql import functions as F
 
 from ..session import bucketed_table, cut_lineage, drop_table
 from .graph import Graph, all_vertex_ids
-from .skew import HotKeys, find_hot_keys, fits_broadcast, join_vertex_values
+from .skew import NOTHING_HOT, bucket_senders, fits_broadcast, join_vertex_values
 
+# --- fixed value: reset probability of the workload ---
 RESET_PROB = 0.15
+# --- end fixed value ---
 MAX_ITER = 1000
 
 
@@ -60,16 +62,15 @@ def pagerank(graph: Graph, tol: float | None = 1e-5, max_iter: int | None = None
         w_edges = cut_lineage(weighted_out_edges(graph.edges))
         keep = lambda df: cut_lineage(df, eager=tol is None)
     else:
-        # edges bucketed on src once; every round's ranks bucketed on id the same way, so the
-        # contribution join reads both sides in place — the edge table is never shuffled again
-        w_edges = bucketed_table(weighted_out_edges(graph.edges), "src", parts, "pr_edges")
+        # edges bucketed on src once (hot senders' apart, in even parts); every round's ranks bucketed on id
+        # the same way, so the contribution join reads both sides in place — edges are never shuffled again
+        w_edges = bucket_senders(weighted_out_edges(graph.edges), "src", parts, "pr_edges")
         keep = lambda df: bucketed_table(df, "id", parts, "pr_ranks")
-    degrees = w_edges.groupBy(F.col("src").alias("id")).agg(F.count(F.lit(1)).alias("degree"))
-    hot = find_hot_keys(degrees, w_edges.count()) if not small else HotKeys(None, 0, 0)
     ranks = keep(ids.select("id", F.lit(1.0).alias("rank"), F.lit(1.0).alias("prev")))
     for _ in range(limit):
         contrib = (
-            join_vertex_values(w_edges, "src", ranks.select("id", "rank"), hot, broadcast_values=small)
+            (join_vertex_values(w_edges, "src", ranks.select("id", "rank"), NOTHING_HOT, broadcast_values=True) if small
+             else w_edges.with_values(ranks.select("id", "rank")))
             .groupBy(F.col("dst").alias("id"))
             .agg(F.sum(F.col("rank") * F.col("w")).alias("s"))
         )

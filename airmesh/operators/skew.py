@@ -23,6 +23,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import bucketed_table, cut_lineage
+
 MIN_HOT_DEGREE = 100_000
 HOT_KEYS_PER_PARTITION = 4
 MAX_BROADCAST_HOT_KEYS = 1_000_000
@@ -35,6 +37,9 @@ class HotKeys:
     threshold: int
 
 
+NOTHING_HOT = HotKeys(None, 0, 0)
+
+
 def hot_threshold(n_edges: int, partitions: int) -> int:
     """Degree above which a key is split out: at least MIN_HOT_DEGREE."""
     return max(MIN_HOT_DEGREE, n_edges // max(1, partitions * HOT_KEYS_PER_PARTITION))
@@ -76,6 +81,43 @@ def join_vertex_values(edges: DataFrame, edge_key: str, values: DataFrame, hot:
     return hot_part.unionByName(cold_part)
 
 
+@dataclass(frozen=True)
+class SenderEdges:
+    """Edges laid out for a join with per-vertex values, round after round.
+
+    ``cold`` is bucketed on the sender; the edges of hot senders (at most
+    ``HOT_KEYS_PER_PARTITION`` per partition of them) are ``hot_edges``, left in
+    even parts and joined with the broadcast values of those few senders.
+    """
+
+    cold: DataFrame
+    hot_edges: DataFrame | None
+    hot: HotKeys
+    key: str
+
+    def with_values(self, values: DataFrame) -> DataFrame:
+        """Edges and the value columns of ``values`` (``id``, ...)."""
+        vals = values.withColumnRenamed("id", self.key)
+        out = self.cold.join(vals, self.key)
+        if self.hot_edges is None:
+            return out
+        few = vals.join(F.broadcast(self.hot.ids.withColumnRenamed("id", self.key)), self.key, "left_semi")
+        return out.unionByName(self.hot_edges.join(F.broadcast(few), self.key))
+
+
+def bucket_senders(edges: DataFrame, key: str, buckets: int, name: str) -> SenderEdges:
+    """Write ``edges`` once: bucketed on ``key``, but for those of hot keys."""
+    edges = cut_lineage(edges)
+    degrees = edges.groupBy(F.col(key).alias("id")).agg(F.count(F.lit(1)).alias("degree"))
+    hot = find_hot_keys(degrees, edges.count())
+    if hot.ids is None:
+        return SenderEdges(bucketed_table(edges, key, buckets, name), None, hot, key)
+    hot = HotKeys(cut_lineage(hot.ids), hot.count, hot.threshold)
+    ids = F.broadcast(hot.ids.withColumnRenamed("id", key))
+    even = cut_lineage(edges.join(ids, key, "left_semi").repartition(buckets))
+    return SenderEdges(bucketed_table(edges.join(ids, key, "left_anti"), key, buckets, name), even, hot, key)
+
+
 STATE_BYTES_PER_ROW = 64  # id + a few numeric columns, with row overhead
 
 

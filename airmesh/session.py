@@ -117,10 +117,14 @@ def bucketed_table(df: DataFrame, key: str, buckets: int, name: str = "state") -
 
 
 def drop_table(df: DataFrame) -> None:
-    """Forget a table made by ``bucketed_table`` (files stay under the checkpoint folder)."""
+    """Forget a table made by ``bucketed_table`` and delete its files."""
     names = df.inputFiles()
     if not names:
         return
-    table = names[0].rstrip("/").split("/")[-2]
-    if table.startswith("airmesh_"):
-        df.sparkSession.sql(f"DROP TABLE IF EXISTS {table}")
+    folder = names[0].rstrip("/").rsplit("/", 1)[0]
+    table = folder.rsplit("/", 1)[1]
+    if table.startswith("airmesh_") and folder.endswith(f"/airmesh-tables/{table}"):
+        spark = df.sparkSession
+        spark.sql(f"DROP TABLE IF EXISTS {table}")
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -7,7 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from airmesh.operators import communities, components, pagerank, paths
+from airmesh.operators import communities, components, pagerank, paths, skew
 from airmesh.operators.graph import Graph
 
 
@@ -176,7 +176,6 @@ def test_src_equals_dst_has_no_path(spark):
 
 
 def test_skew_split_join_matches_plain_join(spark, monkeypatch):
-    from airmesh.operators import skew
 
     monkeypatch.setattr(skew, "MIN_HOT_DEGREE", 3)
     edges = spark.createDataFrame([(1, i) for i in range(20)] + [(2, 5), (3, 6)], "src long, dst long")
@@ -236,7 +235,6 @@ def test_large_state_path_bucketed_tables(spark, monkeypatch):
 
 
 def test_broadcast_threshold_check(spark):
-    from airmesh.operators import skew
 
     assert skew._size_in_bytes("10MB") == 10 << 20 and skew._size_in_bytes("10485760b") == 10 << 20
     assert skew._size_in_bytes("1g") == 1 << 30 and skew._size_in_bytes("2048") == 2048
@@ -248,3 +246,31 @@ def test_broadcast_threshold_check(spark):
         assert skew.fits_broadcast(spark, 1000) and not skew.fits_broadcast(spark, 10_000_000)
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def test_a_hub_is_spread_evenly(spark, monkeypatch):
+    """Half of all edges start at one vertex: its edges lie apart, in even parts, and results stay the same."""
+    monkeypatch.setattr(skew, "MIN_HOT_DEGREE", 50)
+    rows = [(0, 1 + i % 400) for i in range(2000)] + [(1 + i % 400, (i * 7) % 401) for i in range(2000)]
+    edges = spark.createDataFrame(rows, "src long, dst long")
+    laid = skew.bucket_senders(edges, "src", 8, "hub_test")
+    assert {r.id for r in laid.hot.ids.collect()} == {0}
+    per_part = [r["count"] for r in laid.hot_edges.groupBy(F.spark_partition_id()).count().collect()]
+    assert len(per_part) > 1 and max(per_part) <= 1.5 * min(per_part)
+    values = edges.select(F.col("src").alias("id")).distinct().withColumn("v", F.col("id") * 10)
+    got = sorted((r.src, r.dst, r.v) for r in laid.with_values(values).collect())
+    assert got == sorted((a, b, a * 10) for a, b in rows)
+    g = Graph(spark.createDataFrame([], "id long"), edges)
+    small = {r.id: round(r["rank"], 9) for r in pagerank.pagerank(g).collect()}
+    monkeypatch.setattr(pagerank, "fits_broadcast", lambda *a, **k: False)
+    assert {r.id: round(r["rank"], 9) for r in pagerank.pagerank(g).collect()} == small
+
+
+def test_unconverged_ranks_are_an_error(spark, monkeypatch):
+
+
+    monkeypatch.setattr(pagerank, "MAX_ITER", 2)
+    g = Graph(spark.createDataFrame([], "id long"), spark.createDataFrame([(1, 2), (2, 3), (3, 1), (3, 2)], "src long, dst long"))
+    with pytest.raises(RuntimeError):
+        pagerank.pagerank(g, tol=1e-12)
+    assert pagerank.pagerank(g, tol=1e-12, max_iter=2).count() == 3

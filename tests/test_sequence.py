@@ -49,3 +49,13 @@ def test_default_partitioning_lets_aqe_merge_ranges(spark):
     ranked = global_rank(d, ["g", "k", "v"], "pos")
     expect = d.withColumn("pos", F.row_number().over(Window.orderBy("g", "k", "v")).cast("long"))
     assert sorted(map(tuple, ranked.collect())) == sorted(map(tuple, expect.collect()))
+
+
+def test_lead_with_null_values_groups_and_keys(spark):
+    rnd = random.Random(9)
+    pick = lambda *v: rnd.choice((None, *v))
+    rows = [(pick(1, 2, 3), i, pick(5, 6)) for i in range(400)]
+    df = spark.createDataFrame(rows, "g long, k int, v long")
+    want = df.withColumn("nxt", F.lead("v").over(Window.partitionBy("g").orderBy("k")))
+    got = lead_in_group(df, "g", ["k"], "v", "nxt", partitions=9)
+    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
