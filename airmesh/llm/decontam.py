@@ -32,6 +32,7 @@ columns stay out of it; empty tables give an empty result.
 from __future__ import annotations
 
 import string
+import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
@@ -49,6 +50,7 @@ WALKS = 8
 SAMPLES = 6
 BITS = 4
 BLOCK_ITEMS = 20_000
+CACHE_WORDS = 1_000_000
 SEED = 7
 _MARKS = string.punctuation
 
@@ -63,11 +65,22 @@ class _Codes(dict):
     def __missing__(self, raw: str) -> int:
         word = raw.strip(_MARKS)
         value = self.known.get(word, 0) if word else -1
-        if len(self) < 500_000:
+        if len(self) < CACHE_WORDS:
             self[raw] = value
         return value
 
 
+_KEPT: dict[str, _Codes] = {}
+
+
+def _codes(index: ItemIndex) -> _Codes:
+    """One cache for all tasks of a Python worker that read the same index."""
+    if index.key not in _KEPT:
+        _KEPT.clear()
+        _KEPT[index.key] = _Codes(index.codes)
+    return _KEPT[index.key]
+
+
 def words_of(text: str | None) -> list[str]:
     return [w for raw in (text or "").lower().split() if (w := raw.strip(_MARKS))]
 
@@ -122,6 +135,7 @@ class ItemIndex:
     """Benchmark items by length: their words' codes, their word pairs and their tables."""
 
     def __init__(self, items: list[tuple[int, str]]):
+        self.key = uuid.uuid4().hex
         self.codes: dict[str, int] = {}
         self.items: list[tuple[int, np.ndarray]] = []
         for item_id, text in items:
@@ -154,11 +168,13 @@ class ItemIndex:
         if len(codes) < LEAST_WORDS - 1 or not len(self.pairs):
             return {}
         pairs = codes[:-1] << 32 | codes[1:]
-        which = np.minimum(np.searchsorted(self.pairs, pairs), len(self.pairs) - 1)
-        known = np.flatnonzero(self.pairs[which] == pairs)
+        known = np.flatnonzero((codes[:-1] > 0) & (codes[1:] > 0))
+        which = np.minimum(np.searchsorted(self.pairs, pairs[known]), len(self.pairs) - 1)
+        hit = self.pairs[which] == pairs[known]
+        known, which = known[hit], which[hit]
         if len(known) < self.least.min():
             return {}
-        held = (self.pair_lengths[which[known]][:, None] >> (self.lengths % 64).astype(np.uint64)[None]) & np.uint64(1)
+        held = (self.pair_lengths[which][:, None] >> (self.lengths % 64).astype(np.uint64)[None]) & np.uint64(1)
         found: dict[int, tuple[int, int]] = {}
         tried: set[tuple[int, int]] = set()
         for k in np.flatnonzero(held.sum(0) >= self.least).tolist():
@@ -193,11 +209,11 @@ def _block_matches(docs: DataFrame, items: list[tuple[int, str]]) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = index.value
-        codes, out = _Codes(own.codes), RowBuffer(schema)
+        codes, out = _codes(own), RowBuffer(schema)
         for doc_id, text in texts_of(batches, "doc_id", "text"):
             raw = (text or "").lower().split()
             got = np.fromiter(map(codes.__getitem__, raw), np.int64, len(raw))
-            for n, (edits, first) in sorted(own.matches(got[got >= 0]).items()):
+            for n, (edits, first) in sorted(own.matches(got if got.size and got.min() >= 0 else got[got >= 0]).items()):
                 out.add(doc_id, own.items[n][0], edits, len(own.items[n][1]), first)
             yield from out.full()
         yield from out.rest()
@@ -229,13 +245,13 @@ def _block_clean(docs: DataFrame, items: list[tuple[int, str]]) -> DataFrame:
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = index.value
-        codes = _Codes(own.codes)
+        codes = _codes(own)
         for batch in batches:
             clean = []
             for (text,) in texts_of([batch], "text"):
                 raw = (text or "").lower().split()
                 got = np.fromiter(map(codes.__getitem__, raw), np.int64, len(raw))
-                clean.append(not own.matches(got[got >= 0]))
+                clean.append(not own.matches(got if got.size and got.min() >= 0 else got[got >= 0]))
             yield batch.filter(pa.array(clean, pa.bool_()))
 
     return map_rows(docs, keep, docs.schema)
