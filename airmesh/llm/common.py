@@ -34,9 +34,19 @@ def stored(df: DataFrame, name: str) -> DataFrame:
 _SHIPPED: set[str] = set()
 
 
+#: Rows of whole texts that Spark hands to Python at a time; its default of 10,000 is meant for narrow rows.
+BATCH_ROWS = 1000
+_BATCH_KEY = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def ship_package(spark: SparkSession) -> None:
-    """Give this package to the session's Python workers, as ``--py-files`` would, once per application."""
+    """Give this package to the session's Python workers, as ``--py-files`` would, once per application.
+
+    Where the session leaves Arrow batches at Spark's default, they are made smaller.
+    """
     context = spark.sparkContext
+    if spark.conf.get(_BATCH_KEY) == "10000":
+        spark.conf.set(_BATCH_KEY, str(BATCH_ROWS))
     if context.applicationId in _SHIPPED:
         return
     root = Path(__file__).resolve().parents[1]
