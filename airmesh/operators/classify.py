@@ -84,12 +84,13 @@ SCORE_SCHEMA = T.StructType([
     T.StructField("model", T.StringType()), T.StructField("candidate", T.IntegerType()),
     T.StructField("params", T.StringType()), T.StructField("fold", T.IntegerType()),
     T.StructField("f1", T.DoubleType()), T.StructField("accuracy", T.DoubleType()),
+    T.StructField("n_rows", T.LongType()),
 ])
 
 
 def cross_validate(grid: list[Candidate], train: DataFrame, key: str = "id", folds: int = NUM_FOLDS,
                    parallelism: int = PARALLELISM) -> DataFrame:
-    """Per (candidate, fold): weighted F1 and accuracy on the held-out fold.
+    """Per (candidate, fold): weighted F1, accuracy and row count of the held-out fold.
 
     The score table has ``len(grid) × folds`` rows (bounded by the search size).
     """
@@ -101,8 +102,9 @@ def cross_validate(grid: list[Candidate], train: DataFrame, key: str = "id", fol
         i, c, f = job
         model = fit(c, data.filter(F.col("_fold") != f))
         preds = model.transform(data.filter(F.col("_fold") == f))
-        f1, acc = _f1_accuracy(confusion_matrix(preds, feat.LABEL, "prediction").collect())
-        return (c.name, i, c.describe(), f, f1, acc)
+        cells = confusion_matrix(preds, feat.LABEL, "prediction").collect()  # classes squared
+        f1, acc = _f1_accuracy(cells)
+        return (c.name, i, c.describe(), f, f1, acc, sum(r.n for r in cells))
 
     jobs = [(i, c, f) for i, c in enumerate(grid) for f in range(folds)]
     try:

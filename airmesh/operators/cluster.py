@@ -5,7 +5,9 @@ from __future__ import annotations
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.ml.clustering import GaussianMixture, KMeans
-from pyspark.sql import DataFrame
+from pyspark.ml.functions import vector_to_array
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.schemas import SENSOR_GYRO
@@ -20,7 +22,8 @@ PARALLELISM = 4
 
 SWEEP_SCHEMA = T.StructType([
     T.StructField("model", T.StringType()), T.StructField("k", T.IntegerType()),
-    T.StructField("silhouette", T.DoubleType()),
+    T.StructField("silhouette", T.DoubleType()), T.StructField("n_rows", T.LongType()),
+    T.StructField("n_misplaced", T.LongType()),
 ])
 
 
@@ -30,9 +33,22 @@ def _estimator(model: str, k: int):
     return GaussianMixture(k=k, seed=SEED, featuresCol=feat.FEATURES, predictionCol="prediction")
 
 
+def _misplaced(model: str, fitted) -> Column:
+    """Whether a predicted row would be better placed in another cluster (beyond rounding)."""
+    if model == "kmeans":
+        x = vector_to_array(feat.FEATURES)
+        far = F.array(*[sum(((x[i] - float(v)) * (x[i] - float(v)) for i, v in enumerate(c)), F.lit(0.0)) for c in fitted.clusterCenters()])
+        return far[F.col("prediction")] > F.array_min(far) + 1e-9
+    p = vector_to_array("probability")
+    return p[F.col("prediction")] < F.array_max(p) - 1e-9
+
+
 def sweep(model: str, train: DataFrame, test: DataFrame, columns: tuple[str, ...] = SENSOR_GYRO,
           ks: tuple[int, ...] = K_RANGE, parallelism: int = PARALLELISM) -> DataFrame:
-    """``model, k, silhouette``: fit on train, predict and score the test rows.
+    """``model, k, silhouette, n_rows, n_misplaced``: fit on train, predict and score the test rows.
+
+    ``n_misplaced`` counts test rows that are not with their nearest centre
+    (k-means) or likeliest component (mixture); it is 0.
 
     Silhouette is null when every test row falls into one cluster (undefined).
     """
@@ -41,8 +57,10 @@ def sweep(model: str, train: DataFrame, test: DataFrame, columns: tuple[str, ...
     te = feat.assemble(test, columns).select(feat.FEATURES).persist()
 
     def run(k):
-        preds = _estimator(model, k).fit(tr).transform(te)
-        return (model, k, silhouette(preds, feat.FEATURES, "prediction").first()[0])
+        fitted = _estimator(model, k).fit(tr)
+        preds = fitted.transform(te)
+        placed = preds.agg(F.count(F.lit(1)).alias("n"), F.coalesce(F.sum(_misplaced(model, fitted).cast("long")), F.lit(0)).alias("off")).first()
+        return (model, k, silhouette(preds, feat.FEATURES, "prediction").first()[0], placed.n, placed.off)
 
     try:
         with ThreadPoolExecutor(max_workers=parallelism) as pool:

@@ -2,16 +2,21 @@
 
 Metric queries use rule-based labels / predictions / scores over ``lineitem``
 (no trained model) so DuckDB can check them exactly; trained-model queries
-have no SQL form and are checked by row count here and properties in tests.
+return what SQL can state of them: the rows that they score and what must hold
+for each.  The fitted values are the operators' results; tests check them.
 """
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import classify, cluster, features, metrics, sampling
+from ..session import cut_lineage
 from ..sources import standins
 from ..sources.schemas import SENSOR_COLUMNS, SENSOR_NUMERIC
 from .registry import query
@@ -221,7 +226,7 @@ def q_feature_vectors(spark, sf_dir):
                       *[(F.round(arr[i], 6) if i < len(SENSOR_NUMERIC) else arr[i]).alias(f"f_{i}") for i in range(n)])
 
 
-# ---------------------------------------------------------------- trained models (no SQL form)
+# ---------------------------------------------------------------- trained models
 def _sensor_split(spark, sf_dir):
     """All rows, split; nothing is cut."""
     return sampling.train_test_split(standins.sensor(spark, sf_dir), "id")
@@ -233,64 +238,129 @@ def _fit_split(spark, sf_dir):
     return sampling.sample_to_target(train, "id"), test
 
 
-@query("logreg_predictions")
+# What a fit gives differs by engine; the rows it is asked for, and what must hold for each, do not.
+_LABEL_IDX = """lidx AS (SELECT value, CAST(row_number() OVER (ORDER BY n DESC, value) - 1 AS INTEGER) AS idx
+  FROM (SELECT Workout AS value, count(*) AS n FROM sensor GROUP BY 1) t)"""
+_PREDICTED = with_ctes(SENSOR, _LABEL_IDX, body=f"""SELECT s.id, CAST(l.idx AS DOUBLE) AS label, CAST(1 AS DOUBLE) AS prob_sum,
+true AS is_argmax FROM sensor s JOIN lidx l ON l.value = s.Workout WHERE NOT {_TRAIN}""")
+
+
+def _prediction_facts(preds):
+    """Every test row with its label; probabilities add up to 1 and the prediction is the likeliest class."""
+    p = F.col("probability")
+    return preds.select(
+        "id", features.LABEL, F.round(F.aggregate(p, F.lit(0.0), lambda a, x: a + x), 6).alias("prob_sum"),
+        (p[F.col("prediction").cast("int")] == F.array_max(p)).alias("is_argmax"))
+
+
+@query("logreg_predictions", _PREDICTED)
 def q_logreg_predictions(spark, sf_dir):
     train, test = _fit_split(spark, sf_dir)
-    return classify.train_and_predict(classify.logistic_grid(), train, test)
+    return _prediction_facts(classify.train_and_predict(classify.logistic_grid(), train, test))
 
 
-@query("rf_predictions")
+@query("rf_predictions", _PREDICTED)
 def q_rf_predictions(spark, sf_dir):
     train, test = _fit_split(spark, sf_dir)
-    return classify.train_and_predict(classify.forest_grid(), train, test)
+    return _prediction_facts(classify.train_and_predict(classify.forest_grid(), train, test))
+
+
+_GRID = classify.logistic_grid() + classify.forest_grid()
+_CANDIDATES = ", ".join(f"('{c.name}', {i}, '{c.describe()}')" for i, c in enumerate(_GRID))
+_ID_FOLD = "(((((id % 2147483647) * 69069 + 1) % 2147483647) * 7919) % 2147483647) % 5"
 
 
-@query("cv_scores")
+@query("cv_scores", with_ctes(SENSOR, f"""held AS (SELECT CAST({_ID_FOLD} AS INTEGER) AS fold, count(*) AS n_rows
+  FROM sensor WHERE {_TRAIN} GROUP BY 1), grid(model, candidate, params) AS (VALUES {_CANDIDATES})""",
+    body="SELECT model, candidate, params, fold, n_rows, true AS in_range FROM grid CROSS JOIN held"))
 def q_cv_scores(spark, sf_dir):
+    """Each candidate on each fold: the rows it was scored on, and scores within [0, 1]."""
     train, _ = _fit_split(spark, sf_dir)
-    return classify.cross_validate(classify.logistic_grid() + classify.forest_grid(), train)
+    scores = classify.cross_validate(_GRID, train)
+    return scores.select("model", "candidate", "params", "fold", "n_rows",
+                         (F.col("f1").between(0, 1) & F.col("accuracy").between(0, 1)).alias("in_range"))
 
 
-@query("cv_best")
+@query("cv_best", """WITH s AS (SELECT l_returnflag AS model, CAST(l_linenumber % 4 AS INTEGER) AS candidate,
+  CAST(l_orderkey % 5 AS INTEGER) AS fold, avg(l_discount * 10) AS f1, avg(l_quantity / 50) AS accuracy FROM lineitem GROUP BY 1, 2, 3),
+m AS (SELECT model, candidate, avg(f1) AS f, avg(accuracy) AS a FROM s GROUP BY 1, 2)
+SELECT model, round(max(f), 6) AS best_mean_f1, round(max(a), 6) AS best_mean_accuracy FROM m GROUP BY 1""")
 def q_cv_best(spark, sf_dir):
-    train, _ = _fit_split(spark, sf_dir)
-    return classify.best_scores(classify.cross_validate(classify.logistic_grid() + classify.forest_grid(), train))
+    """Best mean scores by model, over a rule-based score table of ``lineitem``."""
+    li = standins.table(spark, sf_dir, "lineitem")
+    scores = li.groupBy(F.col("l_returnflag").alias("model"), (F.col("l_linenumber") % 4).cast("int").alias("candidate"),
+                        (F.col("l_orderkey") % 5).cast("int").alias("fold")).agg(
+        F.avg(F.col("l_discount") * 10).alias("f1"), F.avg(F.col("l_quantity") / 50).alias("accuracy"))
+    best = classify.best_scores(scores.withColumn("params", F.lit("rule")))
+    return best.select("model", F.round("best_mean_f1", 6).alias("best_mean_f1"), F.round("best_mean_accuracy", 6).alias("best_mean_accuracy"))
 
 
-@query("kmeans_sweep")
-def q_kmeans_sweep(spark, sf_dir):
-    train, test = _sensor_split(spark, sf_dir)
-    return cluster.sweep("kmeans", train, test)
+def _sweep_sql(*models: str) -> str:
+    ks = ", ".join(f"('{m}', {k})" for m in models for k in cluster.K_RANGE)
+    return with_ctes(SENSOR, f"board(model, k) AS (VALUES {ks}), test AS (SELECT count(*) AS n_rows FROM sensor WHERE NOT {_TRAIN})",
+                     body="SELECT model, k, n_rows, CAST(0 AS BIGINT) AS n_misplaced, true AS in_range FROM board CROSS JOIN test")
 
 
-@query("gmm_sweep")
-def q_gmm_sweep(spark, sf_dir):
+def _board(spark, sf_dir, *models):
+    """Each k of each model: all test rows placed, none misplaced, silhouette (if defined) within [-1, 1]."""
     train, test = _sensor_split(spark, sf_dir)
-    return cluster.sweep("gmm", train, test)
+    board = reduce(DataFrame.unionByName, (cluster.sweep(m, train, test) for m in models))
+    return board.select("model", "k", "n_rows", "n_misplaced",
+                        F.coalesce(F.col("silhouette").between(-1, 1), F.lit(True)).alias("in_range"))
+
 
+@query("kmeans_sweep", _sweep_sql("kmeans"))
+def q_kmeans_sweep(spark, sf_dir):
+    return _board(spark, sf_dir, "kmeans")
+
+
+@query("gmm_sweep", _sweep_sql("gmm"))
+def q_gmm_sweep(spark, sf_dir):
+    return _board(spark, sf_dir, "gmm")
 
 
-@query("k_scoreboard")
+@query("k_scoreboard", _sweep_sql("kmeans", "gmm"))
 def q_k_scoreboard(spark, sf_dir):
     """Both clustering sweeps on one board, one row per (model, k)."""
-    train, test = _sensor_split(spark, sf_dir)
-    board = cluster.sweep("kmeans", train, test).unionByName(cluster.sweep("gmm", train, test))
-    return board.orderBy("model", "k")
+    return _board(spark, sf_dir, "kmeans", "gmm").orderBy("model", "k")
 
 
-def _model_auc(spark, sf_dir, grid):
+_MODEL_AUC = with_ctes(SENSOR, _LABEL_IDX, f"test AS (SELECT * FROM sensor WHERE NOT {_TRAIN})", body="""
+SELECT l.idx AS class, count(*) FILTER (WHERE s.Workout = l.value) AS n_pos, count(*) FILTER (WHERE s.Workout <> l.value) AS n_neg,
+true AS in_range FROM lidx l CROSS JOIN test s GROUP BY 1""")
+
+
+def _model_scores(spark, sf_dir, grid):
     train, test = _fit_split(spark, sf_dir)
-    preds = classify.train_and_predict(grid, train, test)
-    return metrics.roc_auc(metrics.ovr_scores(preds, "probability", features.LABEL))
+    return metrics.ovr_scores(classify.train_and_predict(grid, train, test), "probability", features.LABEL)
+
+
+def _model_auc(spark, sf_dir, grid):
+    """Per class: the scored rows of either kind, and an area (if defined) within [0, 1]."""
+    ovr = cut_lineage(_model_scores(spark, sf_dir, grid))
+    counts = ovr.groupBy("class").agg(F.sum("positive").cast("long").alias("n_pos"), F.sum(1 - F.col("positive")).cast("long").alias("n_neg"))
+    return counts.join(metrics.roc_auc(ovr), "class").select(
+        "class", "n_pos", "n_neg", F.coalesce(F.col("auc").between(0, 1), F.lit(True)).alias("in_range"))
 
 
-@query("rf_roc_auc")
+@query("rf_roc_auc", _MODEL_AUC)
 def q_rf_roc_auc(spark, sf_dir):
     """Per-class one-vs-rest AUC of the cross-validated random forest on the test rows."""
     return _model_auc(spark, sf_dir, classify.forest_grid())
 
 
-@query("logreg_roc_auc")
+@query("logreg_roc_auc", _MODEL_AUC)
 def q_logreg_roc_auc(spark, sf_dir):
     """Per-class one-vs-rest AUC of the cross-validated logistic regression on the test rows."""
     return _model_auc(spark, sf_dir, classify.logistic_grid())
+
+
+@query("rf_roc_points", with_ctes(SENSOR, _LABEL_IDX, body="""SELECT idx AS class, CAST(0 AS DOUBLE) AS fpr_first,
+CAST(1 AS DOUBLE) AS fpr_last, CAST(0 AS DOUBLE) AS tpr_first, CAST(1 AS DOUBLE) AS tpr_last, true AS rises FROM lidx"""))
+def q_rf_roc_points(spark, sf_dir):
+    """Per class, the ROC curve of the forest's test scores: from (0, 0) to (1, 1), rising with the threshold's fall."""
+    points = metrics.roc_points(cut_lineage(_model_scores(spark, sf_dir, classify.forest_grid())))
+    rises = F.coalesce(F.corr("fpr", "tpr"), F.lit(0.0)) >= 0
+    return points.groupBy("class").agg(
+        F.min("fpr").alias("fpr_first"), F.max("fpr").alias("fpr_last"),
+        F.min("tpr").alias("tpr_first"), F.max("tpr").alias("tpr_last"), rises.alias("rises"))
