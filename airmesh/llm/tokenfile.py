@@ -20,7 +20,8 @@ mounts, HDFS, object stores).
 
 Ids are looked up by chunk: the tokenizer never looks across blanks and line
 ends, so each distinct chunk between them is encoded once per cache and a
-document's ids are its chunks' bytes joined.
+document's ids are its chunks' bytes joined.  Chunks of Latin letters, digits
+and marks go to the tokenizer's model run by run, others through all its steps.
 
 Defined results: null and empty texts hold the end id alone; a null doc_id
 sorts first; repeated rows each keep a record, ties in scan order; an empty
@@ -56,6 +57,9 @@ _HEAD, _HEAD_BYTES = "<QI", 12
 _OWN, _OWN_BYTES = "<BqB", 10
 #: A mark alone between a letter or digit and a blank is a token of its own: cut off, it leaves fewer distinct chunks.
 _MARK_AFTER_WORD = re.compile(r"(?<=[^\W_])([,.])(?=[ \n])")
+#: Chunks that lower-casing and normalising leave as long as they are, without apostrophes, and their runs: letters, single digits, marks.
+_SIMPLE = re.compile(r"[!-&(-~À-ÖØ-öø-ÿ]+")
+_RUN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]|[^A-Za-zÀ-ÖØ-öø-ÿ0-9]+")
 _INDEX = "file string, place long, doc_id long, offset long, length long, n_tokens long"
 
 
@@ -102,32 +106,49 @@ def shared_encoder(tokenizer_path: str) -> ChunkEncoder:
     return ChunkEncoder(tokenizer_path)
 
 
-class ChunkEncoder:
-    """Ids of texts as bytes, by a bounded cache of their chunks."""
+def byte_letters() -> list[str]:
+    """The letter by which byte-level tokenizers write each byte: printing ones are themselves, others follow U+0100."""
+    printing = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    others = iter(range(256, 512))
+    return [chr(b) if b in printing else chr(next(others)) for b in range(256)]
+
+
+class ChunkEncoder(dict):
+    """Ids of texts as bytes; a mapping of chunks to their ids, of two bounded generations."""
 
     def __init__(self, tokenizer_path: str, cache: int = CACHE_CHUNKS):
         from tokenizers import Tokenizer
 
+        super().__init__()
         self.tokenizer = Tokenizer.from_file(tokenizer_path)
         self.width = 2 if self.tokenizer.get_vocab_size(with_added_tokens=True) <= 1 << 16 else 4
-        self.young, self.old, self.most = {}, {}, cache
+        self.kind = "H" if self.width == 2 else "I"
+        self.old, self.most, self.bytes = {}, cache, byte_letters()
+        # whether the model alone, run by run, gives a simple chunk's ids
+        self.simple = all(self._runs(c) == self._whole(c) for c in ("a", "probe", "Words", "déjà", "STRASSE", "end.", "(a1b22)--c!", "x***", "***"))
+
+    def _whole(self, chunk: str) -> list[int]:
+        return self.tokenizer.encode(chunk, add_special_tokens=False).ids
+
+    def _runs(self, chunk: str) -> list[int]:
+        tokenize, letters = self.tokenizer.model.tokenize, self.bytes
+        return [t.id for run in _RUN.findall(chunk.lower()) for t in tokenize(
+            run if run.isascii() else "".join(map(letters.__getitem__, run.encode())))]
+
+    def __missing__(self, chunk: str) -> bytes:
+        if (ids := self.old.get(chunk)) is None:
+            own = self._runs(chunk) if self.simple and _SIMPLE.fullmatch(chunk) and "<|" not in chunk else self._whole(chunk)
+            ids = struct.pack(f"<{len(own)}{self.kind}", *own)
+        self[chunk] = ids
+        return ids
 
     def encode(self, texts: list[str]) -> list[bytes]:
-        chunks = [_MARK_AFTER_WORD.sub(r" \1", t).replace("\n", " ").split(" ") for t in texts]
-        if len(self.young) > self.most:
-            self.young, self.old = {}, self.young
-        look = self.young.get
-        found = [list(map(look, own)) for own in chunks]
-        missing = {c for own, ids in zip(chunks, found, strict=True) if None in ids
-                   for c, i in zip(own, ids, strict=True) if i is None}
-        if missing:
-            new = [c for c in missing if c not in self.old]
-            kind = f"<u{self.width}"
-            encoded = self.tokenizer.encode_batch_fast(new, add_special_tokens=False)
-            self.young.update((c, self.old[c]) for c in missing if c in self.old)
-            self.young.update((c, np.array(e.ids, kind).tobytes()) for c, e in zip(new, encoded, strict=True))
-            found = [list(map(look, own)) if None in ids else ids for own, ids in zip(chunks, found, strict=True)]
-        return [b"".join(ids) for ids in found]
+        if len(self) > self.most:
+            self.old = dict(self)
+            self.clear()
+        # the tokenizer lower-cases; done before, it leaves fewer distinct chunks (special tokens are told by case)
+        texts = [t.lower() if t.isascii() and "<|" not in t else t for t in texts]
+        return [b"".join(map(self.__getitem__, _MARK_AFTER_WORD.sub(r" \1", t).replace("\n", " ").split(" "))) for t in texts]
 
 
 def write_token_files(docs: DataFrame, folder: str, make_encoder: Callable[[], ChunkEncoder], end_id: int) -> DataFrame:
@@ -210,8 +231,11 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     before = Window.orderBy("place").rowsBetween(Window.unboundedPreceding, -1)
     # one row per file of up to 64 MB goes through the window, not one per document
     files = (index.groupBy("file", "place").agg(F.sum("n_tokens").alias("n"))
-             .select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long").alias("start")))
-    return map_rows(files.repartition("file"), read, "doc_id long, start long, n_tokens long, ids_crc32 long")
+             .select("file", F.coalesce(F.sum("n").over(before), F.lit(0)).cast("long").alias("start"),
+                     (F.row_number().over(Window.orderBy("place")) - 1).alias("number")))
+    # a task per file: their names alone are few bytes, of which AQE would make one task
+    files = files.repartitionById(max(1, files.count()), F.col("number").cast("int")).drop("number")
+    return map_rows(files, read, "doc_id long, start long, n_tokens long, ids_crc32 long")
 
 
 def token_file_digests(docs: DataFrame, tokenizer_path: str, end_id: int, folder: str | None = None) -> DataFrame:
