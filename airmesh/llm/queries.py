@@ -86,11 +86,11 @@ ORACLE_SQL: dict[str, str] = {
             FROM words),
         shingles AS (SELECT doc_id, unnest(s) AS x FROM sets),
         shared AS (
-            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS both
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n_both
             FROM shingles a JOIN shingles b ON a.x = b.x AND a.doc_id < b.doc_id GROUP BY 1, 2),
         links AS (
             SELECT a, b FROM shared JOIN sets p ON p.doc_id = a JOIN sets q ON q.doc_id = b
-            WHERE 100 * both >= 80 * (len(p.s) + len(q.s) - both)),
+            WHERE 100 * n_both >= 80 * (len(p.s) + len(q.s) - n_both)),
         edges AS (SELECT a, b FROM links UNION SELECT b, a FROM links),
         reach AS (
             SELECT doc_id AS a, doc_id AS b FROM documents
