@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 from .common import map_rows
 
 SEED = 40_503
-ROUNDS = 4
+ROUNDS = 6
 #: Rows of an output partition of the exchange, about.
 PART_ROWS = 50_000
 
@@ -73,9 +73,11 @@ def _by_halves(rng: np.random.Generator, left: np.ndarray, n: int) -> np.ndarray
 
 
 def _mix(x: np.ndarray, key: int) -> np.ndarray:
-    x = (x + np.uint64(key & 0xFFFFFFFFFFFFFFFF)) * np.uint64(0x9E3779B97F4A7C15)
-    x = (x ^ (x >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9)
-    return x ^ (x >> np.uint64(32))
+    """Keyed bits of x: the finaliser of a 64-bit mixing generator over x plus a spread key."""
+    x = x + np.uint64((key * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) & 0xFFFFFFFFFFFFFFFF)
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
 
 
 def permuted(index: np.ndarray, size: int, key: int) -> np.ndarray:
