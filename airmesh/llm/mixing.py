@@ -204,7 +204,9 @@ def mixed_texts(docs: DataFrame) -> DataFrame:
     rows = rows.select(F.col(_ROW).alias(f"{_ROW}_t"), (F.col("took") == F.col("size")).alias("_whole"), "pieces")
     mixed = numbered.hint("merge").join(rows.hint("merge"), F.col(_ROW) == F.col(f"{_ROW}_t"))
     words = F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1))
-    parts = F.flatten(F.transform("pieces", lambda p: F.slice(words, (p["at"] + 1).cast("int"), p["words"].cast("int"))))
+    # the words are bound once; named inside the inner function they would be cut again for each piece
+    parts = F.transform(F.array(words), lambda w: F.flatten(
+        F.transform("pieces", lambda p: F.slice(w, (p["at"] + 1).cast("int"), p["words"].cast("int")))))[0]
     mixed = mixed.withColumn("text", F.when(F.col("_whole"), F.col("text")).otherwise(F.array_join(parts, " ")))
     if "n_chars" in docs.columns:
         mixed = mixed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
