@@ -1,11 +1,11 @@
 """Toxicity by class-conditional Kneser-Ney character models.
 
-A word is read letter by letter; each letter (and the end) has the four before
-it as its context.  Toxic and ordinary labelled texts each have their own
-counts at that order; everything below it is one Kneser-Ney model of
-continuation counts (distinct left neighbours) over both classes, so an
-expression that is rare in a class falls back on what both share and its
-log-likelihoods differ only where a class has evidence.  A text's score
+A word is read letter by letter; each letter (and the end) has the seven before
+it as its context, in its own word only.  Toxic and ordinary labelled texts each
+have their own counts at that order; everything below it, order by order, is one
+Kneser-Ney model of continuation counts (distinct left neighbours) over both
+classes, so an expression that is rare in a class falls back on what both share
+and its log-likelihoods differ only where a class has evidence.  A text's score
 compares its two log-likelihoods, divided by its length, through a logistic
 curve fitted on labelled rows that the counts left out.
 
@@ -39,8 +39,6 @@ from pyspark.sql.window import Window
 from .common import FLUSH_ROWS, RowBuffer, heaviest, id_fold, map_rows, stored, texts_of
 
 ORDER = 8
-#: Orders of the shared model, longest first.
-LOWER = (4, 2, 1)
 DISCOUNT = 0.75
 #: Weight of the backoff of the toxic model, in rows of its context: what a few toxic texts hold by chance counts little.
 STRENGTH = 1.0
@@ -99,21 +97,23 @@ def gram_counts(labelled: DataFrame) -> DataFrame:
             .groupBy("gram").agg(F.sum("t").alias("t"), F.sum("o").alias("o")))
 
 
-def shared_model(grams: DataFrame) -> DataFrame:
-    """(lower, p): Kneser-Ney probability of the last letter of each seen gram's last ``LOWER[0]`` letters."""
+def shared_model(grams: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(lower, p): Kneser-Ney probability of the last letter of each ``wanted`` gram without its first.
+
+    All of ``grams`` count, at every order below ``ORDER``; ``wanted`` are some of them.
+    """
     counts = {}
     types = grams.select(F.col("gram").alias("g"))
-    for n in LOWER:
-        # how many different beginnings it has been seen with: the continuation count
-        counts[n] = types.select(F.substring("g", -n, n).alias("g")).groupBy("g").agg(F.count("*").alias("c"))
-        types = counts[n]
+    for n in range(ORDER - 1, 0, -1):
+        # how many different letters come before: the continuation count; each order is written once
+        counts[n] = types = stored(types.select(F.substring("g", 2, n).alias("g")).groupBy("g").agg(F.count("*").alias("c")), f"grams-{n}")
     whole = counts[1].agg(F.sum("c").alias("all"))
     model = counts[1].crossJoin(F.broadcast(whole)).select("g", (F.col("c") / F.col("all")).alias("p"))  # one row
-    for n, below in zip(LOWER[-2::-1], LOWER[:0:-1], strict=True):
-        own = Window.partitionBy("h")
-        level = (counts[n].withColumn("h", F.substring("g", 1, n - 1))
-                 .withColumn("s", F.sum("c").over(own)).withColumn("k", F.count("*").over(own))
-                 .withColumn("below", F.substring("g", -below, below)))
+    for n in range(2, ORDER):
+        h = F.substring("g", 1, n - 1).alias("h")
+        contexts = counts[n].groupBy(h).agg(F.sum("c").alias("s"), F.count("*").alias("k"))
+        level = (wanted.select(F.substring("gram", -n, n).alias("g")).distinct().join(counts[n], "g")
+                 .select("g", "c", h, F.substring("g", 2, n - 1).alias("below")).join(contexts, "h"))
         model = (level.join(model.select(F.col("g").alias("below"), F.col("p").alias("q")), "below")
                  .select("g", ((F.greatest(F.col("c") - DISCOUNT, F.lit(0.0)) + DISCOUNT * F.col("k") * F.col("q")) / F.col("s")).alias("p")))
     return model.select(F.col("g").alias("lower"), "p")
@@ -126,7 +126,7 @@ def log_ratios(grams: DataFrame) -> DataFrame:
     the ordinary class has of it; without the context there, it has ratio 0.
     """
     own = Window.partitionBy("h")
-    level = grams.withColumn("h", F.substring("gram", 1, ORDER - 1)).withColumn("lower", F.substring("gram", -LOWER[0], LOWER[0]))
+    level = grams.withColumn("h", F.substring("gram", 1, ORDER - 1)).withColumn("lower", F.substring("gram", 2, ORDER - 1))
     for c in "to":
         level = (level.withColumn(f"n_{c}", F.sum(c).over(own))
                  .withColumn(f"k_{c}", F.sum((F.col(c) > 0).cast("long")).over(own)))
@@ -135,7 +135,7 @@ def log_ratios(grams: DataFrame) -> DataFrame:
     ordinary = F.when(F.col("n_o") > 0, (F.greatest(F.col("o") - DISCOUNT, F.lit(0.0)) + DISCOUNT * F.col("k_o") * F.col("p"))
                       / F.col("n_o")).otherwise(F.col("p"))
     toxic = F.greatest(F.col("t") - DISCOUNT, F.lit(0.0)) / (F.col("n_t") + STRENGTH) + backed * ordinary
-    by_gram = level.join(shared_model(grams), "lower").select(
+    by_gram = level.join(shared_model(grams, level), "lower").select(
         F.col("gram").alias("key"), (F.col("t") + F.col("o")).alias("weight"), (F.log(toxic) - F.log(ordinary)).alias("value"))
     by_context = (level.groupBy("h").agg(F.max("n_t").alias("n_t"), F.max("n_o").alias("n_o"), F.max("k_t").alias("k_t"))
                   .select(F.col("h").alias("key"), (F.col("n_t") + F.col("n_o")).alias("weight"), F.log(backed).alias("value")))

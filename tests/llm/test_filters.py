@@ -148,6 +148,37 @@ def test_toxicity_by_hand(spark, odd, empty):
     assert all(r.score == 0 and r.predicted == 0 for r in none)
 
 
+def test_shared_model_backs_off_through_every_order(spark):
+    """Against Kneser-Ney by hand: every order from 7 to 1 counts its distinct left neighbours."""
+    words = {"vile": (5, 1), "evil": (2, 4), "viler": (1, 0), "civil": (0, 3), "devilish": (1, 2), "anvils": (0, 6), "villages": (1, 7)}
+    counts = {}
+    for word, (t, o) in words.items():
+        for gram in toxicity.word_grams(word):
+            was = counts.get(gram, (0, 0))
+            counts[gram] = (was[0] + t, was[1] + o)
+    left, types = {}, set(counts)
+    for n in range(toxicity.ORDER - 1, 0, -1):
+        left[n] = Counter(g[1:] for g in types)
+        types = set(left[n])
+
+    def p(g):
+        if len(g) == 1:
+            return left[1][g] / sum(left[1].values())
+        same = [c for other, c in left[len(g)].items() if other[:-1] == g[:-1]]
+        return (max(left[len(g)][g] - toxicity.DISCOUNT, 0) + toxicity.DISCOUNT * len(same) * p(g[1:])) / sum(same)
+
+    grams = spark.createDataFrame([(g, t, o) for g, (t, o) in counts.items()], "gram string, t long, o long")
+    got = {r.key: r.value for r in toxicity.log_ratios(grams).collect() if len(r.key) == toxicity.ORDER}
+    assert set(got) == {g for g, (t, _) in counts.items() if t}
+    for gram, value in got.items():
+        of = [c for g, c in counts.items() if g[:-1] == gram[:-1]]
+        (t, o), n_t, n_o = counts[gram], sum(c[0] for c in of), sum(c[1] for c in of)
+        k_t, k_o = sum(c[0] > 0 for c in of), sum(c[1] > 0 for c in of)
+        ordinary = (max(o - toxicity.DISCOUNT, 0) + toxicity.DISCOUNT * k_o * p(gram[1:])) / n_o if n_o else p(gram[1:])
+        toxic = (max(t - toxicity.DISCOUNT, 0) + (toxicity.STRENGTH + toxicity.DISCOUNT * k_t) * ordinary) / (n_t + toxicity.STRENGTH)
+        assert abs(value - np.log(toxic / ordinary)) < 1e-9
+
+
 def test_tables_outside_the_head_give_the_same_scores(spark, monkeypatch):
     docs, labels = table(spark, SF_ORACLE, "documents"), table(spark, SF_ORACLE, "labels")
     rows = lambda: sorted((r.doc_id, round(r.ratio, 7)) for r in toxicity.score_toxicity(docs, labels).collect())
