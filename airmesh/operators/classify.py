@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from . import features as feat
 from .metrics import confusion_matrix
-from .sampling import NUM_FOLDS, fold_of
+from .sampling import NUM_FOLDS, SAMPLE_TARGET, fold_of, sample_to_target
 
 # --- fixed values: seed and parameter grids of the workload ---
 SEED = 12321
@@ -89,10 +89,12 @@ SCORE_SCHEMA = T.StructType([
 
 
 def cross_validate(grid: list[Candidate], train: DataFrame, key: str = "id", folds: int = NUM_FOLDS,
-                   parallelism: int = PARALLELISM) -> DataFrame:
+                   parallelism: int = PARALLELISM, target: int = SAMPLE_TARGET) -> DataFrame:
     """Per (candidate, fold): weighted F1, accuracy and row count of the held-out fold.
 
-    The score table has ``len(grid) × folds`` rows (bounded by the search size).
+    Every row of the held-out fold is scored; at most ``target`` of the others
+    are fitted on.  The score table has ``len(grid) × folds`` rows (bounded by
+    the search size).
     """
     labels = feat.label_index(train) if feat.LABEL not in train.columns else None
     # kept for all fits of the search; what a lost executor held is read again
@@ -100,7 +102,7 @@ def cross_validate(grid: list[Candidate], train: DataFrame, key: str = "id", fol
 
     def run(job):
         i, c, f = job
-        model = fit(c, data.filter(F.col("_fold") != f))
+        model = fit(c, fitted[f])
         preds = model.transform(data.filter(F.col("_fold") == f))
         cells = confusion_matrix(preds, feat.LABEL, "prediction").collect()  # classes squared
         f1, acc = _f1_accuracy(cells)
@@ -108,6 +110,7 @@ def cross_validate(grid: list[Candidate], train: DataFrame, key: str = "id", fol
 
     jobs = [(i, c, f) for i, c in enumerate(grid) for f in range(folds)]
     try:
+        fitted = [sample_to_target(data.filter(F.col("_fold") != f), key, target) for f in range(folds)]
         with ThreadPoolExecutor(max_workers=parallelism) as pool:
             rows = list(pool.map(run, jobs))
     finally:
@@ -132,8 +135,9 @@ def best_candidate(grid: list[Candidate], scores: DataFrame, metric: str = "mean
     return grid[row["candidate"]]
 
 
-def train_and_predict(grid: list[Candidate], train: DataFrame, test: DataFrame, key: str = "id") -> DataFrame:
-    """Cross-validate, refit the best candidate by F1 on all training rows, score the test rows.
+def train_and_predict(grid: list[Candidate], train: DataFrame, test: DataFrame, key: str = "id",
+                      target: int = SAMPLE_TARGET) -> DataFrame:
+    """Cross-validate, refit the best candidate by F1 on the training rows (at most ``target``), score the test rows.
 
     Returns ``id, label, prediction, probability`` (probability as array<double>).
     """
@@ -141,7 +145,7 @@ def train_and_predict(grid: list[Candidate], train: DataFrame, test: DataFrame,
 
     labels = feat.label_index(train.select("Workout").unionByName(test.select("Workout")))
     train, test = labels.transform(train), labels.transform(test)
-    scores = cross_validate(grid, train, key)
+    scores = cross_validate(grid, train, key, target=target)
     best = best_candidate(grid, scores)
-    preds = fit(best, train).transform(test)
+    preds = fit(best, sample_to_target(train, key, target)).transform(test)
     return preds.select(key, feat.LABEL, "prediction", vector_to_array("probability").alias("probability"))

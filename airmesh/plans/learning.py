@@ -228,16 +228,10 @@ def q_feature_vectors(spark, sf_dir):
 
 # ---------------------------------------------------------------- trained models
 def _sensor_split(spark, sf_dir):
-    """All rows, split; nothing is cut."""
+    """All rows, split; nothing is cut (``classify`` bounds the rows that a classifier is fitted on)."""
     return sampling.train_test_split(standins.sensor(spark, sf_dir), "id")
 
 
-def _fit_split(spark, sf_dir):
-    """The labelled rows that a classifier is fitted on are bounded (``SAMPLE_TARGET``); all test rows are scored."""
-    train, test = _sensor_split(spark, sf_dir)
-    return sampling.sample_to_target(train, "id"), test
-
-
 # What a fit gives differs by engine; the rows it is asked for, and what must hold for each, do not.
 _LABEL_IDX = """lidx AS (SELECT value, CAST(row_number() OVER (ORDER BY n DESC, value) - 1 AS INTEGER) AS idx
   FROM (SELECT Workout AS value, count(*) AS n FROM sensor GROUP BY 1) t)"""
@@ -255,13 +249,13 @@ def _prediction_facts(preds):
 
 @query("logreg_predictions", _PREDICTED)
 def q_logreg_predictions(spark, sf_dir):
-    train, test = _fit_split(spark, sf_dir)
+    train, test = _sensor_split(spark, sf_dir)
     return _prediction_facts(classify.train_and_predict(classify.logistic_grid(), train, test))
 
 
 @query("rf_predictions", _PREDICTED)
 def q_rf_predictions(spark, sf_dir):
-    train, test = _fit_split(spark, sf_dir)
+    train, test = _sensor_split(spark, sf_dir)
     return _prediction_facts(classify.train_and_predict(classify.forest_grid(), train, test))
 
 
@@ -275,7 +269,7 @@ _ID_FOLD = "(((((id % 2147483647) * 69069 + 1) % 2147483647) * 7919) % 214748364
     body="SELECT model, candidate, params, fold, n_rows, true AS in_range FROM grid CROSS JOIN held"))
 def q_cv_scores(spark, sf_dir):
     """Each candidate on each fold: the rows it was scored on, and scores within [0, 1]."""
-    train, _ = _fit_split(spark, sf_dir)
+    train, _ = _sensor_split(spark, sf_dir)
     scores = classify.cross_validate(_GRID, train)
     return scores.select("model", "candidate", "params", "fold", "n_rows",
                          (F.col("f1").between(0, 1) & F.col("accuracy").between(0, 1)).alias("in_range"))
@@ -331,7 +325,7 @@ true AS in_range FROM lidx l CROSS JOIN test s GROUP BY 1""")
 
 
 def _model_scores(spark, sf_dir, grid):
-    train, test = _fit_split(spark, sf_dir)
+    train, test = _sensor_split(spark, sf_dir)
     return metrics.ovr_scores(classify.train_and_predict(grid, train, test), "probability", features.LABEL)
 
 

@@ -160,6 +160,25 @@ def test_cross_validation_scores_shape(spark):
     assert best.model == "forest"
 
 
+def test_held_out_folds_are_whole_above_the_sample_target(spark, monkeypatch):
+    """Only fitted rows are bounded: n_rows of each fold is what the query's SQL counts."""
+    import duckdb
+
+    from airmesh.plans.registry import ORACLE_SQL
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW embeddings AS SELECT * FROM read_parquet('{SF_SMALL}/embeddings.parquet')")
+    want = {(r[3], r[4]) for r in con.execute(ORACLE_SQL["cv_scores"]).fetchall()}
+    seen, fit = [], classify.fit
+    monkeypatch.setattr(classify, "fit", lambda c, rows: seen.append(rows.count()) or fit(c, rows))
+    monkeypatch.setattr(learning, "_GRID", classify.logistic_grid()[:1])
+    for f in (classify.cross_validate, sampling.sample_to_target):
+        monkeypatch.setattr(f, "__defaults__", (*f.__defaults__[:-1], 100))
+    got = learning.q_cv_scores(spark, SF_SMALL).collect()
+    assert {(r.fold, r.n_rows) for r in got} == want and sum(r.n_rows for r in got) > 100
+    assert seen and max(seen) <= 100
+
+
 def test_kmeans_sweep_assigns_nearest_centre(spark):
     s = standins.sensor(spark, SF_SMALL)
     train, test = sampling.train_test_split(s, "id")
