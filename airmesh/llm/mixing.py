@@ -192,7 +192,8 @@ def mixed_texts(docs: DataFrame) -> DataFrame:
     ``n_chars``, where it is a column, follows the text.  Rows without words are
     in no mix.
     """
-    numbered = docs.withColumn(_ROW, F.monotonically_increasing_id())
+    # written once: another scan may cut the files otherwise, and number the rows anew
+    numbered = stored(docs.withColumn(_ROW, F.monotonically_increasing_id()), "mix-rows")
     placed = placed_documents(numbered, _ROW)
     targets = stored(source_targets(placed), "mix-targets")
     own = ("chunk", "source", "place")

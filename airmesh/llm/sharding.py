@@ -11,8 +11,8 @@ and its slot before the exchange, which is one shuffle to partitions of equal
 row counts: no sort, no window, no task that holds a shard.
 
 The draws are fixed by the seed, the partitions' numbers and their row counts.
-The input must be replayable (a file scan, as here): a task that runs again
-sees the same rows.  Each task checks that it saw as many as were counted.
+The input is written once, each row with its partition and its place there;
+counts and deal read that table, however a later scan cuts its files.
 
 Defined results: the law is ``rows``, whatever the texts; equal texts are
 placed independently (a group may hold a third of all rows, more than a shard);
@@ -27,14 +27,16 @@ from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import map_rows
+from .common import map_rows, stored
 
 SEED = 40_503
 ROUNDS = 6
+_ROW = "_scan_row"
+#: Bits of a row's place in its partition, in the ids that Spark gives; those above name the partition.
+PLACE_BITS = 33
 #: Rows of an output partition of the exchange, about.
 PART_ROWS = 50_000
 
@@ -99,7 +101,8 @@ def shard_rows(docs: DataFrame, shards: int, seed: int = SEED) -> DataFrame:
     """``docs`` with columns shard (0..shards-1) and slot (0.. within the shard), exchanged to that order."""
     spark = docs.sparkSession
     docs = docs.drop("shard", "slot")
-    tallies = docs.select(F.spark_partition_id().alias("part")).groupBy("part").count().collect()
+    rows = stored(docs.withColumn(_ROW, F.monotonically_increasing_id()), "shard-rows")
+    tallies = rows.select(F.shiftright(_ROW, PLACE_BITS).alias("part")).groupBy("part").count().collect()
     counts = np.zeros(max((r["part"] for r in tallies), default=-1) + 1, np.int64)
     for r in tallies:
         counts[r["part"]] = r["count"]
@@ -110,27 +113,30 @@ def shard_rows(docs: DataFrame, shards: int, seed: int = SEED) -> DataFrame:
     before = np.cumsum(sizes) - sizes
     parts = max(shards, -(-total // PART_ROWS), int(spark.conf.get("spark.sql.shuffle.partitions")))
 
+    def arranged(part: int) -> tuple[np.ndarray, np.ndarray]:
+        """Shard and slot of each place of a written partition."""
+        to, first = plan.value[0][part], plan.value[1][part]
+        targets = np.random.default_rng([seed, part]).permutation(np.repeat(np.arange(shards), to))
+        slots = np.zeros(len(targets), np.int64)
+        for j in np.flatnonzero(to):
+            slots[targets == j] = permuted(first[j] + np.arange(to[j]), int(sizes[j]), seed * shards + int(j))
+        return targets.astype(np.int32), slots
+
     def deal(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, seen, targets = TaskContext.get().partitionId(), 0, None
+        last, known = -1, None
         for batch in batches:
-            if targets is None:
-                to, first = plan.value[0][part], plan.value[1][part].copy()
-                targets = np.random.default_rng([seed, part]).permutation(np.repeat(np.arange(shards), to))
-            own = targets[seen:seen + batch.num_rows]
-            if len(own) < batch.num_rows:
-                raise RuntimeError(f"partition {part} has more rows than were counted")
-            seen += batch.num_rows
-            slots = np.zeros(len(own), np.int64)
-            for j in np.unique(own):
-                at = np.flatnonzero(own == j)
-                slots[at] = permuted(first[j] + np.arange(len(at)), int(sizes[j]), seed * shards + int(j))
-                first[j] += len(at)
-            yield batch.append_column("shard", pa.array(own.astype(np.int32))).append_column("slot", pa.array(slots))
-        if targets is not None and seen < len(targets):
-            raise RuntimeError(f"partition {part} has fewer rows than were counted")
+            ids = batch.column(_ROW).to_numpy()
+            of, places = ids >> PLACE_BITS, ids & ((1 << PLACE_BITS) - 1)
+            own, slots = np.zeros(len(ids), np.int32), np.zeros(len(ids), np.int64)
+            for part in np.unique(of).tolist():
+                if part != last:
+                    last, known = part, arranged(part)
+                at = np.flatnonzero(of == part)
+                own[at], slots[at] = known[0][places[at]], known[1][places[at]]
+            yield batch.drop_columns([_ROW]).append_column("shard", pa.array(own)).append_column("slot", pa.array(slots))
 
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    dealt = map_rows(docs, deal, f"{schema}, shard int, slot long" if schema else "shard int, slot long")
+    dealt = map_rows(rows, deal, f"{schema}, shard int, slot long" if schema else "shard int, slot long")
     # the place in the whole shuffled order says which of equal parts a row goes to
     place = F.element_at(F.array(*(F.lit(int(b)) for b in before)), F.col("shard") + 1) + F.col("slot")
     part = F.floor(place * F.lit(parts) / F.lit(max(total, 1))).cast("int")

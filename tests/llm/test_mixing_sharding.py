@@ -5,7 +5,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from airmesh.llm import mixing, sharding
+from airmesh.llm import mixing, ngramjoin, sharding
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -109,3 +109,25 @@ def test_communication_matrix_sums():
 def test_every_place_is_as_likely():
     hits = Counter(int(sharding.permuted(np.array([0]), 10, key)[0]) for key in range(2000))
     assert set(hits) == set(range(10)) and max(hits.values()) < 300
+
+
+@pytest.fixture()
+def other_splits(spark):
+    """Call it, and later scans cut their files otherwise, as they do when an executor has gone."""
+    key = "spark.sql.files.maxPartitionBytes"
+    was = spark.conf.get(key)
+    yield lambda *_: spark.conf.set(key, "20000")
+    spark.conf.set(key, was)
+
+
+def test_rows_keep_their_names_when_later_scans_are_cut_otherwise(docs, other_splits, monkeypatch):
+    whole = Counter(ngramjoin.one_of_each_group(docs).collect()), Counter(mixing.mixed_texts(docs).collect())
+    dealt = sharding.shard_rows(docs, 7)
+    for module in (ngramjoin, mixing):
+        plain = module.stored
+        monkeypatch.setattr(module, "stored", lambda df, name, plain=plain: (plain(df, name), other_splits())[0])
+    assert Counter(ngramjoin.one_of_each_group(docs).collect()) == whole[0]
+    docs.sparkSession.conf.set("spark.sql.files.maxPartitionBytes", "128m")
+    assert Counter(mixing.mixed_texts(docs).collect()) == whole[1]
+    other_splits()
+    assert Counter(r[:-2] for r in dealt.collect()) == Counter(tuple(r) for r in docs.collect())
