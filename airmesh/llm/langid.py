@@ -174,12 +174,14 @@ def keep_identified(docs: DataFrame) -> DataFrame:
     """The rows of ``docs`` (doc_id, text, lang, ...) with a language, all their columns.
 
     Learned as by ``predict_languages``; only texts that are null or have no
-    letter are rejected (short texts have small cosines and are kept).
+    letter are rejected (short texts have small cosines and are kept), also if
+    no labelled row is there to learn from.
     """
     fold = id_fold(F.col("doc_id"))
     prototypes = learn_prototypes(docs.filter(fold != 2).select("text", "lang"))
     scored = docs.select(F.struct(*docs.columns).alias("document"), "doc_id", "text") if docs.columns else docs
-    found = identify(scored, prototypes, ("document",))
+    # with nothing learned, one prototype that all texts with a letter have cosine 0 with
+    found = identify(scored, prototypes or {"unlearned": np.zeros(DIMENSIONS)}, ("document",))
     return found.filter(F.col("lang_pred") != UNDEFINED).select("document.*")
 
 

@@ -111,6 +111,12 @@ def test_nothing_to_learn_from(odd):
     assert all(g.lang_pred == "und" and g.score == 0 for g in got)
 
 
+def test_texts_with_letters_stay_where_nothing_is_learned(odd):
+    docs = odd.withColumn("lang", F.lit(None).cast("string"))
+    letters = Counter(r.text for r in docs.collect() if any(map(str.isalpha, r.text or "")))
+    assert letters and Counter(r.text for r in langid.keep_identified(docs).collect()) == letters
+
+
 def test_a_long_text_in_chunks_counts_the_same(monkeypatch):
     text, low = "Ein langer Text, mit Wörtern. " * 50, langid._low_slots()
     whole = langid.text_grams(text, low)
