@@ -31,6 +31,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return materialize(df, f"llm-{name}")
 
 
+def discard(df: DataFrame) -> None:
+    """Delete the files of a table made by ``stored``; nothing may read it afterwards."""
+    spark = df.sparkSession
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        if "/airmesh-tables/llm-" in folder:
+            path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 _SHIPPED: set[str] = set()
 
 

@@ -14,6 +14,7 @@ from .langid import predict_languages
 from .mixing import mix_documents
 from .mtree import top_k
 from .ngramjoin import link_components
+from .quality import judge_quality
 from .sharding import shard_rows
 from .tokencount import count_tokens
 from .tokenfile import token_file_digests
@@ -70,8 +71,12 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), END_ID)
 
 
+def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_mixing, op3_decontamination, op4_toxicity, op5_sharding, op6_url_filter, op7_language_id, op8_ngram_join, op9_exact_top_k, op10_token_files)
+    f.__name__: f for f in (op1_token_counts, op2_mixing, op3_decontamination, op4_toxicity, op5_sharding, op6_url_filter, op7_language_id, op8_ngram_join, op9_exact_top_k, op10_token_files, op12_quality_rules)
 }
 
 ORACLE_SQL: dict[str, str] = {
