@@ -8,6 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .collocations import mine_phrases
 from .common import n_bytes, table
 from .decontam import find_leaks
 from .langid import predict_languages
@@ -71,12 +72,16 @@ def op10_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_file_digests(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), END_ID)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mine_phrases(table(spark, sf_dir, "documents"))
+
+
 def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_mixing, op3_decontamination, op4_toxicity, op5_sharding, op6_url_filter, op7_language_id, op8_ngram_join, op9_exact_top_k, op10_token_files, op12_quality_rules)
+    f.__name__: f for f in (op1_token_counts, op2_mixing, op3_decontamination, op4_toxicity, op5_sharding, op6_url_filter, op7_language_id, op8_ngram_join, op9_exact_top_k, op10_token_files, op11_collocations, op12_quality_rules)
 }
 
 ORACLE_SQL: dict[str, str] = {
@@ -113,4 +118,32 @@ ORACLE_SQL: dict[str, str] = {
         ranked AS (
             SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INTEGER AS rank, vec_id, score FROM scored)
         SELECT * FROM ranked WHERE rank <= 20""",
+    "op11_collocations": r"""
+        WITH pieces AS (
+            SELECT coalesce(lang, 'und') AS lang,
+                   unnest(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\x0A-\x0D]')) AS piece
+            FROM documents),
+        split AS (SELECT lang, list_filter(regexp_split_to_array(piece, '[\x20\x09]+'), lambda x: x <> '') AS w FROM pieces),
+        grams AS (
+            SELECT lang, k, unnest(CASE WHEN len(w) < k THEN [] ELSE list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' ')) END) AS phrase
+            FROM split, range(1, 5) AS t(k)),
+        counts AS (SELECT lang, k, phrase, count(*) AS f FROM grams GROUP BY lang, k, phrase),
+        candidates AS (SELECT lang, k, phrase, f AS a, string_split(phrase, ' ') AS w FROM counts WHERE k > 1 AND f >= 30),
+        parts AS (
+            SELECT lang, phrase, a, j, array_to_string(w[1:j], ' ') AS p, array_to_string(w[j + 1:k], ' ') AS q
+            FROM candidates, range(1, 4) AS t(j) WHERE j < k),
+        scored AS (
+            SELECT s.lang, s.phrase, s.a, s.j, x.f AS l, y.f AS r, ((2000000::HUGEINT * s.a) // (x.f + y.f))::BIGINT AS score
+            FROM parts s JOIN counts x ON x.lang = s.lang AND x.phrase = s.p JOIN counts y ON y.lang = s.lang AND y.phrase = s.q),
+        weakest AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+        inner_phrases AS (
+            SELECT DISTINCT c.lang, c.a, array_to_string(c.w[i:i + m - 1], ' ') AS phrase
+            FROM candidates c, range(2, 4) AS t(m), range(1, 4) AS u(i) WHERE m < c.k AND i + m - 1 <= c.k),
+        covers AS (SELECT lang, phrase, max(a) AS longer FROM inner_phrases GROUP BY lang, phrase),
+        totals AS (SELECT lang, sum(f)::BIGINT AS n FROM counts WHERE k = 1 GROUP BY lang),
+        ranked AS (
+            SELECT w.lang, row_number() OVER (PARTITION BY w.lang ORDER BY w.score DESC, w.a DESC, w.phrase) AS rank, w.phrase, w.a, w.l, w.r, t.n, w.score
+            FROM weakest w JOIN totals t ON t.lang = w.lang LEFT JOIN covers c ON c.lang = w.lang AND c.phrase = w.phrase
+            WHERE c.longer IS NULL OR 100::HUGEINT * c.longer < 80::HUGEINT * w.a)
+        SELECT * FROM ranked WHERE rank <= 2000""",
 }
