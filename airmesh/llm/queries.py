@@ -21,6 +21,7 @@ from .tokencount import count_tokens
 from .tokenfile import token_file_digests
 from .toxicity import score_toxicity
 from .urlfilter import judge_urls
+from .whitening import whiten
 
 CONTEXT_TOKENS = 4096
 END_ID = 1
@@ -80,8 +81,12 @@ def op12_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judge_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
 
 
+def op13_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whiten(table(spark, sf_dir, "embeddings"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_mixing, op3_decontamination, op4_toxicity, op5_sharding, op6_url_filter, op7_language_id, op8_ngram_join, op9_exact_top_k, op10_token_files, op11_collocations, op12_quality_rules)
+    f.__name__: f for f in (op1_token_counts, op2_mixing, op3_decontamination, op4_toxicity, op5_sharding, op6_url_filter, op7_language_id, op8_ngram_join, op9_exact_top_k, op10_token_files, op11_collocations, op12_quality_rules, op13_whitening)
 }
 
 ORACLE_SQL: dict[str, str] = {
