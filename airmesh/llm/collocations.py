@@ -12,9 +12,9 @@ chunk's frequency.  An n-gram that starts in a chunk's last window belongs to
 the next chunk, which starts with that window, so overlaps are counted once;
 n-grams have at most ``OVERLAP + 1`` words and lie whole in their chunk.
 
-Lengths are counted level by level.  A phrase is no more frequent than its
-parts, so an n-gram is only handed on if the (n-1)-grams at its two ends may
-reach the least count.  Which may is read from a bitmap of a fixed size
+Words are counted first, then pairs, then what is longer.  A phrase is no more
+frequent than its parts, so a pair is only handed on if its words, and a longer
+phrase if all its pairs, may reach the least count.  Which may is read from a bitmap of a fixed size
 (``PLACES`` bits): it can let a rare n-gram through, never lose a frequent one,
 and as the corpus grows it spares less work.  Counts are exact: within a task
 n-grams are told apart by their words' numbers, between tasks by their text.
@@ -32,7 +32,6 @@ empty result.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -65,6 +64,7 @@ _FOLD = bytes.maketrans(bytes(range(65, 91)) + b",;:!?\n\x0b\x0c\r\t", bytes(ran
 _STOP = b"."
 _MIX = np.uint64(0x9E3779B97F4A7C15)  # odd, the golden ratio of 64 bits
 _STEP = np.uint64(0x1_0000_01B3)
+_BACK = np.uint64(pow(0x1_0000_01B3, -1, 1 << 64))
 
 
 def _mixed(codes: np.ndarray) -> np.ndarray:
@@ -75,57 +75,58 @@ def _mixed(codes: np.ndarray) -> np.ndarray:
     return out ^ (out >> np.uint64(32))
 
 
-def split_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, list[bytes]]:
-    """Numbers of all words, the words' number in each text, and the distinct words.
+def _codes(names: pa.Array) -> np.ndarray:
+    """64-bit codes of strings: polynomials of their bytes, all taken from one running sum."""
+    offsets = pc.cumulative_sum(pc.binary_length(names)).to_numpy(zero_copy_only=False).astype(np.int64)
+    raw = np.frombuffer(b"".join(names.cast(pa.binary()).to_pylist()), np.uint8).astype(np.uint64) + np.uint64(1)
+    sums = np.concatenate((np.zeros(1, np.uint64), np.cumsum(raw * np.cumprod(np.full(len(raw), _STEP)))))
+    back = np.concatenate((np.ones(1, np.uint64), np.cumprod(np.full(len(raw), _BACK))))
+    starts = np.concatenate(([0], offsets[:-1]))[:len(offsets)]
+    return _mixed((sums[offsets] - sums[starts]) * back[starts])
+
+
+def split_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """Numbers of all words, how many each text has, and the distinct words by number.
 
     The mark between pieces is a word too: one for each run of marks, none at
     the ends of a text.
     """
-    flat: list[bytes] = []
-    lengths = np.zeros(len(texts), np.int64)
-    for i, text in enumerate(texts):
-        words = text.translate(_FOLD).replace(b".", b" . ").split(b" ")
-        own = [w for w in words if w]
-        lengths[i] = len(own)
-        flat += own
-    encoded = pa.array(flat, pa.binary()).dictionary_encode()
-    numbers = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-    distinct = encoded.dictionary.to_pylist()
-    if _STOP in distinct:  # runs of marks, and those at the ends, go
-        stops = numbers == distinct.index(_STOP)
-        ends = np.cumsum(lengths)
-        first = np.zeros(len(numbers), bool)
-        first[(ends - lengths)[lengths > 0]] = True
-        before = np.concatenate(([True], stops[:-1])) | first
-        keep = ~(stops & before)
-        # a mark that is left can still end its text
-        at = np.flatnonzero(keep)
-        text_of = np.repeat(np.arange(len(texts)), lengths)[at]
-        last = np.concatenate((text_of[1:] != text_of[:-1], [True]))[:len(at)]
-        at = at[~(last & stops[at])]
-        text_of = np.repeat(np.arange(len(texts)), lengths)[at]
-        numbers, lengths = numbers[at], np.bincount(text_of, minlength=len(texts))
-    return numbers, lengths, distinct
-
-
-def cut_chunks(numbers: np.ndarray, lengths: np.ndarray, distinct: list[bytes]) -> list[tuple[int, int, bool, int]]:
-    """(start, end, last, text) of each chunk: its words' range, whether it ends its text, the text's place."""
-    names = _mixed(np.fromiter(map(zlib.crc32, distinct), np.uint64, len(distinct)) + np.uint64(1))[numbers]
+    marked = pa.array([text.translate(_FOLD).replace(_STOP, b" . ") for text in texts], pa.binary()).cast(pa.string())
+    split = pc.ascii_split_whitespace(marked)
+    lengths = pc.list_value_length(split).to_numpy(zero_copy_only=False).astype(np.int64)
+    encoded = split.flatten().dictionary_encode()
+    numbers, distinct = encoded.indices.to_numpy(zero_copy_only=False), encoded.dictionary
+    # of the marks stay those between two words of a text; the empty strings around a text's blanks go
+    text_of = np.repeat(np.arange(len(texts), dtype=np.int32), lengths)
+    empty, stop = (distinct.index(pa.scalar(x)).as_py() for x in ("", "."))
+    for drop in ("empty", "first", "last"):
+        if drop == "empty":
+            keep = numbers != empty
+        else:
+            new = text_of[1:] != text_of[:-1]
+            stops = numbers == stop
+            if drop == "first":  # a mark at its text's start or after another
+                keep = ~(stops & np.concatenate(([True], new | stops[:-1]))[:len(stops)])
+            else:
+                keep = ~(stops & np.concatenate((new, [True]))[:len(stops)])
+        if not keep.all():
+            numbers, text_of = numbers[keep], text_of[keep]
+    return numbers, np.bincount(text_of, minlength=len(texts)), distinct
+
+
+def cut_chunks(numbers: np.ndarray, lengths: np.ndarray, distinct: pa.Array) -> tuple[np.ndarray, ...]:
+    """start, end, last and text of each chunk: its words' range, whether it ends its text, the text's place."""
+    ends = np.cumsum(lengths)
+    begins, text_of = ends - lengths, np.repeat(np.arange(len(lengths)), lengths)
+    names = _codes(distinct)[numbers]
     windows = names[:-2] * _STEP * _STEP + names[1:-1] * _STEP + names[2:]
     cuts = np.flatnonzero((_mixed(windows) >> np.uint64(32)) % np.uint64(SPACING) == 0)
-    out = []
-    start = 0
-    for text, length in enumerate(lengths.tolist()):
-        end = start + length
-        # a cut is a window within the text, not at its start
-        own = cuts[np.searchsorted(cuts, start + 1):np.searchsorted(cuts, end - OVERLAP + 1)].tolist() if length > OVERLAP else []
-        for at in own:
-            out.append((start, at + OVERLAP, False, text))
-            start = at
-        if end > start:
-            out.append((start, end, True, text))
-        start = end
-    return out
+    own = text_of[cuts]
+    cuts = cuts[(cuts > begins[own]) & (cuts + OVERLAP <= ends[own])]
+    start = np.sort(np.concatenate((begins[lengths > 0], cuts)))
+    text = text_of[start]
+    last = np.concatenate((text[1:] != text[:-1], [True]))[:len(text)]
+    return start, np.where(last, ends[text], np.concatenate((start[1:], [0]))[:len(start)] + OVERLAP), last, text
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], column: str) -> Iterator[pa.RecordBatch]:
@@ -158,14 +159,14 @@ def chunk_dictionary(docs: DataFrame) -> DataFrame:
         for batch in _blocks(batches, "text"):
             langs = batch.column("lang")
             numbers, lengths, distinct = split_words([t or b"" for t in batch.column("text").to_pylist()])
-            words = [distinct[i] for i in numbers.tolist()]
             chunks = cut_chunks(numbers, lengths, distinct)
-            for at in range(0, len(chunks), 50_000):
-                starts, ends, last, texts = zip(*chunks[at:at + 50_000], strict=True)
-                yield pa.RecordBatch.from_arrays(
-                    [langs.take(pa.array(texts)),
-                     pa.array([b" ".join(words[a:b]) for a, b in zip(starts, ends, strict=True)], pa.binary()).cast(pa.string()),
-                     pa.array(last, pa.bool_())], names=["lang", "chunk", "last"])
+            for at in range(0, len(chunks[0]), 50_000):
+                starts, ends, last, texts = (c[at:at + 50_000] for c in chunks)
+                sizes = ends - starts
+                first = np.cumsum(sizes) - sizes
+                words = distinct.take(pa.array(numbers[np.repeat(starts - first, sizes) + np.arange(sizes.sum())]))
+                lists = pa.ListArray.from_arrays(pa.array(np.append(first, len(words)), pa.int32()), words)
+                yield pa.RecordBatch.from_arrays([langs.take(pa.array(texts)), pc.binary_join(lists, " "), pa.array(last)], names=["lang", "chunk", "last"])
 
     rows = docs.select(F.coalesce(F.col("lang").cast("string"), F.lit(UNDEFINED)).alias("lang"), F.col("text").cast("string").cast("binary").alias("text"))
     return (map_rows(rows, parse, "lang string, chunk string, last boolean")
@@ -180,10 +181,6 @@ def _gram_places(parts: list[np.ndarray], langs: np.ndarray) -> np.ndarray:
     return (_mixed(code) >> np.uint64(64 - PLACES.bit_length() + 1)).astype(np.int64)
 
 
-def _codes(names: list[bytes]) -> np.ndarray:
-    return _mixed(np.fromiter(map(zlib.crc32, names), np.uint64, len(names)) + (np.fromiter(map(zlib.adler32, names), np.uint64, len(names)) << np.uint64(32)))
-
-
 def frequent_places(grams: DataFrame) -> Broadcast:
     """A bitmap of ``PLACES`` bits, set at the places of ``grams`` (lang, phrase).
 
@@ -192,11 +189,11 @@ def frequent_places(grams: DataFrame) -> Broadcast:
 
     def places(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            phrases = [p.split(b" ") for p in batch.column("phrase").cast(pa.binary()).to_pylist()]
-            if not phrases:
+            if not batch.num_rows:
                 continue
-            langs = _codes(batch.column("lang").cast(pa.binary()).to_pylist())
-            words = [_codes([p[i] for p in phrases]) for i in range(len(phrases[0]))]  # a level's phrases are equally long
+            split = pc.split_pattern(batch.column("phrase"), " ")  # a level's phrases are equally long
+            words = [_codes(pc.list_element(split, i)) for i in range(len(split[0]))]
+            langs = _codes(batch.column("lang"))
             yield pa.RecordBatch.from_arrays([pa.array(_gram_places(words, langs))], names=["place"])
 
     place = F.col("place")
@@ -210,10 +207,10 @@ def frequent_places(grams: DataFrame) -> Broadcast:
     return grams.sparkSession.sparkContext.broadcast(table.tobytes())
 
 
-def count_grams(dictionary: DataFrame, length: int, frequent: Broadcast | None = None) -> DataFrame:
-    """(lang, phrase, f) of the n-grams of ``length`` words, without marks, of all texts.
+def count_grams(dictionary: DataFrame, lengths: tuple[int, ...], frequent: Broadcast | None = None, inside: int = 0) -> DataFrame:
+    """(lang, phrase, f) of the n-grams of ``lengths`` words, without marks, of all texts.
 
-    ``frequent`` is a bitmap of the n-grams one shorter; those that it rules out at an end are left out.
+    ``frequent`` is a bitmap of n-grams of ``inside`` words; longer ones that hold one it rules out are left out.
     """
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -223,41 +220,44 @@ def count_grams(dictionary: DataFrame, length: int, frequent: Broadcast | None =
 
     def block(batch: pa.RecordBatch, bits: np.ndarray | None) -> Iterator[pa.RecordBatch]:
         chunks = pc.split_pattern(batch.column("chunk"), " ")
-        lengths = pc.list_value_length(chunks).to_numpy(zero_copy_only=False).astype(np.int64)
+        sizes = pc.list_value_length(chunks).to_numpy(zero_copy_only=False)
         encoded = chunks.flatten().dictionary_encode()
-        numbers = encoded.indices.to_numpy(zero_copy_only=False).astype(np.int64)
-        distinct = encoded.dictionary.cast(pa.binary()).to_pylist()
+        numbers, distinct = encoded.indices.to_numpy(zero_copy_only=False), encoded.dictionary
         langs = batch.column("lang").dictionary_encode()
-        lang_of = np.repeat(langs.indices.to_numpy(zero_copy_only=False).astype(np.int64), lengths)
-        times = np.repeat(batch.column("times").to_numpy(zero_copy_only=False), lengths)
+        chunk_of = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        lang_of, times = langs.indices.to_numpy(zero_copy_only=False), batch.column("times").to_numpy(zero_copy_only=False)
         # an n-gram starts before its chunk's last window (unless the text ends there), and ends within the chunk
-        ends = np.repeat(np.cumsum(lengths), lengths)
-        last = np.repeat(batch.column("last").to_numpy(zero_copy_only=False), lengths)
-        at = np.arange(len(numbers))
-        starts = (at + length <= ends) & (last | (at < ends - OVERLAP))
-        if _STOP in distinct:
-            word = np.concatenate((numbers != distinct.index(_STOP), np.zeros(length, bool)))
+        ends = np.cumsum(sizes)
+        word = np.concatenate((numbers != distinct.index(pa.scalar(".")).as_py(), np.zeros(max(lengths), bool)))
+        first = np.flatnonzero(np.arange(len(numbers)) < np.where(batch.column("last").to_numpy(zero_copy_only=False), ends, ends - OVERLAP)[chunk_of])
+        if bits is not None:
+            names, lang_names = _codes(distinct)[numbers], _codes(langs.dictionary)[lang_of]
+            whole = np.flatnonzero(np.arange(len(numbers)) + inside <= ends[chunk_of])
+            places = _gram_places([names[whole + i] for i in range(inside)], lang_names[chunk_of[whole]])
+            may = np.zeros(len(numbers) + max(lengths), bool)
+            may[whole] = (bits[places >> 3] >> (places & 7).astype(np.uint8)) & 1
+        for length in lengths:
+            at = first[first + length <= ends[chunk_of[first]]]
             for i in range(length):
-                starts &= word[i:i + len(starts)]
-        at = np.flatnonzero(starts)
-        if bits is not None and len(at):
-            names, lang_names = _codes(distinct)[numbers], _codes(langs.dictionary.cast(pa.binary()).to_pylist())[lang_of]
-            for shift in (0, 1):
-                places = _gram_places([names[at + shift + i] for i in range(length - 1)], lang_names[at])
-                at = at[(bits[places >> 3] >> (places & 7).astype(np.uint8)) & 1 == 1]
-        if not len(at):
-            return
-        code = lang_of[at]
+                at = at[word[at + i]]
+                if bits is not None and i <= length - inside:
+                    at = at[may[at + i]]
+            if len(at):
+                yield summed(at, length, numbers, distinct, lang_of[chunk_of[at]], langs.dictionary, times[chunk_of[at]])
+
+    def summed(at, length, numbers, distinct, lang_of, langs, times) -> pa.RecordBatch:
+        code = lang_of.astype(np.int64)
         for i in range(length):
-            if len(langs.dictionary) * len(distinct) ** (i + 1) >= 1 << 62:  # number the distinct prefixes before the product passes 63 bits
+            if i and len(langs) * len(distinct) ** (i + 1) >= 1 << 62:  # number the prefixes before the product passes 63 bits
                 code = np.unique(code, return_inverse=True)[1]
             code = code * len(distinct) + numbers[at + i]
-        _, first, which = np.unique(code, return_index=True, return_inverse=True)
-        sums = np.zeros(len(first), np.int64)
-        np.add.at(sums, which, times[at])
-        columns = [encoded.dictionary.take(pa.array(numbers[at[first] + i])) for i in range(length)]
-        phrases = columns[0] if length == 1 else pc.binary_join_element_wise(*columns, " ")
-        yield pa.RecordBatch.from_arrays([langs.dictionary.take(pa.array(lang_of[at[first]])), phrases, pa.array(sums)], names=["lang", "phrase", "f"])
+        order = np.argsort(code)
+        starts = np.flatnonzero(np.concatenate(([True], code[order][1:] != code[order][:-1])))
+        one = order[starts]
+        columns = [distinct.take(pa.array(numbers[at[one] + i])) for i in range(length)]
+        return pa.RecordBatch.from_arrays(
+            [langs.take(pa.array(lang_of[one])), columns[0] if length == 1 else pc.binary_join_element_wise(*columns, " "),
+             pa.array(np.add.reduceat(times[order], starts))], names=["lang", "phrase", "f"])
 
     return (map_rows(dictionary, count, "lang string, phrase string, f long")
             .groupBy("lang", "phrase").agg(F.sum("f").alias("f")))
@@ -295,15 +295,12 @@ def covering_counts(counts: DataFrame) -> DataFrame:
 def mine_phrases(docs: DataFrame, least: int = LEAST_COUNT, most: int = KEPT_PER_LANG) -> DataFrame:
     """(lang, rank, phrase, a, l, r, n, score): each language's first ``most`` phrases of ``docs`` (text, lang)."""
     dictionary = stored(chunk_dictionary(docs), "phrase-chunks")
-    words = stored(count_grams(dictionary, 1), "phrase-words")
-    levels, bits = [stored(words.filter(F.col("f") >= least), "phrase-counts")], []
-    for length in range(2, LONGEST + 1):
+    words = stored(count_grams(dictionary, (1,)), "phrase-words")
+    levels, bits = [words.filter(F.col("f") >= least)], []
+    for inside, lengths in ((1, (2,)), (2, tuple(range(3, LONGEST + 1)))):
         bits.append(frequent_places(levels[-1]))
-        levels.append(stored(count_grams(dictionary, length, bits[-1]).filter(F.col("f") >= least), "phrase-counts"))
-    counts = None
-    for length, level in enumerate(levels, 1):
-        own = level.withColumn("words", F.lit(length))
-        counts = own if counts is None else counts.unionByName(own)
+        levels.append(stored(count_grams(dictionary, lengths, bits[-1], inside).filter(F.col("f") >= least), "phrase-counts"))
+    counts = levels[0].unionByName(levels[1]).unionByName(levels[2]).withColumn("words", F.size(F.split("phrase", " ")))
     covered = F.lit(100).cast("decimal(10,0)") * F.col("longer").cast("decimal(20,0)") >= F.lit(COVER_PERCENT).cast("decimal(10,0)") * F.col("a").cast("decimal(20,0)")
     scored = phrase_scores(counts).join(covering_counts(counts), ["lang", "phrase"], "left").filter(~F.coalesce(covered, F.lit(False)))
     totals = words.groupBy("lang").agg(F.sum("f").alias("n"))
@@ -313,7 +310,7 @@ def mine_phrases(docs: DataFrame, least: int = LEAST_COUNT, most: int = KEPT_PER
     some = scored.withColumn("part", part).withColumn("place", F.row_number().over(Window.partitionBy("lang", "part").orderBy(*order))).filter(F.col("place") <= most)
     ranked = some.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy(*order)).cast("long")).filter(F.col("rank") <= most)
     result = stored(ranked.join(totals, "lang").select("lang", "rank", "phrase", "a", "l", "r", "n", "score"), "phrases")
-    for table in (dictionary, words, *levels):
+    for table in (dictionary, words, *levels[1:]):
         discard(table)
     for table in bits:
         table.destroy()

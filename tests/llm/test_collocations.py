@@ -76,14 +76,14 @@ def test_counts_past_64_bits(spark):
 def test_chunks_overlap_by_a_window_and_are_found_again():
     texts = [" ".join(f"w{i * i % 97}" for i in range(400)).encode()] * 2 + [b"x y. " + b" ".join(b"w%d" % (i * i % 97) for i in range(400))]
     numbers, lengths, distinct = c.split_words(texts)
-    chunks = c.cut_chunks(numbers, lengths, distinct)
+    chunks = list(zip(*(x.tolist() for x in c.cut_chunks(numbers, lengths, distinct))))
     own = [[x for x in chunks if x[3] == t] for t in range(3)]
     for text in own:
         assert [x[2] for x in text] == [False] * (len(text) - 1) + [True]
         for before, after in zip(text, text[1:]):
             assert after[0] == before[1] - c.OVERLAP
     assert sum(x[1] - x[0] - c.OVERLAP * (not x[2]) for x in chunks) == len(numbers)
-    words = [[tuple(numbers[a:b]) for a, b, _, _ in text] for text in own]
+    words = [[tuple(numbers[a:b].tolist()) for a, b, _, _ in text] for text in own]
     assert words[0] == words[1] and words[2][-3:] == words[0][-3:] and len(words[0]) > 5
 
 
