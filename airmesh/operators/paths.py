@@ -1,41 +1,86 @@
 """Bounded path enumeration, itineraries, shortest / longest paths.
 
 All searches share one design: a frontier DataFrame ``(origin, path, last,
-km)`` is extended one hop at a time by an equi-join ``last = edge.src``.
-Before each hop the frontier is semi-joined with the set of vertices that can
-still reach a target in the hops left (backward reachability, computed once
-from the targets).  That keeps intermediate results proportional to paths
-that can finish instead of ``deg ** hops``.  Sources and targets are given as
-vertex sets, so no source × target pair table is ever built; a request table
-``(src, dst)`` is applied as a final equi-join when only some pairs matter.
+km)`` is extended one hop at a time by an equi-join ``last = edge.src``.  The
+edges it is joined with are those of that hop only: ``edges_toward`` gives, from
+the targets backwards, the edges into a target and, for each number of hops
+left, the edges whose end can still reach one, with a bound on the km from
+there.  So a row that can't finish is never made, nothing is pruned after it
+was built, and the last hop joins the edges into targets alone.  Sources and
+targets are given as vertex sets, so no source × target pair table is ever
+built; a request table ``(src, dst)`` is carried from the first hop when only
+some pairs matter.
+
+Shortest and longest paths are searched by branch and bound: the best-known km
+of each (origin, target) bounds each hop, and a frontier row whose km plus the
+bound on what is left can't reach the worst of its origin's best-known ones is
+dropped as soon as it is made.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from dataclasses import dataclass
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.paths import path_text
 from ..session import cut_lineage, materialize
 
 
-def backward_reach(edges: DataFrame, targets: DataFrame, max_hops: int) -> list[DataFrame]:
-    """``reach[k]`` = ids with a walk of ≤ k edges into ``targets`` (k = 0..max_hops).
+@dataclass(frozen=True)
+class Toward:
+    """Edges that lead to targets.
 
-    ``reach[0]`` is the target set itself.  Each level is one semi-join plus a
-    distinct over vertex ids, so its size is bounded by |V|.
+    ``last``: ``src, dst, w``, the edges into a target.  ``more[k]``: ``src,
+    dst, w, rest``, the edges whose end reaches a target by 1..k further edges;
+    ``rest`` is the least (or largest) weight of a walk that does.
     """
-    base = materialize(targets.select("id").distinct(), "reach")
-    levels = [base]
-    for _ in range(max_hops):
-        # reach[k] = targets ∪ {u : u → v, v ∈ reach[k-1]} — one reference to the previous level
-        step = edges.join(levels[-1].withColumnRenamed("id", "dst"), "dst", "left_semi").select(F.col("src").alias("id"))
-        levels.append(materialize(base.union(step).distinct(), "reach"))  # read by this hop's prune and the next level
-    return levels
+
+    last: DataFrame
+    more: dict[int, DataFrame]
+
+
+def edges_toward(edges: DataFrame, targets: DataFrame, max_hops: int, between: DataFrame | None = None,
+                 longest: bool = False) -> Toward:
+    """The edges (``src, dst, w``) that a search of ``max_hops`` hops into ``targets`` (``id``) may use.
+
+    ``between`` (``id``) restricts where a path may go on; ends are free.  Each
+    level is one join of the edges with a table of at most |V| bounds.
+    """
+    ends = targets.select(F.col("id").alias("dst")).distinct()
+    last = materialize(edges.join(ends, "dst", "left_semi").select("src", "dst", "w"), "edges-into")
+    inner = edges if between is None else edges.join(between.select(F.col("id").alias("dst")).distinct(), "dst", "left_semi")
+    best = F.max if longest else F.min
+    more: dict[int, DataFrame] = {}
+    steps = last.select("src", F.col("w").alias("rest"))
+    for k in range(1, max_hops):
+        bound = steps.groupBy("src").agg(best("rest").alias("rest")).withColumnRenamed("src", "dst")
+        level = inner.join(bound, "dst").select("src", "dst", "w", "rest")
+        # the widest level is read by the first hop alone
+        more[k] = materialize(level, "edges-toward") if k < max_hops - 1 else level
+        steps = last.select("src", F.col("w").alias("rest")).unionByName(more[k].select("src", (F.col("w") + F.col("rest")).alias("rest")))
+    return Toward(last, more)
+
+
+def _weighted(edges: DataFrame, weight: str | None) -> DataFrame:
+    w = F.col(weight) if weight else F.lit(0.0)
+    return edges.select("src", "dst", w.cast("double").alias("w"))
 
 
-def _prune(frontier: DataFrame, reach: DataFrame) -> DataFrame:
-    return frontier.join(reach.withColumnRenamed("id", "last"), "last", "left_semi")
+def _start(sources: DataFrame) -> DataFrame:
+    return sources.select(F.col("id").alias("origin"), F.array("id").alias("path"), F.col("id").alias("last"), F.lit(0.0).alias("km")).distinct()
+
+
+def _grown(frontier: DataFrame, steps: DataFrame, *also: str) -> DataFrame:
+    """The simple paths of ``frontier`` lengthened by an edge of ``steps``, with its columns ``also``."""
+    return (frontier.join(steps, frontier["last"] == steps["src"]).filter(~F.array_contains("path", F.col("dst")))
+            .select("origin", F.array_append("path", F.col("dst")).alias("path"), F.col("dst").alias("last"),
+                    (F.col("km") + F.col("w")).alias("km"), *also))
+
+
+def _hits(frontier: DataFrame, toward: Toward, hops: int) -> DataFrame:
+    return _grown(frontier, toward.last).select("origin", F.col("last").alias("target"), F.lit(hops).alias("hops"), "path", "km")
 
 
 def simple_paths(edges: DataFrame, sources: DataFrame, targets: DataFrame, max_hops: int = 3,
@@ -48,64 +93,101 @@ def simple_paths(edges: DataFrame, sources: DataFrame, targets: DataFrame, max_h
     that reached its target can never come back to it, so every result is
     exactly a simple path ending at the target.
     """
-    w = F.col(weight) if weight else F.lit(0.0)
-    e = edges.select("src", "dst", w.cast("double").alias("w"))
-    reach = backward_reach(e, targets, max_hops)
-    frontier = sources.select(
-        F.col("id").alias("origin"), F.array(F.col("id")).alias("path"), F.col("id").alias("last"),
-        F.lit(0.0).alias("km"),
-    ).distinct()
-    tgt = targets.select(F.col("id").alias("last")).distinct()
-    hits = []
-    for hop in range(1, max_hops + 1):
-        frontier = _prune(frontier, reach[max_hops - hop + 1])
-        frontier = (
-            frontier.join(e, frontier["last"] == e["src"])
-            .filter(~F.array_contains("path", F.col("dst")))
-            .select(
-                "origin",
-                F.array_append("path", F.col("dst")).alias("path"),
-                F.col("dst").alias("last"),
-                (F.col("km") + F.col("w")).alias("km"),
-            )
-        )
-        frontier = materialize(frontier, "frontier")  # read by this hop's hits and by the next hop
-        hits.append(
-            frontier.join(tgt, "last", "left_semi")
-            .select("origin", F.col("last").alias("target"), F.lit(hop).alias("hops"), "path", "km")
-        )
-    out = hits[0]
-    for h in hits[1:]:
-        out = out.unionByName(h)
+    toward = edges_toward(_weighted(edges, weight), targets, max_hops)
+    frontier = _start(sources)
+    out = _hits(frontier, toward, 1)
+    for hop in range(1, max_hops):
+        frontier = _grown(frontier, toward.more[max_hops - hop])
+        if hop < max_hops - 1:
+            frontier = materialize(frontier, "frontier")  # read by this hop's hits and by the next hop
+        out = out.unionByName(_hits(frontier, toward, hop + 1))
     return out
 
 
+def _order(longest: bool) -> list[Column]:
+    """What best paths are the least by: km (falling for the longest), then the path's text."""
+    km = -F.col("km") if longest else F.col("km")
+    return [km.alias("k"), path_text("path").alias("t")]
+
+
+def _best(rows: DataFrame, longest: bool) -> DataFrame:
+    """One row of each (origin, target): the shortest (or longest) path.
+
+    The aggregate keeps one candidate in each partial buffer, so a pair with
+    millions of candidate paths never gathers them in one place.
+    """
+    least = F.min(F.struct(*_order(longest), "km", "hops", "path")).alias("b")
+    return rows.groupBy("origin", "target").agg(least).select("origin", "target", "b.hops", "b.path", "b.km")
+
+
+def _in_bounds(frontier: DataFrame, hits: DataFrame, n_targets: int, longest: bool) -> DataFrame:
+    """``frontier`` (with ``rest``) without rows that can't better any best-known path of their origin.
+
+    ``hits`` are the paths to targets found so far.  An origin bounds its rows
+    once it has a path to each of the ``n_targets`` targets: by the worst of
+    their best.  ``rest`` is no worse than what any continuation adds, so no
+    best path is lost; ties stay.
+    """
+    known = hits.groupBy("origin", "target").agg((F.max if longest else F.min)("km").alias("km"))
+    limits = (known.groupBy("origin").agg((F.min if longest else F.max)("km").alias("worst"), F.count(F.lit(1)).alias("n"))
+              .filter(F.col("n") >= n_targets).select("origin", "worst"))
+    reach = F.col("km") + F.col("rest")
+    slack = F.lit(1e-9) * F.abs("worst")  # sums taken in another order
+    may = reach >= F.col("worst") - slack if longest else reach <= F.col("worst") + slack
+    return frontier.join(limits, "origin", "left").filter(F.col("worst").isNull() | may).drop("worst", "rest")
+
+
 def shortest_paths(edges: DataFrame, sources: DataFrame, targets: DataFrame, max_hops: int = 3,
                    weight: str = "km") -> DataFrame:
     """Per (origin, target) the shortest path of 1..max_hops edges; ties break on the path text.
 
     Edge weights are positive, so the best path of h edges to a vertex extends
     a best path of h - 1 edges that avoids it: after each hop only the best
-    row of each (origin, last, hops) is kept — |origins| · |V| rows at most —
-    instead of every simple path.  Returns ``origin, target, hops, path, km``.
+    row of each (origin, last) is kept, and only if no path of fewer hops got
+    there for less — |origins| · |V| rows at most — instead of every simple
+    path.  Returns ``origin, target, hops, path, km``.
     """
-    e = edges.select("src", "dst", F.col(weight).cast("double").alias("w")).filter("src <> dst")
-    reach = backward_reach(e, targets, max_hops)
-    frontier = sources.select(F.col("id").alias("origin"), F.array("id").alias("path"), F.col("id").alias("last"), F.lit(0.0).alias("km")).distinct()
-    tgt = targets.select(F.col("id").alias("last")).distinct()
-    hits = []
-    for hop in range(1, max_hops + 1):
-        frontier = _prune(frontier, reach[max_hops - hop + 1])
-        grown = frontier.join(e, frontier["last"] == e["src"]).filter(F.col("dst") != F.col("origin")).select(
-            "origin", F.array_append("path", F.col("dst")).alias("path"), F.col("dst").alias("last"), (F.col("km") + F.col("w")).alias("km"))
-        best = F.min(F.struct("km", path_text("path").alias("t"), "path"))
-        frontier = materialize(grown.groupBy("origin", "last").agg(best.alias("b")).select("origin", "b.path", "last", "b.km"), "frontier")
-        hits.append(frontier.join(tgt, "last", "left_semi").select(
-            "origin", F.col("last").alias("target"), F.lit(hop).alias("hops"), "path", "km"))
-    out = hits[0]
-    for h in hits[1:]:
-        out = out.unionByName(h)
-    return extreme_paths(out)
+    return _searched(edges, sources, targets, max_hops, weight, longest=False)
+
+
+def longest_paths(edges: DataFrame, sources: DataFrame, targets: DataFrame, max_hops: int = 3,
+                  weight: str = "km") -> DataFrame:
+    """Per (origin, target) the longest simple path of 1..max_hops edges; ties break on the path text.
+
+    Longest paths don't extend longest paths, so every simple path that its
+    bound lets through is followed.  Returns ``origin, target, hops, path, km``.
+    """
+    return _searched(edges, sources, targets, max_hops, weight, longest=True)
+
+
+def _searched(edges: DataFrame, sources: DataFrame, targets: DataFrame, max_hops: int, weight: str, longest: bool) -> DataFrame:
+    edges, targets = _weighted(edges, weight).filter("src <> dst"), targets.select("id").distinct()
+    toward = edges_toward(edges, targets, max_hops, longest=longest)
+    n_targets = targets.count()
+    # one best row of each vertex before the last hop pays if that hop has more edges than vertices to leave from
+    merged_last = not longest and toward.last.count() > edges.agg(F.approx_count_distinct("src")).first()[0]
+    frontier = _start(sources)
+    hits = _hits(frontier, toward, 1)
+    before = None  # the best row of each (origin, last) of fewer hops
+    for hop in range(1, max_hops):
+        frontier = _in_bounds(_grown(frontier, toward.more[max_hops - hop], "rest"), hits, n_targets, longest)
+        if not longest and (hop < max_hops - 1 or merged_last):
+            frontier = _undominated(frontier, before)
+        if hop < max_hops - 1:
+            frontier = materialize(frontier, "frontier")  # read by its hits, their bounds and the next hop
+            before = frontier if before is None else before.unionByName(frontier)
+        hits = hits.unionByName(_hits(frontier, toward, hop + 1))
+    return _best(hits, longest)
+
+
+def _undominated(frontier: DataFrame, before: DataFrame | None) -> DataFrame:
+    """The best row of each (origin, last) of ``frontier``, if better than all rows of ``before`` there."""
+    key = F.struct(*_order(longest=False), "km", "path")
+    rows = frontier.withColumn("new", F.lit(True))
+    if before is not None:
+        rows = rows.unionByName(before.select(*frontier.columns).withColumn("new", F.lit(False)))
+    best = rows.groupBy("origin", "last").agg(F.min(F.when(F.col("new"), key)).alias("b"), F.min(F.when(~F.col("new"), key)).alias("old"))
+    return best.filter(F.col("b").isNotNull() & (F.col("old").isNull() | (F.col("b") < F.col("old")))).select("origin", "b.path", "last", "b.km")
 
 
 def request_paths(edges: DataFrame, requests: DataFrame, max_hops: int = 3, weight: str = "km") -> DataFrame:
@@ -146,16 +228,9 @@ def restrict_to_requests(paths: DataFrame, requests: DataFrame) -> DataFrame:
 def extreme_paths(paths: DataFrame, longest: bool = False) -> DataFrame:
     """Per (origin, target): the path with the smallest (or largest) total km.
 
-    Ties break on the path text, so the choice is deterministic.  The aggregate
-    keeps one candidate struct per group in each partial buffer, so a pair with
-    millions of candidate paths never gathers them in one place.
+    Ties break on the path text, so the choice is deterministic.
     """
-    key = F.struct(
-        (-F.col("km") if longest else F.col("km")).alias("k"), path_text("path").alias("t"),
-        F.col("km").alias("km"), F.col("hops").alias("hops"), F.col("path").alias("path"),
-    )
-    best = paths.groupBy("origin", "target").agg(F.min(key).alias("b"))
-    return best.select("origin", "target", "b.hops", "b.path", "b.km")
+    return _best(paths, longest)
 
 
 def label_paths(paths: DataFrame, vertices: DataFrame, unknown: str = "???") -> DataFrame:
@@ -193,44 +268,41 @@ def itineraries(vertices: DataFrame, edges: DataFrame, src_country: str, dst_cou
                  but not necessarily from each other, and need not exist in the
                  vertex table; ends are not compared with each other.
     """
-    v = vertices.select("id", "country").distinct()
-    e = edges.select("src", "dst").distinct()
+    return _itineraries(vertices.select("id", "country").distinct(), edges.select("src", "dst").distinct(), src_country, dst_country, max_stops, strict)
+
+
+def _itineraries(v: DataFrame, e: DataFrame, src_country: str, dst_country: str, max_stops: int, strict: bool) -> DataFrame:
     a = v.filter(F.col("country") == src_country).select("id")
     b = v.filter(F.col("country") == dst_country).select("id")
-    reach = backward_reach(e, b, max_stops + 1)
-    known = v.select(F.col("id").alias("dst"))
-    frontier = a.select(F.col("id").alias("origin"), F.array(F.col("id")).alias("path"), F.col("id").alias("last"))
-    out = None
-    for stops in range(0, max_stops + 1):
-        # reach the destination set from here (this hop is the last one)
-        frontier = _prune(frontier, reach[max_stops - stops + 1])
-        step = materialize(frontier.join(e, frontier["last"] == e["src"]).drop("src"), "step")
-        final = step.join(b.select(F.col("id").alias("dst")), "dst", "left_semi")
-        interior = F.slice("path", 2, F.greatest(F.size("path") - 1, F.lit(1)))
+    toward = edges_toward(e.withColumn("w", F.lit(0.0)), b, max_stops + 1, between=v if strict else None)
+
+    def step(frontier: DataFrame, steps: DataFrame, last: bool) -> DataFrame:
+        grown = frontier.join(steps, frontier["last"] == steps["src"])
         if strict:
-            final = final.filter(~F.array_contains("path", F.col("dst")))
+            own = ~F.array_contains("path", F.col("dst"))
+        elif last:  # the stops differ from the end; a route without stops may be any
+            own = ~F.array_contains(F.slice("path", 2, F.greatest(F.size("path") - 1, F.lit(1))), F.col("dst"))
         else:
-            final = final.filter(F.lit(stops == 0) | ~F.array_contains(interior, F.col("dst")))
-        done = final.select(
-            "origin", F.col("dst").alias("destination"), F.lit(stops).alias("stops"),
-            path_text(F.array_append("path", F.col("dst"))).alias("path"),
-        )
+            own = F.col("dst") != F.col("origin")
+        return grown.filter(own).select("origin", F.array_append("path", F.col("dst")).alias("path"), F.col("dst").alias("last"))
+
+    frontier = a.select(F.col("id").alias("origin"), F.array(F.col("id")).alias("path"), F.col("id").alias("last"))
+    out = None
+    for stops in range(max_stops + 1):
+        done = step(frontier, toward.last, last=True).select(
+            "origin", F.col("last").alias("destination"), F.lit(stops).alias("stops"), path_text("path").alias("path"))
         out = done if out is None else out.unionByName(done)
-        if stops == max_stops:
-            break
-        # extend by one interior stop
-        grow = step
-        if strict:
-            grow = grow.join(known, "dst", "left_semi").filter(~F.array_contains("path", F.col("dst")))
-        else:
-            grow = grow.filter(F.col("dst") != F.col("origin"))
-        frontier = grow.select("origin", F.array_append("path", F.col("dst")).alias("path"), F.col("dst").alias("last"))
+        if stops < max_stops:
+            frontier = step(frontier, toward.more[max_stops - stops], last=False)
+            if stops < max_stops - 1:
+                frontier = materialize(frontier, "frontier")  # read by its own ends and by the next stop
     return out
 
 
 def round_trip_itineraries(vertices: DataFrame, edges: DataFrame, country_a: str, country_b: str,
                            max_stops: int = 2, strict: bool = True) -> DataFrame:
     """Both directions, one row per distinct (path, stops)."""
-    there = itineraries(vertices, edges, country_a, country_b, max_stops, strict)
-    back = itineraries(vertices, edges, country_b, country_a, max_stops, strict)
+    v, e = vertices.select("id", "country").distinct(), materialize(edges.select("src", "dst").distinct(), "edges")
+    there = _itineraries(v, e, country_a, country_b, max_stops, strict)
+    back = _itineraries(v, e, country_b, country_a, max_stops, strict)
     return there.unionByName(back).distinct()

@@ -23,12 +23,13 @@ from .sqltext import (
 
 
 def _ctx(spark, sf_dir):
-    return standins.airports(spark, sf_dir), standins.airlines(spark, sf_dir), standins.routes(spark, sf_dir)
+    """All airports, the carriers with a name, all routes."""
+    return standins.all_airports(spark, sf_dir), standins.airlines(spark, sf_dir), standins.routes(spark, sf_dir)
 
 
 # ---------------------------------------------------------------- flagship
 @query("airline_extremes", with_ctes(
-    AIRPORT, AIRLINE, ROUTE, WEIGHTED_EDGE, VALID_WEIGHTED_EDGE,
+    ALL_AIRPORTS, AIRLINE, ROUTE, WEIGHTED_EDGE, VALID_WEIGHTED_EDGE,
     """tot AS (SELECT airline_id, sum(km) AS total_km, count(*) AS n_routes FROM vwedge GROUP BY airline_id),
 ext AS (
   (SELECT 'max' AS kind, * FROM tot ORDER BY total_km DESC, airline_id LIMIT 1)
@@ -43,7 +44,7 @@ def q_airline_extremes(spark, sf_dir):
 
 
 @query("airline_totals", with_ctes(
-    AIRPORT, ROUTE, WEIGHTED_EDGE, VALID_WEIGHTED_EDGE,
+    ALL_AIRPORTS, ROUTE, WEIGHTED_EDGE, VALID_WEIGHTED_EDGE,
     body="SELECT airline_id, round(sum(km), 4) AS total_km, count(*) AS n_routes FROM vwedge GROUP BY airline_id"))
 def q_airline_totals(spark, sf_dir):
     airports, _, routes = _ctx(spark, sf_dir)
@@ -52,7 +53,7 @@ def q_airline_totals(spark, sf_dir):
 
 # ---------------------------------------------------------------- edges
 @query("weighted_edges", with_ctes(
-    AIRPORT, ROUTE, WEIGHTED_EDGE, VALID_WEIGHTED_EDGE,
+    ALL_AIRPORTS, ROUTE, WEIGHTED_EDGE, VALID_WEIGHTED_EDGE,
     body="SELECT src, dst, airline_id, round(km, 4) AS km FROM vwedge"))
 def q_weighted_edges(spark, sf_dir):
     airports, _, routes = _ctx(spark, sf_dir)
@@ -67,7 +68,8 @@ e AS (SELECT p.src_id AS src, p.dest_id AS dst,
       FROM pairs p JOIN airport s ON p.src_id = s.id JOIN airport d ON p.dest_id = d.id)""",
     body="SELECT src, dst, round(km, 4) AS km FROM e WHERE NOT isnan(km) AND km > 0"))
 def q_weighted_edges_distinct(spark, sf_dir):
-    airports, _, routes = _ctx(spark, sf_dir)
+    # ghosts have no coordinates: edges that touch them go
+    airports, routes = standins.airports(spark, sf_dir), standins.routes(spark, sf_dir)
     return graph.weighted_edges(routes, airports, keep=(), distinct=True).withColumn("km", F.round("km", 4))
 
 
@@ -77,7 +79,7 @@ def q_route_edges(spark, sf_dir):
 
 
 @query("adjacency", with_ctes(
-    AIRPORT, ROUTE, WEIGHTED_EDGE, VALID_WEIGHTED_EDGE,
+    ALL_AIRPORTS, ROUTE, WEIGHTED_EDGE, VALID_WEIGHTED_EDGE,
     body="""SELECT src, count(*) AS out_degree, count(DISTINCT dst) AS n_targets, round(sum(km), 4) AS total_km
 FROM vwedge GROUP BY src"""))
 def q_adjacency(spark, sf_dir):
@@ -93,7 +95,7 @@ def q_adjacency(spark, sf_dir):
        (SELECT count(*) FROM route) AS n_edges,
        (SELECT CAST(coalesce(sum(CASE WHEN src_id = dest_id THEN 1 ELSE 0 END), 0) AS BIGINT) FROM route) AS n_self_loops"""))
 def q_graph_summary(spark, sf_dir):
-    airports, _, routes = _ctx(spark, sf_dir)
+    airports, routes = standins.airports(spark, sf_dir), standins.routes(spark, sf_dir)
     return graph.graph_summary(graph.build_graph(airports, routes))
 
 

@@ -9,7 +9,7 @@ from ..operators import graph, paths
 from ..session import cut_lineage
 from ..sources import standins
 from .registry import query
-from .sqltext import AIRPORT, ROUTE, haversine, with_ctes
+from .sqltext import AIRPORT, ALL_AIRPORTS, ROUTE, haversine, with_ctes
 
 # the two "countries" the itinerary and path workloads connect
 COUNTRY_A = "Brand#11"
@@ -99,9 +99,9 @@ _WE = f"""we AS (
 w AS (SELECT * FROM we WHERE NOT isnan(km) AND km > 0)"""
 
 
-def _paths_sql(requested: bool = False) -> str:
+def _paths_sql(requested: bool = False, max_hops: int = MAX_HOPS) -> str:
     parts = []
-    for hops in range(1, MAX_HOPS + 1):
+    for hops in range(1, max_hops + 1):
         frm = "w e1" + "".join(f" JOIN w e{i} ON e{i-1}.dst = e{i}.src" for i in range(2, hops + 1))
         nodes = ["e1.src"] + [f"e{i}.dst" for i in range(1, hops + 1)]
         conds = [f"e1.src IN (SELECT id FROM airport WHERE country = '{COUNTRY_A}')",
@@ -119,64 +119,59 @@ def _paths_sql(requested: bool = False) -> str:
 _P = f"bp AS (\n{_paths_sql()})"
 
 
-def _bounded(spark, sf_dir):
-    airports = standins.airports(spark, sf_dir)
+def _search(spark, sf_dir):
+    """All airports with weighted edges between them, and the sources and targets of path searches."""
+    airports = standins.all_airports(spark, sf_dir)
     edges = cut_lineage(graph.weighted_edges(standins.routes(spark, sf_dir), airports, keep=(), distinct=True))
-    src = airports.filter(F.col("country") == COUNTRY_A).select("id")
-    dst = airports.filter(F.col("country") == COUNTRY_B).select("id")
-    return airports, paths.simple_paths(edges, src, dst, MAX_HOPS)
+    ends = (airports.filter(F.col("country") == c).select("id") for c in (COUNTRY_A, COUNTRY_B))
+    return edges, *ends
+
+
+def _reported(best):
+    return best.select("origin", "target", "hops", path_text("path").alias("path"), F.round("km", 4).alias("km"))
 
 
-@query("bounded_paths", with_ctes(AIRPORT, ROUTE, _WE, _P,
+@query("bounded_paths", with_ctes(ALL_AIRPORTS, ROUTE, _WE, _P,
                                   body="SELECT origin, target, hops, path, round(km, 4) AS km FROM bp"))
 def q_bounded_paths(spark, sf_dir):
-    _, p = _bounded(spark, sf_dir)
-    return p.select("origin", "target", "hops", path_text("path").alias("path"), F.round("km", 4).alias("km"))
+    return _reported(paths.simple_paths(*_search(spark, sf_dir), MAX_HOPS))
 
 
 def _extreme_sql(longest: bool) -> str:
     order = "km DESC" if longest else "km ASC"
-    return with_ctes(AIRPORT, ROUTE, _WE, _P, f"""best AS (
+    return with_ctes(ALL_AIRPORTS, ROUTE, _WE, _P, f"""best AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY origin, target ORDER BY {order}, path) AS rn FROM bp) t
   WHERE rn = 1)""", body="SELECT origin, target, hops, path, round(km, 4) AS km FROM best")
 
 
-def _shortest(spark, sf_dir):
-    airports = standins.airports(spark, sf_dir)
-    edges = cut_lineage(graph.weighted_edges(standins.routes(spark, sf_dir), airports, keep=(), distinct=True))
-    src = airports.filter(F.col("country") == COUNTRY_A).select("id")
-    dst = airports.filter(F.col("country") == COUNTRY_B).select("id")
-    return airports, paths.shortest_paths(edges, src, dst, MAX_HOPS)
-
-
 _REQ = f"req AS (SELECT id AS src, id + 1 AS dst FROM airport WHERE country = '{COUNTRY_A}')"
 
 
-@query("path_requests", with_ctes(AIRPORT, ROUTE, _WE, _REQ, f"bp AS (\n{_paths_sql(requested=True)})",
+@query("path_requests", with_ctes(ALL_AIRPORTS, ROUTE, _WE, _REQ, f"bp AS (\n{_paths_sql(requested=True)})",
                                   body="SELECT origin, target, hops, path, round(km, 4) AS km FROM bp"))
 def q_path_requests(spark, sf_dir):
     """All simple paths of a request table: from each airport of one country to the next id."""
-    airports = standins.airports(spark, sf_dir)
-    edges = cut_lineage(graph.weighted_edges(standins.routes(spark, sf_dir), airports, keep=(), distinct=True))
-    requests = airports.filter(F.col("country") == COUNTRY_A).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
-    p = paths.request_paths(edges, requests, MAX_HOPS)
-    return p.select("origin", "target", "hops", path_text("path").alias("path"), F.round("km", 4).alias("km"))
+    edges, sources, _ = _search(spark, sf_dir)
+    requests = sources.select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
+    return _reported(paths.request_paths(edges, requests, MAX_HOPS))
 
 
 @query("shortest_path", _extreme_sql(longest=False))
 def q_shortest_path(spark, sf_dir):
-    _, best = _shortest(spark, sf_dir)
-    return best.select("origin", "target", "hops", path_text("path").alias("path"), F.round("km", 4).alias("km"))
+    return _reported(paths.shortest_paths(*_search(spark, sf_dir), MAX_HOPS))
 
 
 @query("longest_path", _extreme_sql(longest=True))
 def q_longest_path(spark, sf_dir):
-    _, p = _bounded(spark, sf_dir)
-    best = paths.extreme_paths(p, longest=True)
-    return best.select("origin", "target", "hops", path_text("path").alias("path"), F.round("km", 4).alias("km"))
+    return _reported(paths.longest_paths(*_search(spark, sf_dir), MAX_HOPS))
 
 
-@query("path_labels", with_ctes(AIRPORT, ROUTE, _WE, _P, """best AS (
+_LABEL_HOPS = 2
+# route pairs as edges of length 1: paths lead over ghosts, airports without a row
+_UNIT = "w AS (SELECT DISTINCT src_id AS src, dest_id AS dst, 1.0 AS km FROM route WHERE src_id <> dest_id)"
+
+
+@query("path_labels", with_ctes(AIRPORT, ROUTE, _UNIT, f"bp AS (\n{_paths_sql(max_hops=_LABEL_HOPS)})", """best AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY origin, target ORDER BY km, path) AS rn FROM bp) t
   WHERE rn = 1),
 ex AS (SELECT origin, target, unnest(ids) AS vid, generate_subscripts(ids, 1) AS pos FROM best)""",
@@ -184,5 +179,9 @@ ex AS (SELECT origin, target, unnest(ids) AS vid, generate_subscripts(ids, 1) AS
        string_agg(CAST(ex.vid AS VARCHAR) || ':' || coalesce(a.name, '???'), ' -> ' ORDER BY ex.pos) AS labels
 FROM ex LEFT JOIN airport a ON a.id = ex.vid GROUP BY ex.origin, ex.target"""))
 def q_path_labels(spark, sf_dir):
-    airports, best = _shortest(spark, sf_dir)
+    """Paths of fewest hops over all route pairs; ghosts on the way are labelled ``???``."""
+    airports = standins.airports(spark, sf_dir)
+    edges = cut_lineage(graph.route_edges(standins.routes(spark, sf_dir))).withColumn("km", F.lit(1.0))
+    ends = (airports.filter(F.col("country") == c).select("id") for c in (COUNTRY_A, COUNTRY_B))
+    best = paths.shortest_paths(edges, *ends, _LABEL_HOPS)
     return paths.label_paths(best, airports).select("origin", "target", "labels")
