@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 import os
 import tempfile
@@ -26,9 +28,36 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_MADE: ContextVar[list[DataFrame] | None] = ContextVar("tables made", default=None)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """``df`` written once to the shared folder and read back: lineage is a file scan."""
-    return materialize(df, f"llm-{name}")
+    out = materialize(df, f"llm-{name}")
+    if (made := _MADE.get()) is not None:
+        made.append(out)
+    return out
+
+
+@contextmanager
+def scratch() -> Iterator[list[DataFrame]]:
+    """Within it, ``stored`` lists the tables it makes; those still listed at its end belong to a scratch around it."""
+    made: list[DataFrame] = []
+    token = _MADE.set(made)
+    try:
+        yield made
+    finally:
+        _MADE.reset(token)
+        if (outer := _MADE.get()) is not None:
+            outer.extend(made)
+
+
+def free_name(df: DataFrame, name: str) -> str:
+    """``name``, with underscores until no column of ``df`` has it, whatever the case."""
+    taken = {c.lower() for c in df.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
 
 
 def discard(df: DataFrame) -> None:

@@ -32,7 +32,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import WORD, stored
+from .common import WORD, free_name, stored
 
 BLOCK_WORDS = 32
 SHARD_SLOTS = 4096
@@ -192,9 +192,10 @@ def mixed_texts(docs: DataFrame) -> DataFrame:
     ``n_chars``, where it is a column, follows the text.  Rows without words are
     in no mix.
     """
+    row, other, whole, pieces = (free_name(docs, f"_mix_{c}") for c in ("row", "other", "whole", "pieces"))
     # written once: another scan may cut the files otherwise, and number the rows anew
-    numbered = stored(docs.withColumn(_ROW, F.monotonically_increasing_id()), "mix-rows")
-    placed = placed_documents(numbered, _ROW)
+    numbered = stored(docs.withColumn(row, F.monotonically_increasing_id()), "mix-rows")
+    placed = placed_documents(numbered.select("doc_id", "source", "text", F.col(row).alias(_ROW)), _ROW)
     targets = stored(source_targets(placed), "mix-targets")
     own = ("chunk", "source", "place")
     taken = taken_pieces(with_offsets(placed), targets).groupBy(*own, "epoch").agg(
@@ -202,13 +203,13 @@ def mixed_texts(docs: DataFrame) -> DataFrame:
     taken = taken.select(*(F.col(c).alias(f"t_{c}") for c in own), "epoch", "took", "pieces")
     rows = placed.hint("merge").join(
         taken.hint("merge"), F.col("source").eqNullSafe(F.col("t_source")) & (F.col("chunk") == F.col("t_chunk")) & (F.col("place") == F.col("t_place")))
-    rows = rows.select(F.col(_ROW).alias(f"{_ROW}_t"), (F.col("took") == F.col("size")).alias("_whole"), "pieces")
-    mixed = numbered.hint("merge").join(rows.hint("merge"), F.col(_ROW) == F.col(f"{_ROW}_t"))
+    rows = rows.select(F.col(_ROW).alias(other), (F.col("took") == F.col("size")).alias(whole), F.col("pieces").alias(pieces))
+    mixed = numbered.hint("merge").join(rows.hint("merge"), F.col(row) == F.col(other))
     words = F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1))
     # the words are bound once; named inside the inner function they would be cut again for each piece
     parts = F.transform(F.array(words), lambda w: F.flatten(
-        F.transform("pieces", lambda p: F.slice(w, (p["at"] + 1).cast("int"), p["words"].cast("int")))))[0]
-    mixed = mixed.withColumn("text", F.when(F.col("_whole"), F.col("text")).otherwise(F.array_join(parts, " ")))
+        F.transform(pieces, lambda p: F.slice(w, (p["at"] + 1).cast("int"), p["words"].cast("int")))))[0]
+    mixed = mixed.withColumn("text", F.when(F.col(whole), F.col("text")).otherwise(F.array_join(parts, " ")))
     if "n_chars" in docs.columns:
         mixed = mixed.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return mixed.select(*docs.columns)
+    return mixed.select(*(F.col(f"`{c}`") for c in docs.columns))

@@ -56,7 +56,8 @@ MASK_DELTA = 0xA282EAD8
 _HEAD, _HEAD_BYTES = "<QI", 12
 _OWN, _OWN_BYTES = "<BqB", 10
 #: A mark alone between a letter or digit and a blank is a token of its own: cut off, it leaves fewer distinct chunks.
-_MARK_AFTER_WORD = re.compile(r"(?<=[^\W_])([,.])(?=[ \n])")
+#: Only after letters that stay letters: others may end in a combining mark once they are normalised, which takes the mark along.
+_MARK_AFTER_WORD = re.compile(r"(?<=[0-9A-Za-zÀ-ÖØ-öø-ÿ])([,.])(?=[ \n])")
 #: Chunks that lower-casing and normalising leave as long as they are, without apostrophes, and their runs: letters, single digits, marks.
 _SIMPLE = re.compile(r"[!-&(-~À-ÖØ-öø-ÿ]+")
 _RUN = re.compile(r"[A-Za-zÀ-ÖØ-öø-ÿ]+|[0-9]|[^A-Za-zÀ-ÖØ-öø-ÿ0-9]+")

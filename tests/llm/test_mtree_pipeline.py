@@ -66,6 +66,10 @@ CONTRACT = {
     "op7_language_id": {"doc_id": "bigint", "held_out": "boolean", "lang_pred": "string", "score": "double"},
     "op8_ngram_join": {"doc_id": "bigint", "n_shingles": "bigint", "component_id": "bigint"},
     "op9_exact_top_k": {"query_id": "bigint", "rank": "int", "vec_id": "bigint", "score": "bigint"},
+    "op11_collocations": {"lang": "string", "rank": "bigint", "phrase": "string", "a": "bigint", "l": "bigint", "r": "bigint", "n": "bigint", "score": "bigint"},
+    "op12_quality_rules": {"doc_id": "bigint", "n_words": "bigint", "word_chars": "bigint", "n_symbols": "bigint", "n_dup_lines": "bigint", "n_repeat_words": "bigint",
+                           "base_failed": "boolean", "kept": "boolean"},
+    "op13_whitening": {"vec_id": "bigint", "component": "int", "n": "bigint", "deviation": "bigint", "whitened": "double", "explained": "double", "identity_error": "double"},
     "op10_token_files": {"doc_id": "bigint", "start": "bigint", "n_tokens": "bigint", "ids_crc32": "bigint"},
 }
 
@@ -99,3 +103,40 @@ def test_pipeline_of_odd_and_no_documents(spark, odd, empty):
             docs = corpus_pipeline.stored(stage(spark, docs, SF_SMALL), f"test-{name}")
             assert docs.columns[:len(columns)] == columns
         assert docs.count() >= 0
+
+
+def _tables(spark):
+    import os
+
+    folder = f"{spark.sparkContext.getCheckpointDir().removeprefix('file:')}/airmesh-tables"
+    return {f for f in os.listdir(folder) if f.startswith("llm-")}
+
+
+def test_stages_leave_no_tables_behind(spark):
+    corpus_pipeline.stored(spark.range(1), "test-folder")
+    before = _tables(spark)
+    rows = corpus_pipeline.run(spark, SF_SMALL)
+    left = _tables(spark) - before
+    assert len(left) == 1 and next(iter(left)).startswith("llm-pipeline-sharding")
+    assert rows.count() > 0
+
+
+def test_a_stage_keeps_what_its_input_reads(spark):
+    docs = spark.read.parquet(f"{SF_SMALL}/documents.parquet")
+    thinned = corpus_pipeline.near_duplicates(spark, docs, SF_SMALL)  # not written: its tables are still read
+    assert corpus_pipeline.decontamination(spark, thinned, SF_SMALL).count() > 0
+
+
+def test_columns_named_like_helpers_survive(spark):
+    rows = [(1, "a b c d e f g", "s", 7, "x", 5, 1.5), (1, "a b c d e f g", "s", 8, "y", 6, 2.5), (2, None, None, 9, None, None, None),
+            (2, None, None, 9, None, None, None), (3, "q r s t u v w", "s", 1, "z", 0, 0.0), (None, "q r s t u v w", "s", 2, "z", 0, 0.0)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, source string, `_scan_row` long, pieces string, `_whole` long, `my col` double")
+    df = df.withColumn("_name", F.col("_scan_row") + 1).withColumn("_mix_row", F.lit("m"))
+    thinned = corpus_pipeline.near_duplicates(spark, df, SF_SMALL)
+    assert thinned.columns == df.columns
+    got = thinned.collect()
+    assert sorted(r.doc_id for r in got) == [1, 2, 2, 3]  # equal texts once, the smallest id; texts without words all
+    assert {r._scan_row for r in got if r.doc_id == 1} <= {7, 8} and all(r._name == r._scan_row + 1 for r in got)
+    mixed = corpus_pipeline.mixing(spark, df, SF_SMALL)
+    assert mixed.columns == df.columns
+    assert all((r._scan_row, r.pieces) in {(7, "x"), (8, "y"), (1, "z"), (2, "z")} for r in mixed.collect())

@@ -70,3 +70,21 @@ def test_damage_is_noticed():
 def test_small_cache_gives_the_same_ids(docs):
     texts = [r.text or "" for r in docs.collect()]
     assert tokenfile.ChunkEncoder(WORDS, 10).encode(texts) == tokenfile.ChunkEncoder(WORDS).encode(texts)
+
+
+def test_marks_after_every_letter_and_digit():
+    """A mark after any letter of any script gives the library's ids, also where normalising changes the letter."""
+    import struct
+    import sys
+
+    from tokenizers import Tokenizer
+
+    library, encoder = Tokenizer.from_file(WORDS), tokenfile.ChunkEncoder(WORDS)
+    letters = [chr(i) for i in range(sys.maxunicode + 1) if chr(i).isalnum() and not 0xD800 <= i < 0xE000]
+    texts = [f"a{c}{mark} b" for c in letters for mark in ".,"]
+    for start in range(0, len(texts), 20_000):
+        part = texts[start:start + 20_000]
+        wanted = [e.ids for e in library.encode_batch(part, add_special_tokens=False)]
+        got = encoder.encode(part)
+        for text, ids, want in zip(part, got, wanted, strict=True):
+            assert struct.unpack(f"<{len(ids) // encoder.width}{encoder.kind}", ids) == tuple(want), text.encode("unicode_escape")
