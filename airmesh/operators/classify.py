@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..sources.scores import write_scores
 from . import features as feat
 from .metrics import confusion_matrix
 from .sampling import NUM_FOLDS, SAMPLE_TARGET, fold_of, sample_to_target
@@ -89,12 +90,12 @@ SCORE_SCHEMA = T.StructType([
 
 
 def cross_validate(grid: list[Candidate], train: DataFrame, key: str = "id", folds: int = NUM_FOLDS,
-                   parallelism: int = PARALLELISM, target: int = SAMPLE_TARGET) -> DataFrame:
+                   parallelism: int = PARALLELISM, path: str | None = None, target: int = SAMPLE_TARGET) -> DataFrame:
     """Per (candidate, fold): weighted F1, accuracy and row count of the held-out fold.
 
     Every row of the held-out fold is scored; at most ``target`` of the others
     are fitted on.  The score table has ``len(grid) × folds`` rows (bounded by
-    the search size).
+    the search size); with ``path``, it is also appended to the score table there.
     """
     labels = feat.label_index(train) if feat.LABEL not in train.columns else None
     # kept for all fits of the search; what a lost executor held is read again
@@ -115,7 +116,10 @@ def cross_validate(grid: list[Candidate], train: DataFrame, key: str = "id", fol
             rows = list(pool.map(run, jobs))
     finally:
         data.unpersist()
-    return train.sparkSession.createDataFrame(rows, SCORE_SCHEMA)
+    scores = train.sparkSession.createDataFrame(rows, SCORE_SCHEMA)
+    if path:
+        write_scores(scores, path)
+    return scores
 
 
 def summarize(scores: DataFrame) -> DataFrame:

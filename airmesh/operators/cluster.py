@@ -26,6 +26,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..sources.schemas import SENSOR_GYRO
+from ..sources.scores import write_scores
 
 # --- fixed values: seed, cluster counts and stopping rules of the workload ---
 SEED = 12321
@@ -306,7 +307,7 @@ def silhouettes(rows: DataFrame, placers: dict[int, Callable], sizes: dict[int,
 
 
 def sweep(model: str, train: DataFrame, test: DataFrame, columns: tuple[str, ...] = SENSOR_GYRO,
-          ks: tuple[int, ...] = K_RANGE) -> DataFrame:
+          ks: tuple[int, ...] = K_RANGE, path: str | None = None) -> DataFrame:
     """``model, k, silhouette, n_rows, n_misplaced, fit, fit_of_one``: fit on train, place and score the test rows.
 
     ``n_misplaced`` counts test rows that are not with their nearest centre
@@ -314,7 +315,8 @@ def sweep(model: str, train: DataFrame, test: DataFrame, columns: tuple[str, ...
     rows' mean squared distance (k-means, falling) or log-likelihood (mixture,
     rising), ``fit_of_one`` that of a single cluster.
     Silhouette is null when every test row falls into one cluster (undefined).
-    A table without train rows gives no row.
+    A table without train rows gives no row.  With ``path``, the board is also
+    appended to the score table there as one run.
     """
     # kept for all scans of the sweep; what a lost executor held is read again
     tr, te = vectors(train, columns).persist(), vectors(test, columns).persist()
@@ -325,4 +327,7 @@ def sweep(model: str, train: DataFrame, test: DataFrame, columns: tuple[str, ...
     finally:
         tr.unpersist()
         te.unpersist()
-    return train.sparkSession.createDataFrame(rows, SWEEP_SCHEMA)
+    board = train.sparkSession.createDataFrame(rows, SWEEP_SCHEMA)
+    if path:
+        write_scores(board, path)
+    return board

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ..operators import carriers, graph
+from ..session import fresh_folder
 from ..sources import delimited, standins
 from ..sources.schemas import AIRPORT_FIELDS, pick
 from .registry import query
@@ -139,6 +140,31 @@ def q_typed_cast(spark, sf_dir):
     return delimited.clean_named(standins.airport_text(spark, sf_dir), fields)
 
 
+# ---------------------------------------------------------------- delimited files, written and read back
+_CSV_FIELDS = ("id", "name", "iata", "icao", "altitude", "timezone_offset")
+_CSV_REASON = r"""CASE WHEN iata = '\N' THEN 'missing iata' WHEN icao IS NULL THEN 'missing icao'
+  WHEN TRY_CAST(altitude AS DOUBLE) IS NULL THEN 'malformed altitude' END"""
+
+
+def _airport_file(spark, sf_dir):
+    """The airports as a header-less file with all fields of its layout, and its accepted and rejected rows."""
+    path, text = fresh_folder(spark, "airports-csv"), standins.airport_text(spark, sf_dir)
+    known = set(text.columns)
+    delimited.write_delimited(text.select(*[F.col(f.name) if f.name in known else F.lit("0").alias(f.name) for f in AIRPORT_FIELDS]), path)
+    return delimited.read_quarantined(spark, path, pick(AIRPORT_FIELDS, *_CSV_FIELDS), len(AIRPORT_FIELDS))
+
+
+@query("csv_airports", with_ctes(AIRPORT_TEXT, body=f"""SELECT CAST(id AS BIGINT) AS id, name, iata, icao,
+       TRY_CAST(altitude AS DOUBLE) AS altitude, CAST(timezone_offset AS INTEGER) AS timezone_offset FROM airport_text WHERE {_CSV_REASON} IS NULL"""))
+def q_csv_airports(spark, sf_dir):
+    return _airport_file(spark, sf_dir)[0]
+
+
+@query("csv_airport_rejects", with_ctes(AIRPORT_TEXT, body=f"SELECT id, name, {_CSV_REASON} AS reason FROM airport_text WHERE {_CSV_REASON} IS NOT NULL"))
+def q_csv_airport_rejects(spark, sf_dir):
+    return _airport_file(spark, sf_dir)[1].select("id", "name", "reason")
+
+
 @query("airports_by_country", with_ctes(
     ALL_AIRPORTS, body="SELECT id, country FROM airport WHERE country = 'Brand#11'"))
 def q_airports_by_country(spark, sf_dir):

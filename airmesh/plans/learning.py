@@ -8,16 +8,13 @@ for each.  The fitted values are the operators' results; tests check them.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..operators import classify, cluster, features, metrics, sampling
-from ..session import cut_lineage
-from ..sources import standins
+from ..session import cut_lineage, fresh_folder
+from ..sources import delimited, scores, standins
 from ..sources.schemas import SENSOR_COLUMNS, SENSOR_NUMERIC
 from .registry import query
 from .sqltext import SENSOR, with_ctes
@@ -159,6 +156,14 @@ def q_scan_sensor(spark, sf_dir):
     return s.select("id", *[F.col(n).try_cast(t).alias(n) for n, t in SENSOR_COLUMNS])
 
 
+@query("csv_sensor", with_ctes(SENSOR, body=f"SELECT {_SENSOR_COLS} FROM sensor"))
+def q_csv_sensor(spark, sf_dir):
+    """The sensor table as a headered CSV file, read back."""
+    path = fresh_folder(spark, "sensor-csv")
+    delimited.write_delimited(standins.sensor(spark, sf_dir).select(*[n for n, _ in SENSOR_COLUMNS]), path, header=True)
+    return delimited.read_headered(spark, path)
+
+
 #: Below the row count at every scale, so that fraction and cap both act.
 SAMPLED = 300
 _U = "((((id % 2147483648) * 1103515245 + 12345) % 2147483648) / 2147483648.0)"
@@ -268,10 +273,11 @@ _ID_FOLD = "(((((id % 2147483647) * 69069 + 1) % 2147483647) * 7919) % 214748364
   FROM sensor WHERE {_TRAIN} GROUP BY 1), grid(model, candidate, params) AS (VALUES {_CANDIDATES})""",
     body="SELECT model, candidate, params, fold, n_rows, true AS in_range FROM grid CROSS JOIN held"))
 def q_cv_scores(spark, sf_dir):
-    """Each candidate on each fold: the rows it was scored on, and scores within [0, 1]."""
+    """Each candidate on each fold: the rows it was scored on, and scores within [0, 1]; read back from the score table."""
     train, _ = _sensor_split(spark, sf_dir)
-    scores = classify.cross_validate(_GRID, train)
-    return scores.select("model", "candidate", "params", "fold", "n_rows",
+    path = fresh_folder(spark, "cv-scores")
+    classify.cross_validate(_GRID, train, path=path)
+    return scores.read_latest_scores(spark, path, ("model", "candidate", "fold")).select("model", "candidate", "params", "fold", "n_rows",
                          (F.col("f1").between(0, 1) & F.col("accuracy").between(0, 1)).alias("in_range"))
 
 
@@ -282,10 +288,10 @@ SELECT model, round(max(f), 6) AS best_mean_f1, round(max(a), 6) AS best_mean_ac
 def q_cv_best(spark, sf_dir):
     """Best mean scores by model, over a rule-based score table of ``lineitem``."""
     li = standins.table(spark, sf_dir, "lineitem")
-    scores = li.groupBy(F.col("l_returnflag").alias("model"), (F.col("l_linenumber") % 4).cast("int").alias("candidate"),
+    table = li.groupBy(F.col("l_returnflag").alias("model"), (F.col("l_linenumber") % 4).cast("int").alias("candidate"),
                         (F.col("l_orderkey") % 5).cast("int").alias("fold")).agg(
         F.avg(F.col("l_discount") * 10).alias("f1"), F.avg(F.col("l_quantity") / 50).alias("accuracy"))
-    best = classify.best_scores(scores.withColumn("params", F.lit("rule")))
+    best = classify.best_scores(table.withColumn("params", F.lit("rule")))
     return best.select("model", F.round("best_mean_f1", 6).alias("best_mean_f1"), F.round("best_mean_accuracy", 6).alias("best_mean_accuracy"))
 
 
@@ -295,11 +301,9 @@ def _sweep_sql(*models: str) -> str:
                      body="SELECT model, k, n_rows, CAST(0 AS BIGINT) AS n_misplaced, true AS in_range, true AS beats_one FROM board CROSS JOIN test")
 
 
-def _board(spark, sf_dir, *models):
+def _facts(board):
     """Each k of each model: all test rows placed, none misplaced, silhouette (if defined) within [-1, 1],
     and a fit to the train rows beyond a single cluster's: less squared distance by 5% at least, or likelier."""
-    train, test = _sensor_split(spark, sf_dir)
-    board = reduce(DataFrame.unionByName, (cluster.sweep(m, train, test) for m in models))
     beats = F.when(F.col("model") == "kmeans", F.col("fit") < 0.95 * F.col("fit_of_one")).otherwise(F.col("fit") > F.col("fit_of_one") + 1e-6)
     return board.select("model", "k", "n_rows", "n_misplaced",
                         F.coalesce(F.col("silhouette").between(-1, 1), F.lit(True)).alias("in_range"), beats.alias("beats_one"))
@@ -307,18 +311,21 @@ def _board(spark, sf_dir, *models):
 
 @query("kmeans_sweep", _sweep_sql("kmeans"))
 def q_kmeans_sweep(spark, sf_dir):
-    return _board(spark, sf_dir, "kmeans")
+    return _facts(cluster.sweep("kmeans", *_sensor_split(spark, sf_dir)))
 
 
 @query("gmm_sweep", _sweep_sql("gmm"))
 def q_gmm_sweep(spark, sf_dir):
-    return _board(spark, sf_dir, "gmm")
+    return _facts(cluster.sweep("gmm", *_sensor_split(spark, sf_dir)))
 
 
 @query("k_scoreboard", _sweep_sql("kmeans", "gmm"))
 def q_k_scoreboard(spark, sf_dir):
-    """Both clustering sweeps on one board, one row per (model, k)."""
-    return _board(spark, sf_dir, "kmeans", "gmm").orderBy("model", "k")
+    """Both clustering sweeps on one board, one row per (model, k): each writes its run, the latest of each are read."""
+    path, halves = fresh_folder(spark, "k-scores"), _sensor_split(spark, sf_dir)
+    for model in ("kmeans", "gmm"):
+        cluster.sweep(model, *halves, path=path)
+    return _facts(scores.read_latest_scores(spark, path)).orderBy("model", "k")
 
 
 _MODEL_AUC = with_ctes(SENSOR, _LABEL_IDX, f"test AS (SELECT * FROM sensor WHERE NOT {_TRAIN})", body="""
@@ -354,8 +361,11 @@ def q_logreg_roc_auc(spark, sf_dir):
 @query("rf_roc_points", with_ctes(SENSOR, _LABEL_IDX, body="""SELECT idx AS class, CAST(0 AS DOUBLE) AS fpr_first,
 CAST(1 AS DOUBLE) AS fpr_last, CAST(0 AS DOUBLE) AS tpr_first, CAST(1 AS DOUBLE) AS tpr_last, true AS rises FROM lidx"""))
 def q_rf_roc_points(spark, sf_dir):
-    """Per class, the ROC curve of the forest's test scores: from (0, 0) to (1, 1), rising with the threshold's fall."""
-    points = metrics.roc_points(cut_lineage(_model_scores(spark, sf_dir, classify.forest_grid())))
+    """Per class, the ROC curve of the forest's test scores, written and read back: from (0, 0) to (1, 1), rising with
+    the threshold's fall."""
+    path = fresh_folder(spark, "curves")
+    scores.write_curves(metrics.roc_points(cut_lineage(_model_scores(spark, sf_dir, classify.forest_grid()))), path)
+    points = scores.read_curves(spark, path)
     rises = F.coalesce(F.corr("fpr", "tpr"), F.lit(0.0)) >= 0
     return points.groupBy("class").agg(
         F.min("fpr").alias("fpr_first"), F.max("fpr").alias("fpr_last"),

@@ -92,11 +92,14 @@ def materialize(df: DataFrame, name: str = "state") -> DataFrame:
     checkpoint); the returned frame's lineage is just the file scan, so a lost
     executor re-reads files instead of recomputing earlier rounds.
     """
-    spark = df.sparkSession
-    base = ensure_checkpoint_dir(spark).rstrip("/")
-    path = f"{base}/airmesh-tables/{name}-{uuid.uuid4().hex}"
+    path = fresh_folder(df.sparkSession, name)
     df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def fresh_folder(spark: SparkSession, name: str) -> str:
+    """A path under the checkpoint folder that nothing has been written to."""
+    return f"{ensure_checkpoint_dir(spark).rstrip('/')}/airmesh-tables/{name}-{uuid.uuid4().hex}"
 
 
 def bucketed_table(df: DataFrame, key: str, buckets: int, name: str = "state") -> DataFrame:

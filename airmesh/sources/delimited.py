@@ -93,6 +93,34 @@ def read_delimited(spark: SparkSession, path: str, fields: tuple[Field, ...], wi
     return bind_fields(raw, fields, sentinel)
 
 
+def reject_reason(fields: tuple[Field, ...], sentinel: str | None = MISSING_SENTINEL) -> Column:
+    """Why a row of text columns named as ``fields`` can't be taken: the first field that is missing or malformed; else null."""
+    checks = []
+    for f in fields:
+        missing = F.col(f.name).isNull() if sentinel is None else F.col(f.name).isNull() | (F.col(f.name) == sentinel)
+        checks.append(F.when(missing, F.lit(f"missing {f.name}")).when(F.col(f.name).try_cast(f.dtype).isNull(), F.lit(f"malformed {f.name}")))
+    return F.coalesce(*checks)
+
+
+def read_quarantined(spark: SparkSession, path: str, fields: tuple[Field, ...], width: int,
+                     sentinel: str | None = MISSING_SENTINEL) -> tuple[DataFrame, DataFrame]:
+    """Rows of a header-less delimited file that fit ``fields``, typed, and all others as text with their ``reason``.
+
+    Every line is in one of the two: nothing is lost or becomes null unseen.
+    Lines with another number of fields than ``width`` are rejected whole.
+    """
+    schema = text_schema(width).add("_line", T.StringType())
+    raw = spark.read.options(**CSV_OPTIONS, columnNameOfCorruptRecord="_line").schema(schema).csv(path)
+    named = raw.select(*[F.col(f.source_column).alias(f.name) for f in fields], "_line")
+    judged = named.withColumn("reason", F.when(F.col("_line").isNotNull(), F.lit("number of fields")).otherwise(reject_reason(fields, sentinel)))
+    return typed_cast(judged.filter(F.col("reason").isNull()), fields), judged.filter(F.col("reason").isNotNull()).drop("_line")
+
+
+def write_delimited(df: DataFrame, path: str, header: bool = False) -> None:
+    """Write rows the way the readers expect them: quoted by need, quotes doubled, null as an empty field."""
+    df.write.mode("overwrite").options(header=str(header).lower(), quote='"', escape='"', nullValue="").csv(path)
+
+
 def read_airports(spark: SparkSession, path: str, fields: tuple[Field, ...] = AIRPORT_FIELDS) -> DataFrame:
     return read_delimited(spark, path, fields, width=len(AIRPORT_FIELDS))
 
