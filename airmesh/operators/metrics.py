@@ -167,3 +167,19 @@ def _dimension(x: DataFrame) -> int:
     """Feature dimension (read from one row; all rows share it)."""
     row = x.select(F.size("x")).first()
     return int(row[0]) if row else 0
+
+
+def probability_skill(preds: DataFrame, probability: str = "probability", label: str = "label", prediction: str = "prediction") -> DataFrame:
+    """One row: n_rows, log_loss and accuracy of scored rows, and those of always saying the label shares of these rows.
+
+    ``probability`` is an array by class.  A model that learned nothing has no
+    smaller log loss than the shares and is no more accurate than the most
+    frequent label.  One aggregation by label; no row moves.
+    """
+    own = F.greatest(F.element_at(probability, F.col(label).cast("int") + 1), F.lit(1e-15))
+    per = preds.groupBy(label).agg(F.count(F.lit(1)).alias("n"), F.sum(-F.ln(own)).alias("loss"),
+                                   F.sum((F.col(label) == F.col(prediction)).cast("long")).alias("right"))
+    total = F.sum("n")
+    return per.agg(total.alias("n_rows"), (F.sum("loss") / total).alias("log_loss"),
+                   (F.ln(total) - F.sum(F.col("n") * F.ln("n")) / total).alias("prior_log_loss"),
+                   (F.sum("right") / total).alias("accuracy"), (F.max("n") / total).alias("majority"))

@@ -264,6 +264,42 @@ def q_rf_predictions(spark, sf_dir):
     return _prediction_facts(classify.train_and_predict(classify.forest_grid(), train, test))
 
 
+# Exercises that the readings decide: lines by quantity, so that a model which learns can be told from one that doesn't.
+_RULED = """ruled AS (SELECT l_orderkey * 8 + l_linenumber AS id,
+  CASE WHEN l_quantity < 20 THEN 'few' WHEN l_quantity < 35 THEN 'some' ELSE 'many' END AS Workout FROM lineitem),
+held AS (SELECT Workout, count(*) AS n FROM ruled WHERE NOT """ + _TRAIN + """ GROUP BY 1),
+facts AS (SELECT CAST(sum(n) AS BIGINT) AS n_rows, round(ln(sum(n)) - sum(n * ln(n)) / sum(n), 6) AS prior_log_loss,
+  round(max(n) / sum(n), 6) AS majority FROM held)"""
+
+
+def _ruled(spark, sf_dir):
+    number = lambda c: F.col(c).cast("double")
+    quantity = F.col("l_quantity")
+    return standins.table(spark, sf_dir, "lineitem").select(
+        (F.col("l_orderkey") * 8 + F.col("l_linenumber")).alias("id"), F.col("l_linestatus").alias("Position"),
+        F.when(quantity < 20, "few").when(quantity < 35, "some").otherwise("many").alias("Workout"),
+        *[c.alias(n) for n, c in zip(SENSOR_NUMERIC, (number("l_quantity"), number("l_discount"), number("l_tax"), number("l_linenumber"),
+                                                      number("l_discount") * 2, number("l_tax") * 3, number("l_quantity") * number("l_tax")), strict=True)])
+
+
+@query("model_skill", with_ctes(_RULED, body="""SELECT model, n_rows, prior_log_loss, majority, true AS beats_prior, true AS beats_majority
+FROM facts CROSS JOIN (VALUES ('logreg'), ('forest')) AS m(model)"""))
+def q_model_skill(spark, sf_dir):
+    """Both classifiers on separable exercises: a log loss below half the prior's, more accurate than the majority by half of what it misses."""
+    rows = _ruled(spark, sf_dir)
+    train, test = sampling.train_test_split(rows, "id")
+    labels = features.label_index(rows)
+    train, test = (labels.transform(x) for x in (sampling.sample_to_target(train, "id"), test))
+    out = None
+    for candidate in (classify.logistic_grid()[0], classify.forest_grid()[0]):
+        preds = classify.fit(candidate, train).transform(test).withColumn("probability", vector_to_array("probability"))
+        own = metrics.probability_skill(preds).withColumn("model", F.lit(candidate.name))
+        out = own if out is None else out.unionByName(own)
+    return out.select("model", "n_rows", F.round("prior_log_loss", 6).alias("prior_log_loss"), F.round("majority", 6).alias("majority"),
+                      (F.col("log_loss") < 0.5 * F.col("prior_log_loss")).alias("beats_prior"),
+                      (1 - F.col("accuracy") < 0.5 * (1 - F.col("majority"))).alias("beats_majority"))
+
+
 _GRID = classify.logistic_grid() + classify.forest_grid()
 _CANDIDATES = ", ".join(f"('{c.name}', {i}, '{c.describe()}')" for i, c in enumerate(_GRID))
 _ID_FOLD = "(((((id % 2147483647) * 69069 + 1) % 2147483647) * 7919) % 2147483647) % 5"
