@@ -23,6 +23,7 @@ Columns of the input are kept; one that is called shard or slot is replaced.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable, Iterator
 
 import numpy as np
@@ -39,6 +40,8 @@ _ROW = "_scan_row"
 PLACE_BITS = 33
 #: Rows of an output partition of the exchange, about.
 PART_ROWS = 50_000
+#: Standard deviations either way that a drawn count may lie from its mean.
+SPREADS = 40
 
 
 def shard_sizes(rows: int, shards: int) -> np.ndarray:
@@ -58,22 +61,32 @@ def communication_matrix(counts: np.ndarray, shards: int, seed: int) -> np.ndarr
 
 
 def _by_halves(rng: np.random.Generator, left: np.ndarray, n: int) -> np.ndarray:
-    """One draw for totals past numpy's limit: the shards are split in two, again and again.
-
-    Each split's count is normal with the hypergeometric mean and variance (at
-    such totals no test tells them apart), rounded and kept to what is possible:
-    the sums stay exact.
-    """
+    """One draw for totals past numpy's limit: the shards are split in two, again and again."""
     if len(left) == 1:
         return np.array([n], np.int64)
     half = len(left) // 2
-    a, b = int(left[:half].sum()), int(left[half:].sum())
-    share = a / (a + b)
-    spread = np.sqrt(n * share * (1 - share) * (a + b - n) / max(1, a + b - 1))
-    first = int(np.clip(round(rng.normal(n * share, spread)), max(0, n - b), min(n, a)))
+    first = hypergeometric(rng, int(left[:half].sum()), int(left[half:].sum()), n)
     return np.concatenate((_by_halves(rng, left[:half], first), _by_halves(rng, left[half:], n - first)))
 
 
+def hypergeometric(rng: np.random.Generator, good: int, bad: int, n: int) -> int:
+    """How many of ``n`` rows drawn without return are among ``good`` of ``good + bad``, by inversion.
+
+    Neighbouring counts' probabilities have a plain ratio.  The sums of its
+    logarithms over all counts within ``SPREADS`` standard deviations give the
+    law itself; any count further off is too unlikely for a double to tell from 0.
+    """
+    least, most = max(0, n - bad), min(n, good)
+    share = good / max(1, good + bad)
+    around = SPREADS * (math.sqrt(n * share * (1 - share) * (good + bad - n) / max(1, good + bad - 1)) + 1)
+    low, high = max(least, math.floor(n * share - around)), min(most, math.ceil(n * share + around))
+    k = np.arange(low, high, dtype=np.float64)
+    steps = np.log(good - k) + np.log(n - k) - np.log(k + 1) - np.log(bad - n + k + 1)
+    logs = np.concatenate(([0.0], np.cumsum(steps)))
+    sums = np.cumsum(np.exp(logs - logs.max()))
+    return low + min(int(np.searchsorted(sums, rng.random() * sums[-1], side="right")), high - low)
+
+
 def _mix(x: np.ndarray, key: int) -> np.ndarray:
     """Keyed bits of x: the finaliser of a 64-bit mixing generator over x plus a spread key."""
     x = x + np.uint64((key * 0x9E3779B97F4A7C15 + 0x632BE59BD9B4E019) & 0xFFFFFFFFFFFFFFFF)

@@ -1,3 +1,4 @@
+import math
 import re
 from collections import Counter, defaultdict
 
@@ -106,6 +107,22 @@ def test_communication_matrix_sums():
     assert sharding._by_halves(np.random.default_rng(1), left, 700_000_000).sum() == 700_000_000
 
 
+def test_counts_follow_the_hypergeometric_law():
+    rng = np.random.default_rng(5)
+    for good, bad, n in ((3, 4, 5), (10, 1, 6), (1, 30, 2), (0, 5, 3), (4, 0, 2), (50, 70, 40)):
+        all_ways, draws = math.comb(good + bad, n), 4000
+        got = Counter(sharding.hypergeometric(rng, good, bad, n) for _ in range(draws))
+        for k in range(n + 1):
+            p = math.comb(good, k) * math.comb(bad, n - k) / all_ways
+            assert abs(got[k] - draws * p) <= 5 * math.sqrt(draws * p * (1 - p)) + 1e-9
+    # past numpy's limit: few rows of many, and mean and spread of many
+    assert Counter(sharding.hypergeometric(rng, 3 * 10 ** 9, 10 ** 9, 1) for _ in range(4000))[1] == pytest.approx(3000, abs=140)
+    many = np.array([sharding.hypergeometric(rng, 10 ** 10, 3 * 10 ** 10, 10 ** 6) for _ in range(400)])
+    assert abs(many.mean() - 250_000) < 120 and 380 < many.std() < 490
+    left = np.array([10 ** 9] * 40)
+    assert sharding._by_halves(rng, left, 7).sum() == 7
+
+
 def test_every_place_is_as_likely():
     hits = Counter(int(sharding.permuted(np.array([0]), 10, key)[0]) for key in range(2000))
     assert set(hits) == set(range(10)) and max(hits.values()) < 300
