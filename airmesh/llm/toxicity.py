@@ -27,7 +27,7 @@ from __future__ import annotations
 import math
 import string
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from .common import FLUSH_ROWS, RowBuffer, heaviest, id_fold, map_rows, stored, texts_of
+from .common import FLUSH_ROWS, RowBuffer, discard, heaviest, id_fold, map_rows, scratch, stored, texts_of
 
 ORDER = 8
 DISCOUNT = 0.75
@@ -289,6 +289,16 @@ def fit_curve(points: list[tuple[float, int, int]]) -> tuple[float, float]:
     return float(beta[0] / scale), float(beta[1])
 
 
+def _only(make: Callable[[], DataFrame], name: str) -> DataFrame:
+    """What ``make`` returns, written; the tables made on the way are deleted."""
+    with scratch() as made:
+        out = stored(make(), name)
+        for table in made[:-1]:
+            discard(table)
+        del made[:-1]
+    return out
+
+
 def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """(doc_id, held_out, score, predicted) of every row of ``docs``, learned from ``labels`` (doc_id, toxic)."""
     known = (labels.filter(F.col("toxic").isin(0, 1) & F.col("doc_id").isNotNull())
@@ -300,10 +310,12 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
     if train.count() <= BROADCAST_LABELS:
         train = F.broadcast(train)
     texts = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))
-    grams = stored(gram_counts(texts.join(train, "doc_id")), "grams")
-    model = stored(log_ratios(grams), "ratios")
-    words = stored(word_ratios(vocabulary(texts), model), "words")
+    # each table is deleted once the next one is written
+    model = _only(lambda: log_ratios(stored(gram_counts(texts.join(train, "doc_id")), "grams")), "ratios")
+    words = _only(lambda: word_ratios(vocabulary(texts), model), "words")
+    discard(model)
     ratios = stored(text_ratios(texts, words), "text-ratios")
+    discard(words)
     step = 4096.0  # bins of the curve: ratios within -8..8
     points = (ratios.join(known.filter("curve"), "doc_id")
               .groupBy(F.round(F.greatest(F.least(F.col("ratio"), F.lit(8.0)), F.lit(-8.0)) * step).alias("bin"), "toxic")
