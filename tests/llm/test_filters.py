@@ -1,3 +1,5 @@
+import itertools
+import math
 import random
 from collections import Counter
 
@@ -235,20 +237,37 @@ def test_mined_rules_by_counting(spark):
     judged = pages.select("url", urlfilter.host_of(url).alias("host"), urlfilter.path_of(url).alias("path"))
     judged = judged.withColumn("fixed", urlfilter.rule_of(F.col("host"), F.col("path")))
     tokens = urlfilter.tokens_of(url, F.col("host"), F.col("path"))
-    labelled = [(set(r.tokens), r.verdict == "block") for r in judged.filter("fixed is not null").select(
-        tokens.alias("tokens"), "fixed.verdict").collect()]
-    mined = urlfilter.pruned(urlfilter.mine_rules(judged.filter("fixed is not null").select(
-        tokens.alias("tokens"), (F.col("fixed.verdict") == "block").alias("blocked")))).collect()
-    assert mined
-    for rule in mined:
-        fits = [b for t, b in labelled if set(rule.tokens) <= t]
-        assert rule.confidence == pytest.approx(sum(fits) / len(fits)) and rule.confidence >= urlfilter.LEAST_CONFIDENCE
-        assert rule.rarest in rule.tokens
-    got = {r.page_id: r for r in urlfilter.judge_urls(pages).collect()}
-    rules = [set(r.tokens) for r in mined]
-    for r in pages.select("page_id", "url", urlfilter.tokens_of(url, urlfilter.host_of(url), urlfilter.path_of(url)).alias("tokens")).collect():
-        if got[r.page_id].rule is None:
-            assert (got[r.page_id].verdict == "block") == any(x <= set(r.tokens) for x in rules)
+    urls = {r.url: (set(r.tokens), r.verdict) for r in judged.filter("url like '%://%'").select(
+        "url", tokens.alias("tokens"), F.col("fixed.verdict").alias("verdict")).collect()}
+    labelled = [(t, v == "block") for t, v in urls.values() if v]
+    least = max(urlfilter.LEAST_ROWS, math.ceil(urlfilter.LEAST_SUPPORT * len(labelled)))
+    counts = Counter()
+    for t, b in labelled:
+        for n in (1, 2, 3):
+            counts.update((c, b) for c in itertools.combinations(sorted(t), n))
+    sure = {c: (n, n / (n + counts[c, False])) for (c, b), n in counts.items() if b and n >= least}
+    sure = {c: v for c, v in sure.items() if v[1] >= urlfilter.LEAST_CONFIDENCE}
+    found = urlfilter.mine_rules(spark.createDataFrame([(sorted(t), b) for t, b in labelled], "tokens array<string>, blocked boolean"))
+    mined = {tuple(r.tokens): r for r in found.collect()}
+    assert mined and mined.keys() == sure.keys()
+    for c, r in mined.items():
+        assert (r.hits, pytest.approx(r.confidence)) == sure[c] and r.rarest in c
+    rules = [c for c, (_, own) in sure.items()
+             if not any(sure[p][1] >= own for n in range(1, len(c)) for p in itertools.combinations(c, n) if p in sure)]
+    share = sum(b for _, b in labelled) / len(urls)
+    opened = [t for t, v in urls.values() if not v]
+    rules = [set(c) for c in rules if sure[c][0] >= urlfilter.LEAST_LIFT * share * (
+        sure[c][0] / sure[c][1] + sum(set(c) <= t for t in opened)) - 1e-9]
+    for r in urlfilter.judge_urls(pages).join(pages.select("page_id", "url"), "page_id").collect():
+        if r.rule is None and r.url in urls:
+            assert (r.verdict == "block") == any(x <= urls[r.url][0] for x in rules)
+
+
+def test_many_shared_tokens(spark):
+    shared = "/".join(f"part{chr(97 + i % 26)}{i}x" for i in range(30))
+    rows = [(i, f"http://h{i}.net/{shared}/u{i}") for i in range(20)] + [(100 + i, f"http://h{i}.info/plain{i}") for i in range(40)] + [(200, f"http://z.info/{shared}")]
+    got = {r.page_id: r.verdict for r in urlfilter.judge_urls(spark.createDataFrame(rows, "page_id long, url string")).collect()}
+    assert got[200] == "block" and all(got[i] == "block" for i in range(20)) and all(got[100 + i] == "allow" for i in range(40))
 
 
 def test_no_pages(spark):
