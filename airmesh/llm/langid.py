@@ -23,6 +23,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from .common import RowBuffer, id_fold, map_rows, texts_of
 
@@ -146,7 +147,9 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], also: tuple[str
     langs = list(prototypes)
     known = spark.sparkContext.broadcast(np.array([prototypes[x] for x in langs]).reshape(len(langs), DIMENSIONS))
     kept = docs.select("doc_id", "text", *also)
-    out_type = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept.schema if f.name != "text" or "text" in also)
+    # as types, not as text: names of columns and fields may hold anything
+    out_type = StructType([f for f in kept.schema if f.name != "text" or "text" in also]
+                          + [StructField("lang_pred", StringType()), StructField("score", DoubleType())])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         low, pairs, letters, best = _low_slots(), _pair_vectors(), _letter_vectors(), known.value
@@ -167,7 +170,7 @@ def identify(docs: DataFrame, prototypes: dict[str, np.ndarray], also: tuple[str
             out = batch if "text" in also else batch.drop_columns(["text"])
             yield out.append_column("lang_pred", pa.array(langs_out, pa.string())).append_column("score", pa.array(scores, pa.float64()))
 
-    return map_rows(kept, score, f"{out_type}, lang_pred string, score double")
+    return map_rows(kept, score, out_type)
 
 
 def keep_identified(docs: DataFrame) -> DataFrame:
@@ -179,7 +182,7 @@ def keep_identified(docs: DataFrame) -> DataFrame:
     """
     fold = id_fold(F.col("doc_id"))
     prototypes = learn_prototypes(docs.filter(fold != 2).select("text", "lang"))
-    scored = docs.select(F.struct(*docs.columns).alias("document"), "doc_id", "text") if docs.columns else docs
+    scored = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("document"), "doc_id", "text") if docs.columns else docs
     # with nothing learned, one prototype that all texts with a letter have cosine 0 with
     found = identify(scored, prototypes or {"unlearned": np.zeros(DIMENSIONS)}, ("document",))
     return found.filter(F.col("lang_pred") != UNDEFINED).select("document.*")

@@ -30,6 +30,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, LongType, StructField, StructType
 
 from .common import map_rows, stored
 
@@ -114,6 +115,8 @@ def shard_rows(docs: DataFrame, shards: int, seed: int = SEED) -> DataFrame:
     """``docs`` with columns shard (0..shards-1) and slot (0.. within the shard), exchanged to that order."""
     spark = docs.sparkSession
     docs = docs.drop("shard", "slot")
+    # numbered names meanwhile: those of the input may hold dots, or be this operator's own
+    names, docs = docs.columns, docs.toDF(*(f"c{i}" for i in range(len(docs.columns))))
     rows = stored(docs.withColumn(_ROW, F.monotonically_increasing_id()), "shard-rows")
     tallies = rows.select(F.shiftright(_ROW, PLACE_BITS).alias("part")).groupBy("part").count().collect()
     counts = np.zeros(max((r["part"] for r in tallies), default=-1) + 1, np.int64)
@@ -148,9 +151,9 @@ def shard_rows(docs: DataFrame, shards: int, seed: int = SEED) -> DataFrame:
                 own[at], slots[at] = known[0][places[at]], known[1][places[at]]
             yield batch.drop_columns([_ROW]).append_column("shard", pa.array(own)).append_column("slot", pa.array(slots))
 
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    dealt = map_rows(rows, deal, f"{schema}, shard int, slot long" if schema else "shard int, slot long")
+    # as types, not as text: names of fields may hold anything
+    dealt = map_rows(rows, deal, StructType([*docs.schema.fields, StructField("shard", IntegerType()), StructField("slot", LongType())]))
     # the place in the whole shuffled order says which of equal parts a row goes to
     place = F.element_at(F.array(*(F.lit(int(b)) for b in before)), F.col("shard") + 1) + F.col("slot")
     part = F.floor(place * F.lit(parts) / F.lit(max(total, 1))).cast("int")
-    return dealt.repartitionById(parts, part)
+    return dealt.repartitionById(parts, part).toDF(*names, "shard", "slot")

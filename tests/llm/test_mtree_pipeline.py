@@ -140,3 +140,13 @@ def test_columns_named_like_helpers_survive(spark):
     mixed = corpus_pipeline.mixing(spark, df, SF_SMALL)
     assert mixed.columns == df.columns
     assert all((r._scan_row, r.pieces) in {(7, "x"), (8, "y"), (1, "z"), (2, "z")} for r in mixed.collect())
+
+
+def test_names_with_blanks_and_dots_survive(spark):
+    rows = [(1, "some words of a text", "en", "s", 1.5, (7, "x"), "d"), (2, "12 34", None, None, None, None, None), (None, "other words", "en", "t", 0.0, (8, None), "e")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, `my col` double, `a part` struct<`one field`: long, other: string>, `dot.ted` string")
+    df, rows = df.withColumn("_scan_row", F.lit("own")), [(*r, "own") for r in rows]
+    kept = corpus_pipeline.language(spark, df, SF_SMALL)
+    assert kept.columns == df.columns and {tuple(r) for r in kept.collect()} == {rows[0], rows[2]}
+    dealt = corpus_pipeline.sharding(spark, df, SF_SMALL)
+    assert dealt.columns[:len(df.columns)] == df.columns and {tuple(r)[:len(df.columns)] for r in dealt.collect()} == set(rows)
