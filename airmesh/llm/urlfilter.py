@@ -96,15 +96,16 @@ def mine_rules(labelled: DataFrame) -> DataFrame:
     least = max(LEAST_ROWS, math.ceil(LEAST_SUPPORT * total))
     rows = labelled.select("row", "blocked", F.explode("tokens").alias("token"))
     common = rows.groupBy("token").count().filter(F.col("count") >= least).select("token")
-    kept = stored(rows.join(common, "token").groupBy("row").agg(F.max("blocked").alias("blocked"), F.array_sort(F.collect_set("token")).alias("items")), "url-items")
+    # a fixed number of parts: a row becomes hundreds of baskets, which so few small rows must not all become in one task
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    kept = stored(rows.join(common, "token").repartition(parts, "row").groupBy("row").agg(F.max("blocked").alias("blocked"), F.array_sort(F.collect_set("token")).alias("items")), "url-items")
     m = F.size("items").cast("double")
     n_baskets = kept.agg(F.sum(m + m * (m - 1) / 2 + m * (m - 1) * (m - 2) / 6)).first()[0]
     if not n_baskets:
         return spark.createDataFrame([], "tokens array<string>, confidence double, hits long, rarest string")
     item = F.to_json("tokens")
     baskets = combinations(kept).select(F.when(F.col("blocked"), F.array(item, F.lit(_BLOCK))).otherwise(F.array(item)).alias("items"))
-    model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n_baskets, minConfidence=LEAST_CONFIDENCE,
-                     numPartitions=int(spark.conf.get("spark.sql.shuffle.partitions"))).fit(baskets)
+    model = FPGrowth(itemsCol="items", minSupport=(least - 0.5) / n_baskets, minConfidence=LEAST_CONFIDENCE, numPartitions=parts).fit(baskets)
     tokens = lambda c: F.from_json(c, "array<string>")
     mined = (model.associationRules.filter(F.col("consequent")[0] == _BLOCK)
              .select(tokens(F.col("antecedent")[0]).alias("tokens"), "confidence", F.round(F.col("support") * n_baskets).cast("long").alias("hits")))
