@@ -61,13 +61,16 @@ def text_grams(text: str, low: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     total = np.zeros(0, np.int64)
     counts = np.zeros(0, np.int64)
     lower = text.lower()
+    last = np.zeros(1, low.dtype)
     for start in range(0, len(lower), CHUNK):
-        points = np.frombuffer(lower[max(0, start - 2):start + CHUNK].encode("utf-32-le", "replace"), np.uint32)
+        points = np.frombuffer(lower[start:start + CHUNK].encode("utf-32-le", "replace"), np.uint32)
         slots = low[np.minimum(points, len(low) - 1)]
         for i in np.flatnonzero(points >= len(low)):
             slots[i] = _slot(chr(points[i]))
-        slots = np.concatenate(([0], slots, [0])) if len(lower) <= CHUNK else slots
+        # the slots that the pieces before ended with come first, so that a text's n-grams don't depend on the pieces
+        slots = np.concatenate((last, slots, [0] if start + CHUNK >= len(lower) else [])).astype(low.dtype)
         slots = slots[np.concatenate(([True], (slots[1:] != 0) | (slots[:-1] != 0)))]
+        last = slots[-2:]
         if len(slots) < 3:
             continue
         grams = (slots[:-2] * SLOTS + slots[1:-1]) * SLOTS + slots[2:]
