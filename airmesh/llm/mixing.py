@@ -7,9 +7,11 @@ a sequence of output slots in shards of ``SHARD_SLOTS``, each slot one block.
   again; they share all words by weight.  No target exceeds ``MOST_EPOCHS``
   times its source's words; the excess is shared anew by weight.
 * Source counts of the output shards are multinomial draws, conditioned on each
-  source's total: with the totals fixed, shards' counts follow from placing all
-  draws by one keyed permutation of the slots, so every shard is a random draw
-  at the target weights and every source meets its target to within a block.
+  source's total: all draws are dealt to the mix's slots by one keyed permutation
+  and counted per (shard, source) (``shard_counts``).  So every shard is a random
+  draw at the target weights and every source meets its target to within a block.
+  The counts decide what follows: a shard's share of a source are that many draws
+  of it, numbered on from the shards before, and get permuted slots of the shard.
 * A source's k-th draw takes block p(k mod blocks), with p a keyed permutation
   of the source's block numbers, another one for each pass over it.  So no
   block is taken more than ``MOST_EPOCHS`` times, none twice before all once.
@@ -68,9 +70,10 @@ def permuted(index: Column, size: Column, *key: Column) -> Column:
                 right = F.pmod(right + F.pmod(F.xxhash64(left, F.lit(2 * r + 1), *key), b), b)
         return left * b + right
 
-    landed = F.aggregate(F.sequence(F.lit(2), F.lit(MOST_STEPS)), step(index),
+    first = step(index)
+    landed = F.aggregate(F.sequence(F.lit(2), F.lit(MOST_STEPS)), first,
                          lambda x, _: F.when(x < size, x).otherwise(step(x)))
-    return F.when(size <= 1, F.lit(0).cast("long")).otherwise(
+    return F.when(size <= 1, F.lit(0).cast("long")).when(first < size, first).otherwise(
         F.when(landed < size, landed).otherwise(F.raise_error(F.lit("a permutation left its range")).cast("long")))
 
 
@@ -127,28 +130,61 @@ def with_offsets(placed: DataFrame) -> DataFrame:
             .withColumn("first", F.col("offset") + F.col("within")).drop("s", "c", "offset", "within"))
 
 
-def mix_slots(targets: DataFrame, seed: int = SEED) -> DataFrame:
-    """The mix: (source, block, epoch, slot, shard), one row per output slot."""
+def source_draws(targets: DataFrame) -> DataFrame:
+    """(source, blocks, draws, first_draw, all_draws): how many blocks the mix draws of each source."""
     drawn = targets.filter("source_size > 0").select(
         "source", F.ceil(F.col("source_size") / BLOCK_WORDS).cast("long").alias("blocks"),
         F.col("target"), F.col("source_size"))
     drawn = drawn.withColumn("draws", F.least(F.round(F.col("target") * F.col("blocks") / F.col("source_size")).cast("long"), F.col("blocks") * MOST_EPOCHS))
     order = Window.orderBy(F.col("source").isNull(), F.col("source"))
-    drawn = (drawn.withColumn("first_draw", F.sum("draws").over(order) - F.col("draws"))
-             .withColumn("all_draws", F.sum("draws").over(Window.partitionBy())))
+    return drawn.filter("draws > 0").select(
+        "source", "blocks", "draws", (F.sum("draws").over(order) - F.col("draws")).alias("first_draw"),
+        F.sum("draws").over(Window.partitionBy()).alias("all_draws"))
+
+
+def shard_counts(draws: DataFrame, seed: int = SEED) -> DataFrame:
+    """(source, blocks, shard, count, first, place, slots): each output shard's draws of each source.
+
+    first: the source's draws in the shards before; place: the shard's draws of
+    the sources before; slots: all of the shard's.
+    """
     # draws are made in runs, so that a hot source's are spread before they are many
-    runs = drawn.filter("draws > 0").withColumn(
-        "run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("draws") - 1) / SHARD_SLOTS).cast("long"))))
+    runs = draws.withColumn("run", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("draws") - 1) / SHARD_SLOTS).cast("long"))))
     # few small rows that become many: a fixed number of partitions keeps AQE from making one of them
-    runs = runs.repartition(int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions")), "source", "run")
+    runs = runs.repartition(int(draws.sparkSession.conf.get("spark.sql.shuffle.partitions")), "source", "run")
     each = runs.withColumn("draw", F.explode(F.sequence(
         F.col("run") * SHARD_SLOTS, F.least(F.col("run") * SHARD_SLOTS + SHARD_SLOTS, F.col("draws")) - 1)))
-    epoch = F.floor(F.col("draw") / F.col("blocks")).cast("int")
-    each = each.withColumn("epoch", epoch).withColumn("source_key", F.xxhash64(F.coalesce("source", F.lit("\x00"))))
-    block = permuted(F.col("draw") % F.col("blocks"), F.col("blocks"), F.lit(seed), F.col("source_key"), F.col("epoch"))
     slot = permuted(F.col("first_draw") + F.col("draw"), F.col("all_draws"), F.lit(seed + 1))
-    return each.select("source", block.alias("block"), "epoch", slot.alias("slot")).withColumn(
-        "shard", F.floor(F.col("slot") / SHARD_SLOTS).cast("long"))
+    counts = stored(each.select("source", "blocks", F.floor(slot / SHARD_SLOTS).cast("long").alias("shard"))
+                    .groupBy("source", "blocks", "shard").agg(F.count(F.lit(1)).alias("count"))
+                    .withColumn("stretch", F.floor(F.col("shard") / SHARD_SLOTS).cast("long")), "mix-counts")
+    # two levels: shards are summed in stretches, so that no window holds a hot source's every shard
+    before = lambda w: w.rowsBetween(Window.unboundedPreceding, -1)
+    stretches = counts.groupBy("source", "stretch").agg(F.sum("count").alias("held")).select(
+        F.col("source").alias("s"), F.col("stretch").alias("t"),
+        F.coalesce(F.sum("held").over(before(Window.partitionBy("source").orderBy("stretch"))), F.lit(0)).alias("offset"))
+    within = F.coalesce(F.sum("count").over(before(Window.partitionBy("source", "stretch").orderBy("shard"))), F.lit(0))
+    own = Window.partitionBy("shard")
+    return (counts.withColumn("within", within)
+            .join(stretches, F.col("source").eqNullSafe(F.col("s")) & (F.col("stretch") == F.col("t")))
+            .withColumn("first", F.col("offset") + F.col("within"))
+            .withColumn("place", F.coalesce(F.sum("count").over(before(own.orderBy(F.col("source").isNull(), F.col("source")))), F.lit(0)))
+            .withColumn("slots", F.sum("count").over(own))
+            .select("source", "blocks", "shard", "count", "first", "place", "slots"))
+
+
+def mix_slots(targets: DataFrame, seed: int = SEED) -> DataFrame:
+    """The mix: (source, block, epoch, slot, shard), one row per output slot, made from the shards' source counts."""
+    counts = shard_counts(source_draws(targets), seed)
+    # a row is at most a shard's slots; a fixed number of partitions again
+    counts = counts.repartition(int(targets.sparkSession.conf.get("spark.sql.shuffle.partitions")), "source", "shard")
+    each = counts.withColumn("k", F.explode(F.sequence(F.lit(0).cast("long"), F.col("count") - 1)))
+    draw = F.col("first") + F.col("k")
+    each = each.withColumn("draw", draw).withColumn("epoch", F.floor(draw / F.col("blocks")).cast("int")).withColumn(
+        "source_key", F.xxhash64(F.coalesce("source", F.lit("\x00"))))
+    block = permuted(F.col("draw") % F.col("blocks"), F.col("blocks"), F.lit(seed), F.col("source_key"), F.col("epoch"))
+    slot = F.col("shard") * SHARD_SLOTS + permuted(F.col("place") + F.col("k"), F.col("slots"), F.lit(seed + 2), F.col("shard"))
+    return each.select("source", block.alias("block"), "epoch", slot.alias("slot"), "shard")
 
 
 def block_pieces(placed: DataFrame) -> DataFrame:
@@ -171,17 +207,23 @@ def taken_pieces(placed: DataFrame, targets: DataFrame) -> DataFrame:
 
 
 def mix_documents(docs: DataFrame) -> DataFrame:
-    """(doc_id, size, source_size, target, taken) of every row of ``docs`` (doc_id, text, source)."""
+    """(doc_id, size, source_size, target, taken, first_slot, last_shard) of every row of ``docs`` (doc_id, text, source).
+
+    first_slot and last_shard: the first slot of the mix and the last output
+    shard that hold words of the row; null if none does.
+    """
     placed = placed_documents(docs)
     targets = stored(source_targets(placed), "mix-targets")
     own = ("chunk", "source", "place")
-    taken = taken_pieces(with_offsets(placed), targets).groupBy(*own).agg(F.sum("words").alias("took"))
-    taken = taken.select(*(F.col(c).alias(f"t_{c}") for c in own), "took")
+    taken = taken_pieces(with_offsets(placed), targets).groupBy(*own).agg(
+        F.sum("words").alias("took"), F.min("slot").alias("first_slot"), F.max("shard").alias("last_shard"))
+    taken = taken.select(*(F.col(c).alias(f"t_{c}") for c in own), "took", "first_slot", "last_shard")
     rows = placed.join(taken.hint("merge"), F.col("source").eqNullSafe(F.col("t_source")) & (F.col("chunk") == F.col("t_chunk"))
                        & (F.col("place") == F.col("t_place")), "left")
     known = targets.withColumnRenamed("source", "g")
     return (rows.join(F.broadcast(known) if known.count() <= BROADCAST_SOURCES else known, F.col("source").eqNullSafe(F.col("g")))
-            .select("doc_id", "size", "source_size", "target", F.coalesce("took", F.lit(0)).cast("long").alias("taken")))
+            .select("doc_id", "size", "source_size", "target", F.coalesce("took", F.lit(0)).cast("long").alias("taken"),
+                    "first_slot", "last_shard"))
 
 
 def mixed_texts(docs: DataFrame) -> DataFrame:

@@ -58,6 +58,41 @@ def test_mix_is_the_same_again(docs):
     assert rows() == rows()
 
 
+def test_shard_counts_decide_the_mix(spark, docs, monkeypatch):
+    """Counts add up to the draws, slots follow the counts, and takings equal a mix made by hand from the slots."""
+    monkeypatch.setattr(mixing, "SHARD_SLOTS", 64)
+    placed = mixing.placed_documents(docs)
+    targets = mixing.source_targets(placed)
+    draws = {r.source: r for r in mixing.source_draws(targets).collect()}
+    counts = mixing.shard_counts(mixing.source_draws(targets)).collect()
+    slots = mixing.mix_slots(targets).collect()
+    total = sum(d.draws for d in draws.values())
+    assert Counter({s: d.draws for s, d in draws.items()}) == sum((Counter({c.source: c["count"]}) for c in counts), Counter())
+    assert Counter((c.source, c.shard) for c in counts for _ in range(c["count"])) == Counter((s.source, s.shard) for s in slots)
+    assert sorted(s.slot for s in slots) == list(range(total)) and all(s.slot // 64 == s.shard for s in slots)
+    for source, d in draws.items():  # every block once before any twice
+        taken = Counter(s.block for s in slots if s.source == source)
+        assert len(taken) == min(d.blocks, d.draws) and max(taken.values()) == -(-d.draws // d.blocks)
+    # counts scatter as draws without replacement do: chi-square over the shards that are full
+    full = total // 64
+    expected = {s: 64 * d.draws / total for s, d in draws.items()}
+    held = {(c.source, c.shard): c["count"] for c in counts}
+    chi = sum((held.get((s, j), 0) - e) ** 2 / e for s, e in expected.items() for j in range(full))
+    free = (len(expected) - 1) * (full - 1)
+    assert abs(chi - free) < 5 * math.sqrt(2 * free)
+    # by hand: sources as word streams, cut into blocks, slot by slot
+    took, first_slot = Counter(), {}
+    rows = mixing.with_offsets(placed).collect()
+    owner = {(r.source, r.first + i): (r.doc_id, r.source) for r in rows for i in range(r.size)}
+    for s in slots:
+        for w in range(s.block * mixing.BLOCK_WORDS, (s.block + 1) * mixing.BLOCK_WORDS):
+            if doc := owner.get((s.source, w)):
+                took[doc[0]] += 1
+                first_slot[doc[0]] = min(first_slot.get(doc[0], s.slot), s.slot)
+    for g in mixing.mix_documents(docs).collect():
+        assert (g.taken, g.first_slot) == (took[g.doc_id], first_slot.get(g.doc_id))
+
+
 def test_small_sources_are_capped(spark):
     rows = [(i, "w " * 500, "a") for i in range(50)] + [(100, "x y z", "b"), (101, "only", "c"), (102, None, "c"), (103, "", None)]
     got = mixing.mix_documents(spark.createDataFrame(rows, "doc_id long, text string, source string")).collect()
