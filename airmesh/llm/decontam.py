@@ -1,8 +1,10 @@
 """Benchmark decontamination: documents that hold a benchmark item, up to a few edits.
 
-Texts and items are sequences of lower-case words without marks.  A document
+Texts and items are sequences of lower-case words without marks; in scripts that
+write no blanks between words (``_UNSPACED``) each letter is a word.  A document
 holds an item of L words if some stretch of it is within ``MOST_EDITS`` * L word
-edits (insert, delete, replace) of the item.
+edits (insert, delete, replace) of the item: items of up to six words match
+exactly, those of one word wherever the word stands.
 
 Method, over every item-sized window of every whole text, where the text lies:
 
@@ -23,14 +25,18 @@ Method, over every item-sized window of every whole text, where the text lies:
 The benchmark is the query set: it is read in blocks of ``BLOCK_ITEMS`` items,
 one pass over the documents each; documents are never shuffled.
 
-Defined results: null and empty texts and items, and items of fewer than
-``LEAST_WORDS`` words, match nothing; repeated items each match; repeated
+A text's windows are read ``WINDOW_CELLS`` numbers at a time, so memory doesn't
+grow with windows times their length.
+
+Defined results: null and empty texts and items, and those of marks alone, match
+nothing; repeated items each match; repeated
 documents each give their rows; a null doc_id is carried as it is; other
 columns stay out of it; empty tables give an empty result.
 """
 
 from __future__ import annotations
 
+import re
 import string
 import uuid
 from collections import defaultdict
@@ -45,14 +51,17 @@ from pyspark.sql import functions as F
 from .common import RowBuffer, map_rows, texts_of
 
 MOST_EDITS = 0.15
-LEAST_WORDS = 5
 WALKS = 8
 SAMPLES = 6
 BITS = 4
 BLOCK_ITEMS = 20_000
 CACHE_WORDS = 1_000_000
+#: Numbers in the walks of the windows that are handled together.
+WINDOW_CELLS = 4_000_000
 SEED = 7
-_MARKS = string.punctuation
+_MARKS = string.punctuation + "。、，．！？：；「」『』（）《》"
+#: Letters of scripts without blanks: Thai, Lao, Myanmar, Khmer, kana, Han.
+_UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3400-\u4dbf\u4e00-\u9fff\uf900-\ufaff\U00020000-\U0003ffff]")
 
 
 class _Codes(dict):
@@ -81,8 +90,16 @@ def _codes(index: ItemIndex) -> _Codes:
     return _KEPT[index.key]
 
 
+def raw_words(text: str | None) -> list[str]:
+    """Words with their marks."""
+    text = (text or "").lower()
+    if not text.isascii() and _UNSPACED.search(text):
+        text = _UNSPACED.sub(r" \g<0> ", text)
+    return text.split()
+
+
 def words_of(text: str | None) -> list[str]:
-    return [w for raw in (text or "").lower().split() if (w := raw.strip(_MARKS))]
+    return [w for raw in raw_words(text) if (w := raw.strip(_MARKS))]
 
 
 def edits_allowed(length: int) -> int:
@@ -140,11 +157,16 @@ class ItemIndex:
         self.items: list[tuple[int, np.ndarray]] = []
         for item_id, text in items:
             words = words_of(text)
-            if len(words) >= LEAST_WORDS:
+            if words:
                 self.items.append((item_id, np.array([self.codes.setdefault(w, len(self.codes) + 1) for w in words], np.int64)))
         by_length = defaultdict(list)
+        self.single: dict[int, list[int]] = defaultdict(list)
         for n, (_, words) in enumerate(self.items):
-            by_length[len(words)].append(n)
+            if len(words) == 1:
+                self.single[int(words[0])].append(n)
+            else:
+                by_length[len(words)].append(n)
+        self.single_codes = np.array(sorted(self.single), np.int64)
         self.lengths = np.array(sorted(by_length), np.int64)
         self.least = np.array([max(1, n - 1 - 2 * edits_allowed(n)) for n in sorted(by_length)], np.int64)
         # of each benchmark word pair, the lengths of the items that hold it, as bits (of the length modulo 64)
@@ -165,43 +187,59 @@ class ItemIndex:
 
     def matches(self, codes: np.ndarray) -> dict[int, tuple[int, int]]:
         """Item number to (edits, first word) of its best match in a text's codes."""
-        if len(codes) < LEAST_WORDS - 1 or not len(self.pairs):
-            return {}
+        found = self._words_held(codes)
+        if len(codes) < 2 or not len(self.pairs):
+            return found
         pairs = codes[:-1] << 32 | codes[1:]
         known = np.flatnonzero((codes[:-1] > 0) & (codes[1:] > 0))
         which = np.minimum(np.searchsorted(self.pairs, pairs[known]), len(self.pairs) - 1)
         hit = self.pairs[which] == pairs[known]
         known, which = known[hit], which[hit]
         if len(known) < self.least.min():
-            return {}
-        held = (self.pair_lengths[which][:, None] >> (self.lengths % 64).astype(np.uint64)[None]) & np.uint64(1)
-        found: dict[int, tuple[int, int]] = {}
+            return found
+        bits, shifts = self.pair_lengths[which], (self.lengths % 64).astype(np.uint64)
+        step = max(1, WINDOW_CELLS // len(shifts))
+        held = sum(((bits[at:at + step, None] >> shifts[None]) & np.uint64(1)).sum(0) for at in range(0, len(bits), step))
         tried: set[tuple[int, int]] = set()
-        for k in np.flatnonzero(held.sum(0) >= self.least).tolist():
+        for k in np.flatnonzero(held >= self.least).tolist():
             length, least = int(self.lengths[k]), int(self.least[k])
-            edits, tables = edits_allowed(length), self.tables[length]
-            own = known[held[:, k] == 1]
+            edits = edits_allowed(length)
+            own = known[(bits >> shifts[k]) & np.uint64(1) == 1]
             # a text shorter than the item is one window, filled up with words of no item
             starts = np.arange(max(1, len(codes) - length + edits + 1))
             starts = starts[np.searchsorted(own, starts + length + edits - 1) - np.searchsorted(own, starts) >= least]
-            if not len(starts):
-                continue
-            at = starts[:, None] + np.arange(length)[None]
-            windows = np.where(at < len(codes), codes[np.minimum(at, len(codes) - 1)], 0)
-            # a text that repeats itself has few different windows
-            windows, first_of = np.unique(windows, axis=0, return_index=True)
-            starts = starts[first_of]
-            for table, keys in zip(tables, table_keys(windows, self.places[length]), strict=True):
-                for start, key in zip(starts.tolist(), keys, strict=True):
-                    for n in table.get(key, ()):
-                        if (n, start) not in tried:
-                            tried.add((n, start))
-                            first = max(0, start - edits)
-                            distance, end = edit_distance_within(self.items[n][1], codes[first:start + length + edits])
-                            if distance <= edits and (n not in found or distance < found[n][0]):
-                                found[n] = distance, max(first, first + end - length)
+            step = max(1, WINDOW_CELLS // (WALKS * 2 * length))
+            for at in range(0, len(starts), step):
+                self._read_windows(codes, starts[at:at + step], length, edits, tried, found)
         return found
 
+    def _words_held(self, codes: np.ndarray) -> dict[int, tuple[int, int]]:
+        """Items of one word in a text's codes."""
+        found: dict[int, tuple[int, int]] = {}
+        if len(self.single_codes):
+            places = np.flatnonzero(np.isin(codes, self.single_codes))
+            for code, first in zip(*np.unique(codes[places], return_index=True), strict=True):
+                found |= dict.fromkeys(self.single[int(code)], (0, int(places[first])))
+        return found
+
+    def _read_windows(self, codes: np.ndarray, starts: np.ndarray, length: int, edits: int,
+                      tried: set[tuple[int, int]], found: dict[int, tuple[int, int]]) -> None:
+        """Add the matches of items of ``length`` words at the windows from ``starts`` to ``found``."""
+        at = starts[:, None] + np.arange(length)[None]
+        windows = np.where(at < len(codes), codes[np.minimum(at, len(codes) - 1)], 0)
+        # a text that repeats itself has few different windows
+        windows, first_of = np.unique(windows, axis=0, return_index=True)
+        starts = starts[first_of]
+        for table, keys in zip(self.tables[length], table_keys(windows, self.places[length]), strict=True):
+            for start, key in zip(starts.tolist(), keys, strict=True):
+                for n in table.get(key, ()):
+                    if (n, start) not in tried:
+                        tried.add((n, start))
+                        first = max(0, start - edits)
+                        distance, end = edit_distance_within(self.items[n][1], codes[first:start + length + edits])
+                        if distance <= edits and (n not in found or distance < found[n][0]):
+                            found[n] = distance, max(first, first + end - length)
+
 
 def _block_matches(docs: DataFrame, items: list[tuple[int, str]]) -> DataFrame:
     index = docs.sparkSession.sparkContext.broadcast(ItemIndex(items))
@@ -211,7 +249,7 @@ def _block_matches(docs: DataFrame, items: list[tuple[int, str]]) -> DataFrame:
         own = index.value
         codes, out = _codes(own), RowBuffer(schema)
         for doc_id, text in texts_of(batches, "doc_id", "text"):
-            raw = (text or "").lower().split()
+            raw = raw_words(text)
             got = np.fromiter(map(codes.__getitem__, raw), np.int64, len(raw))
             for n, (edits, first) in sorted(own.matches(got if got.size and got.min() >= 0 else got[got >= 0]).items()):
                 out.add(doc_id, own.items[n][0], edits, len(own.items[n][1]), first)
@@ -249,7 +287,7 @@ def _block_clean(docs: DataFrame, items: list[tuple[int, str]]) -> DataFrame:
         for batch in batches:
             clean = []
             for (text,) in texts_of([batch], "text"):
-                raw = (text or "").lower().split()
+                raw = raw_words(text)
                 got = np.fromiter(map(codes.__getitem__, raw), np.int64, len(raw))
                 clean.append(not own.matches(got if got.size and got.min() >= 0 else got[got >= 0]))
             yield batch.filter(pa.array(clean, pa.bool_()))

@@ -56,7 +56,7 @@ def test_leaks_are_found_and_verified(leaks):
     docs, benchmark, planted = leaks
     items = {r.item_id: decontam.words_of(r.text) for r in benchmark.collect()}
     exact = {(r.doc_id, i) for r in docs.collect() for i, item in items.items()
-             if len(item) >= decontam.LEAST_WORDS and holds(item, decontam.words_of(r.text), decontam.edits_allowed(len(item)))}
+             if item and holds(item, decontam.words_of(r.text), decontam.edits_allowed(len(item)))}
     found = {(r.doc_id, r.item_id) for r in decontam.find_leaks(docs, benchmark).collect()}
     assert planted <= exact and found <= exact
     assert len(found) >= 0.98 * len(exact)
@@ -73,6 +73,31 @@ def test_blocks_of_items_find_as_much(leaks, monkeypatch):
     assert len(parts & whole) >= 0.9 * len(parts | whole)
 
 
+def test_short_and_unspaced_items_are_found(spark):
+    # fixed values: invented items in two scripts, one word, two words
+    long_item = "测试数据集中的问题是关于山和水的故事"
+    benchmark = spark.createDataFrame([(1, long_item), (2, "山水"), (3, "Zyxwv!"), (4, "red Fox"), (5, "?!"), (6, ""), (7, None)], "item_id long, text string")
+    docs = spark.createDataFrame([
+        (1, "前言" + long_item + "。后记"), (2, "前" + long_item[:9] + "新" + long_item[10:]), (3, "山、水"),
+        (4, "he said: zyxwv, twice: zyxwv"), (5, "a red, fox"), (6, "red and fox, zyxwvu"), (7, long_item[:8]), (8, ""), (9, None), (10, "fox")],
+        "doc_id long, text string")
+    found = {(r.doc_id, r.item_id): (r.edits, r.first_word) for r in decontam.find_leaks(docs, benchmark).collect()}
+    assert found == {(1, 1): (0, 2), (2, 1): (1, 1), (4, 3): (0, 2), (5, 4): (0, 1)} | {(3, 2): (0, 0)}
+    assert {r.doc_id for r in decontam.without_leaks(docs, benchmark).collect()} == {6, 7, 8, 9, 10}
+
+
+def test_windows_in_blocks_find_the_same(monkeypatch):
+    rnd = random.Random(8)
+    items = [(n, " ".join(rnd.choice("abcdefghij") for _ in range(rnd.randrange(1, 40)))) for n in range(40)]
+    text = decontam.words_of(" ".join(" ".join((x, "new")) for _, x in rnd.sample(items, 30)))
+    index = decontam.ItemIndex(items)
+    codes = np.array([index.codes.get(w, 0) for w in text], np.int64)
+    whole = index.matches(codes)
+    monkeypatch.setattr(decontam, "WINDOW_CELLS", 200)
+    parts = index.matches(codes)
+    assert {n: m[0] for n, m in parts.items()} == {n: m[0] for n, m in whole.items()} and len(whole) >= 30
+
+
 def test_clean_documents_stay(leaks, odd, empty):
     docs, benchmark, _ = leaks
     hit = {r.doc_id for r in decontam.find_leaks(docs, benchmark).collect()}
