@@ -234,6 +234,21 @@ def test_large_state_path_bucketed_tables(spark, monkeypatch):
         assert lab == _brute_lpa(ids, edges, steps)
 
 
+@pytest.mark.parametrize("state", ["broadcast", "bucketed"])
+def test_label_rounds_vote_on_fewer_edges(spark, monkeypatch, state):
+    """Cliques settle at once, a chain later, a pair never: votes fall, labels are those of whole rounds."""
+    cliques = [(10 * c + i, 10 * c + j) for c in range(12) for i in range(5) for j in range(i)]
+    edges = [*cliques, *((500 + i, 501 + i) for i in range(6)), (4, 14), (900, 901)]
+    ids = sorted({x for p in edges for x in p})
+    if state == "bucketed":  # the whole state is over the threshold, its changed part is not
+        monkeypatch.setattr(communities, "fits_broadcast", lambda spark, n, *a: n < len(ids))
+    for steps in (3, 6, 9):
+        rows = []
+        got = {r.id: r.label for r in communities.label_propagation(_graph(spark, edges), steps, rows).collect()}
+        assert got == _brute_lpa(ids, edges, steps)
+    assert rows[0] == 2 * len(edges) and all(a >= b for a, b in zip(rows, rows[1:])) and rows[-1] < rows[0] / 4
+
+
 def test_broadcast_threshold_check(spark):
 
     assert skew._size_in_bytes("10MB") == 10 << 20 and skew._size_in_bytes("10485760b") == 10 << 20
