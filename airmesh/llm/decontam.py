@@ -108,14 +108,14 @@ def edits_allowed(length: int) -> int:
 
 def edit_distance_within(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     """Least edits between the item and any stretch of the text, and where that stretch ends."""
-    item, text = item.tolist(), text.tolist()
-    row = [0] * (len(text) + 1)
-    for i, word in enumerate(item, 1):
-        before, row[0] = row[0], i
-        for j, other in enumerate(text, 1):
-            before, row[j] = row[j], before if word == other and word else 1 + min(before, row[j], row[j - 1])
+    places = np.arange(len(text) + 1)
+    row = np.zeros(len(text) + 1, np.int64)
+    for i, word in enumerate(item.tolist(), 1):
+        new = np.minimum(row[:-1] + (text != word), row[1:] + 1)
+        # inserts: each place may come from any before it, a step each
+        row = np.minimum.accumulate(np.concatenate(([i], new)) - places) + places
     end = int(np.argmin(row))
-    return row[end], end
+    return int(row[end]), end
 
 
 def walks(windows: np.ndarray) -> np.ndarray:
@@ -145,7 +145,7 @@ def table_keys(windows: np.ndarray, places: np.ndarray) -> Iterator[list[bytes]]
     """For each of the tables, the windows' keys."""
     for out, sets in zip(walks(windows), places, strict=True):
         for own in sets:
-            yield [r.tobytes() for r in np.ascontiguousarray(out[:, own])]
+            yield np.ascontiguousarray(out[:, own]).view(f"V{len(own) * out.itemsize}").ravel().tolist()
 
 
 class ItemIndex:
@@ -208,7 +208,7 @@ class ItemIndex:
             # a text shorter than the item is one window, filled up with words of no item
             starts = np.arange(max(1, len(codes) - length + edits + 1))
             starts = starts[np.searchsorted(own, starts + length + edits - 1) - np.searchsorted(own, starts) >= least]
-            step = max(1, WINDOW_CELLS // (WALKS * 2 * length))
+            step = max(1, WINDOW_CELLS // length)
             for at in range(0, len(starts), step):
                 self._read_windows(codes, starts[at:at + step], length, edits, tried, found)
         return found
@@ -229,11 +229,18 @@ class ItemIndex:
         windows = np.where(at < len(codes), codes[np.minimum(at, len(codes) - 1)], 0)
         # a text that repeats itself has few different windows
         windows, first_of = np.unique(windows, axis=0, return_index=True)
-        starts = starts[first_of]
+        starts, step = starts[first_of], max(1, WINDOW_CELLS // (WALKS * 2 * length))
+        for at in range(0, len(starts), step):
+            self._look_up(codes, windows[at:at + step], starts[at:at + step], edits, tried, found)
+
+    def _look_up(self, codes: np.ndarray, windows: np.ndarray, starts: np.ndarray, edits: int,
+                 tried: set[tuple[int, int]], found: dict[int, tuple[int, int]]) -> None:
+        length = windows.shape[1]
         for table, keys in zip(self.tables[length], table_keys(windows, self.places[length]), strict=True):
             for start, key in zip(starts.tolist(), keys, strict=True):
                 for n in table.get(key, ()):
-                    if (n, start) not in tried:
+                    # a stretch without an edit can't be bettered
+                    if (n, start) not in tried and found.get(n, (1, 0))[0]:
                         tried.add((n, start))
                         first = max(0, start - edits)
                         distance, end = edit_distance_within(self.items[n][1], codes[first:start + length + edits])
