@@ -99,9 +99,9 @@ _WE = f"""we AS (
 w AS (SELECT * FROM we WHERE NOT isnan(km) AND km > 0)"""
 
 
-def _paths_sql(requested: bool = False, max_hops: int = MAX_HOPS) -> str:
+def _paths_sql(requested: bool = False) -> str:
     parts = []
-    for hops in range(1, max_hops + 1):
+    for hops in range(1, MAX_HOPS + 1):
         frm = "w e1" + "".join(f" JOIN w e{i} ON e{i-1}.dst = e{i}.src" for i in range(2, hops + 1))
         nodes = ["e1.src"] + [f"e{i}.dst" for i in range(1, hops + 1)]
         conds = [f"e1.src IN (SELECT id FROM airport WHERE country = '{COUNTRY_A}')",
@@ -166,12 +166,17 @@ def q_longest_path(spark, sf_dir):
     return _reported(paths.longest_paths(*_search(spark, sf_dir), MAX_HOPS))
 
 
-_LABEL_HOPS = 2
-# route pairs as edges of length 1: paths lead over ghosts, airports without a row
-_UNIT = "w AS (SELECT DISTINCT src_id AS src, dest_id AS dst, 1.0 AS km FROM route WHERE src_id <> dest_id)"
+# every route pair, over ghosts too: lengths between all parts' coordinates, ``UNKNOWN_KM`` where there is none
+_PLACE = ALL_AIRPORTS.replace("airport AS", "place AS", 1)
+_ALL_PAIRS = f"""pkm AS (
+  SELECT p.src, p.dst, {haversine('s.latitude', 's.longitude', 'd.latitude', 'd.longitude')} AS km
+  FROM (SELECT DISTINCT src_id AS src, dest_id AS dst FROM route WHERE src_id <> dest_id) p
+  LEFT JOIN place s ON p.src = s.id LEFT JOIN place d ON p.dst = d.id),
+w AS (SELECT src, dst, CASE WHEN NOT isnan(km) AND km > 0 THEN km ELSE CAST('{graph.UNKNOWN_KM!r}' AS DOUBLE) END AS km
+      FROM pkm)"""
 
 
-@query("path_labels", with_ctes(AIRPORT, ROUTE, _UNIT, f"bp AS (\n{_paths_sql(max_hops=_LABEL_HOPS)})", """best AS (
+@query("path_labels", with_ctes(AIRPORT, _PLACE, ROUTE, _ALL_PAIRS, _P, """best AS (
   SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY origin, target ORDER BY km, path) AS rn FROM bp) t
   WHERE rn = 1),
 ex AS (SELECT origin, target, unnest(ids) AS vid, generate_subscripts(ids, 1) AS pos FROM best)""",
@@ -179,9 +184,10 @@ ex AS (SELECT origin, target, unnest(ids) AS vid, generate_subscripts(ids, 1) AS
        string_agg(CAST(ex.vid AS VARCHAR) || ':' || coalesce(a.name, '???'), ' -> ' ORDER BY ex.pos) AS labels
 FROM ex LEFT JOIN airport a ON a.id = ex.vid GROUP BY ex.origin, ex.target"""))
 def q_path_labels(spark, sf_dir):
-    """Paths of fewest hops over all route pairs; ghosts on the way are labelled ``???``."""
+    """Shortest paths over all route pairs; ghosts on the way are labelled ``???``."""
     airports = standins.airports(spark, sf_dir)
-    edges = cut_lineage(graph.route_edges(standins.routes(spark, sf_dir))).withColumn("km", F.lit(1.0))
+    edges = cut_lineage(graph.weighted_edges(standins.routes(spark, sf_dir), standins.all_airports(spark, sf_dir),
+                                             keep=(), distinct=True, unknown_km=graph.UNKNOWN_KM))
     ends = (airports.filter(F.col("country") == c).select("id") for c in (COUNTRY_A, COUNTRY_B))
-    best = paths.shortest_paths(edges, *ends, _LABEL_HOPS)
+    best = paths.shortest_paths(edges, *ends, MAX_HOPS)
     return paths.label_paths(best, airports).select("origin", "target", "labels")

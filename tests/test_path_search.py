@@ -2,6 +2,7 @@
 
 import random
 
+import duckdb
 import pytest
 from pyspark.sql import functions as F
 
@@ -115,3 +116,19 @@ def test_edges_toward_bound_what_is_left(spark):
 def test_labels_name_ghosts(spark):
     rows = entry.queries()["path_labels"](spark, SF_SMALL).collect()
     assert any(":???" in r.labels for r in rows) and all(r.labels.count(":") >= 2 for r in rows)
+
+
+def test_labels_follow_the_shortest_way_of_three_hops(spark, tmp_dir):
+    """A near way of three hops over a ghost beats a far one of two; a stop without any row is passed too."""
+    parts = [(1, "a", "Brand#11"), (2, "b", "Brand#12"), (3, "ghost", "x"), (5, "e", "x"), (22, "far", "x"), (4, "d", "Brand#12")]
+    legs = [(1, 3), (3, 5), (5, 2), (1, 22), (22, 2), (1, 999), (999, 4), (1, 1)]
+    lines = [(o, n, k, 1) for o, leg in enumerate(legs) for n, k in enumerate(leg)]
+    spark.createDataFrame(parts, "p_partkey long, p_name string, p_brand string").write.parquet(f"{tmp_dir}/part.parquet")
+    spark.createDataFrame(lines, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long").write.parquet(f"{tmp_dir}/lineitem.parquet")
+    rows = entry.queries()["path_labels"](spark, tmp_dir).collect()
+    want = {(1, 2, "1:a -> 3:??? -> 5:e -> 2:b"), (1, 4, "1:a -> 999:??? -> 4:d")}
+    assert {tuple(r) for r in rows} == want
+    con = duckdb.connect()
+    for t in ("part", "lineitem"):
+        con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_dir}/{t}.parquet/*.parquet')")
+    assert set(con.sql(entry.oracle_sql()["path_labels"]).fetchall()) == want
