@@ -9,6 +9,12 @@ swap forever (one edge 10–20 alternates every round), so ``max_steps`` is part
 of the answer.  A round that changes nothing ends the loop early, which is
 exact because rounds are deterministic.
 
+Pieces of the graph that no edge joins don't vote on each other, so each is run on
+its own.  Pieces (``connected_components``) of at most ``PIECE_VOTES`` vote edges
+are shuffled together once, in bundles of about ``BUNDLE_VOTES`` vote edges, and a
+task runs all rounds of a bundle; the cost doesn't grow with the number of rounds
+that Spark has to plan.  Larger pieces are voted on in rounds over tables:
+
 Plan per round: labels ⋈ directed vote edges on the sender (hub senders split
 out and broadcast) → partial/final count by (receiver, label) → max of
 (votes, -label) per receiver → left join to the previous labels.
@@ -21,16 +27,24 @@ are dropped at the scan, before any shuffle.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import replace
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..session import bucketed_table, cut_lineage, drop_table
+from ..session import bucketed_table, cut_lineage, drop_table, materialize
+from .components import connected_components
 from .graph import Graph, all_vertex_ids
-from .skew import NOTHING_HOT, bucket_senders, fits_broadcast, join_vertex_values
+from .skew import NOTHING_HOT, bucket_senders, find_hot_keys, fits_broadcast, join_vertex_values
 
 MAX_STEPS = 100
+#: Pieces of more vote edges than this are voted on in rounds over tables.
+PIECE_VOTES = 100_000
+#: Vote edges of the smaller pieces that one task holds at a time, about.
+BUNDLE_VOTES = 200_000
 #: Rounds are restricted to the receivers of changed senders from this share of changed labels down.
 CHANGED_SHARE = 0.25
 
@@ -44,9 +58,84 @@ def voted_again(edges: DataFrame, labels: DataFrame) -> DataFrame:
     return edges.join(F.broadcast(changed), "sender", "left_semi").select("receiver").distinct()
 
 
-def label_propagation(graph: Graph, max_steps: int = MAX_STEPS, vote_rows: list[int] | None = None) -> DataFrame:
+def vote_edges(edges: DataFrame) -> DataFrame:
+    """``sender, receiver, mult``: every edge votes both ways, parallel ones together; an end without id has no vote."""
+    return (
+        edges.select(F.col("src").alias("sender"), F.col("dst").alias("receiver"))
+        .union(edges.select(F.col("dst").alias("sender"), F.col("src").alias("receiver")))
+        .filter(F.col("sender").isNotNull() & F.col("receiver").isNotNull())
+        .groupBy("sender", "receiver").agg(F.count(F.lit(1)).alias("mult"))
+    )
+
+
+def label_propagation(graph: Graph, max_steps: int = MAX_STEPS, vote_rows: list[int] | None = None,
+                      piece_votes: int = PIECE_VOTES) -> DataFrame:
     """``id, label`` for every vertex (ghosts included).
 
+    Pieces of at most ``piece_votes`` vote edges run inside tasks, the others by
+    ``_rounds``.  ``vote_rows``, if given, gets the number of vote edges of each
+    round over tables; then every piece is run so.
+    """
+    edges = materialize(graph.edges.select("src", "dst"), "lpa-edges")
+    graph = Graph(graph.vertices.select("id"), edges)
+    ids = materialize(all_vertex_ids(graph), "lpa-ids")
+    votes = materialize(vote_edges(edges), "lpa-votes")
+    if vote_rows is not None:
+        return _rounds(ids, votes, max_steps, vote_rows)
+    n_votes = votes.count()
+    hot = find_hot_keys(votes.groupBy(F.col("sender").alias("id")).agg(F.count(F.lit(1)).alias("degree")), n_votes)
+    pieces = connected_components(graph).filter(F.col("id").isNotNull())
+    placed = materialize(join_vertex_values(votes, "sender", pieces, hot), "lpa-pieces")
+    sizes = placed.groupBy("component").agg(F.count(F.lit(1)).alias("n"))
+    # at most n_votes / piece_votes rows
+    large = materialize(sizes.filter(F.col("n") > piece_votes).select("component"), "lpa-large")
+    whole = placed.join(F.broadcast(large), "component", "left_anti")
+    bundles = n_votes // BUNDLE_VOTES + 1
+    voted = (whole.withColumn("bundle", F.pmod(F.xxhash64("component"), F.lit(bundles)))
+             .select("bundle", "sender", "receiver", "mult")
+             .groupBy("bundle").applyInPandas(_bundle_rounds(max_steps), "id long, label long"))
+    if large.count():
+        rest = materialize(placed.join(F.broadcast(large), "component", "left_semi").drop("component"), "lpa-rest")
+        members = rest.select(F.col("sender").alias("id")).distinct()
+        voted = voted.unionByName(_rounds(members, rest, max_steps))
+    # who has no neighbour keeps its label
+    return materialize(ids.join(voted, "id", "left").select("id", F.coalesce("label", "id").alias("label")), "lpa-labels")
+
+
+def _bundle_rounds(max_steps: int) -> Callable[[pd.DataFrame], pd.DataFrame]:
+    """All rounds of whole pieces: ``sender, receiver, mult`` → ``id, label``."""
+
+    def starts(keys: np.ndarray) -> np.ndarray:  # where each run of equal keys begins
+        return np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+
+    def run(votes: pd.DataFrame) -> pd.DataFrame:
+        votes = votes.sort_values("receiver")
+        mult = votes["mult"].to_numpy()
+        ids, receiver = np.unique(votes["receiver"].to_numpy(), return_inverse=True)  # every vertex receives votes
+        sender = np.searchsorted(ids, votes["sender"].to_numpy())
+        label = np.arange(len(ids))  # numbered in the order of the ids, so that the smallest is the smallest id
+        prev = prev2 = None
+        for step in range(1, max_steps + 1):
+            key = receiver * len(ids) + label[sender]
+            order = np.argsort(key, kind="stable")
+            at = starts(key[order])
+            to, candidate = np.divmod(key[order][at], len(ids))
+            tally = np.add.reduceat(mult[order], at)
+            first = starts(to)
+            most = np.maximum.reduceat(tally, first)
+            won = np.flatnonzero(tally == most[to])  # by receiver, then label: the first one is the smallest
+            prev2, prev, label = prev, label, candidate[won[starts(to[won])]]
+            if prev2 is not None and np.array_equal(label, prev2):  # a fixed point, or period two from here on
+                label = prev if (max_steps - step) % 2 else label
+                break
+        return pd.DataFrame({"id": ids, "label": ids[label]})
+
+    return run
+
+
+def _rounds(ids: DataFrame, votes: DataFrame, max_steps: int, vote_rows: list[int] | None = None) -> DataFrame:
+    """``id, label`` of the vertices ``ids`` by rounds over tables of vote edges (``sender, receiver, mult``).
+
     Every round is written under the reliable checkpoint folder (labels are
     broadcast to the vote edges when their size — checked from the vertex count —
     is under the broadcast threshold; otherwise both are tables bucketed on the
@@ -58,19 +147,12 @@ def label_propagation(graph: Graph, max_steps: int = MAX_STEPS, vote_rows: list[
 
     The receivers to vote on again are broadcast to the vote edges where their
     number is under the broadcast threshold; beyond it a round votes on all.
-    ``vote_rows``, if given, gets the number of vote edges of each round.
     """
-    spark = graph.edges.sparkSession
+    spark = votes.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ids = cut_lineage(all_vertex_ids(graph))
+    ids = cut_lineage(ids)
     n_vertices = ids.count()
     small = fits_broadcast(spark, n_vertices)
-    e = graph.edges.select("src", "dst")
-    votes = (
-        e.select(F.col("src").alias("sender"), F.col("dst").alias("receiver"))
-        .union(e.select(F.col("dst").alias("sender"), F.col("src").alias("receiver")))
-        .groupBy("sender", "receiver").agg(F.count(F.lit(1)).alias("mult"))
-    )
     if small:
         # labels fit the broadcast threshold (checked): each round broadcasts them to the vote edges
         votes_edges = cut_lineage(votes)
