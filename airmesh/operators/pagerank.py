@@ -5,7 +5,13 @@ over the directed multigraph (parallel edges weigh separately, dangling mass
 is not redistributed), iterated from ``r = 1`` until the largest change of
 any vertex is below ``tol``; the final ranks are rescaled to sum to |V|.
 
-Plan per round: parallel edges are collapsed once into ``(src, dst, w)``;
+Ranks that are too many to broadcast as rows are kept as arrays: vertices are dealt
+into blocks of about ``BLOCK`` by a hash, edges into cells of (source block,
+destination block), both written once as packed numbers.  A round sends each cell
+the ranks of its source block, sums its contributions by destination where the
+cell lies and shuffles the sums alone, packed, to their blocks.
+
+Plan per round on rows: parallel edges are collapsed once into ``(src, dst, w)``;
 ranks ⋈ weighted edges on the source (hub sources split out and broadcast,
 see ``skew``) → partial/final aggregation by destination → left join back to
 the vertex list.  The new rank table carries the previous rank so the
@@ -14,17 +20,24 @@ convergence test is one aggregate over the checkpointed table.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import bucketed_table, cut_lineage, drop_table
+from ..session import bucketed_table, cut_lineage, drop_table, materialize
 from .graph import Graph, all_vertex_ids
-from .skew import NOTHING_HOT, bucket_senders, fits_broadcast, join_vertex_values
+from .skew import NOTHING_HOT, find_hot_keys, fits_broadcast, join_vertex_values
 
 # --- fixed value: reset probability of the workload ---
 RESET_PROB = 0.15
 # --- end fixed value ---
 MAX_ITER = 1000
+#: Vertices of a block and edges of a cell's part, about, when ranks are kept as arrays.
+BLOCK = 50_000
+CELL_EDGES = 250_000
 
 
 def weighted_out_edges(edges: DataFrame) -> DataFrame:
@@ -41,56 +54,151 @@ def pagerank(graph: Graph, tol: float | None = 1e-5, max_iter: int | None = None
     Stops when ``max |Δr| < tol`` or after ``max_iter`` rounds (at least one
     must be given; with both, whichever comes first).
 
-    Every round is written under the reliable checkpoint folder and carries the
-    previous rank: lineage is one round deep (an executor loss re-runs one
-    round) and the convergence test is a scan.  The edge table never moves per
-    round: when the rank table is under the broadcast threshold (size checked
-    from the vertex count) it is broadcast to the edges; otherwise edges are a
-    table bucketed on the source and each round's ranks a table bucketed on the
-    id, so the join reads both sides in place.
+    Every round is written under the reliable checkpoint folder: lineage is one
+    round deep (an executor loss re-runs one round) and the convergence test is a
+    scan.  The edges never move per round: when the rank table is under the
+    broadcast threshold (size checked from the vertex count) it is broadcast to
+    the edges; otherwise ranks and edges are packed (``_packed``).
     """
     if tol is None and max_iter is None:
         raise ValueError("give tol, max_iter or both")
     limit = max_iter if max_iter is not None else MAX_ITER
     spark = graph.edges.sparkSession
-    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     ids = cut_lineage(all_vertex_ids(graph))
     n_vertices = ids.count()
-    small = fits_broadcast(spark, n_vertices)
-    if small:
-        # ranks fit the broadcast threshold (checked): each round broadcasts them to the edges
-        w_edges = cut_lineage(weighted_out_edges(graph.edges))
-        keep = lambda df: cut_lineage(df, eager=tol is None)
-    else:
-        # edges bucketed on src once (hot senders' apart, in even parts); every round's ranks bucketed on id
-        # the same way, so the contribution join reads both sides in place — edges are never shuffled again
-        w_edges = bucket_senders(weighted_out_edges(graph.edges), "src", parts, "pr_edges")
-        keep = lambda df: bucketed_table(df, "id", parts, "pr_ranks")
-    ranks = keep(ids.select("id", F.lit(1.0).alias("rank"), F.lit(1.0).alias("prev")))
+    rows = fits_broadcast(spark, n_vertices)
+    # ranks that fit the broadcast threshold as rows (checked): each round broadcasts them to the edges
+    ranks, following, unpacked = _in_rows(graph, ids, tol, reset) if rows else _packed(graph, ids, n_vertices, reset)
     for _ in range(limit):
-        contrib = (
-            (join_vertex_values(w_edges, "src", ranks.select("id", "rank"), NOTHING_HOT, broadcast_values=True) if small
-             else w_edges.with_values(ranks.select("id", "rank")))
-            .groupBy(F.col("dst").alias("id"))
-            .agg(F.sum(F.col("rank") * F.col("w")).alias("s"))
-        )
-        new = ranks.select("id", F.col("rank").alias("prev")).join(contrib, "id", "left").select(
-            "id", (F.lit(reset) + F.lit(1.0 - reset) * F.coalesce(F.col("s"), F.lit(0.0))).alias("rank"), "prev")
-        previous, ranks = ranks, keep(new)
-        if not small:
-            drop_table(previous)
+        ranks = following(ranks)
         if tol is not None:
-            delta = ranks.agg(F.max(F.abs(F.col("rank") - F.col("prev")))).first()[0]
+            delta = ranks.agg(F.max("delta")).first()[0]
             if delta is None or delta < tol:
                 break
     else:
         if max_iter is None:
             raise RuntimeError(f"PageRank did not converge to {tol} in {limit} rounds")
+    ranks = unpacked(ranks)
     total = ranks.agg(F.sum("rank")).first()[0]
     scale = n_vertices / total if total else 1.0
     return ranks.select("id", (F.col("rank") * F.lit(scale)).alias("rank"))
 
 
+Rounds = tuple[DataFrame, Callable[[DataFrame], DataFrame], Callable[[DataFrame], DataFrame]]
+
+
+def _in_rows(graph: Graph, ids: DataFrame, tol: float | None, reset: float) -> Rounds:
+    """First ranks, a round and the result as rows ``id, rank, delta``; the ranks are broadcast."""
+    w_edges = cut_lineage(weighted_out_edges(graph.edges))
+
+    def keep(df: DataFrame) -> DataFrame:
+        return cut_lineage(df, eager=tol is None)
+
+    def following(ranks: DataFrame) -> DataFrame:
+        contrib = (
+            join_vertex_values(w_edges, "src", ranks.select("id", "rank"), NOTHING_HOT, broadcast_values=True)
+            .groupBy(F.col("dst").alias("id"))
+            .agg(F.sum(F.col("rank") * F.col("w")).alias("s"))
+        )
+        new = F.lit(reset) + F.lit(1.0 - reset) * F.coalesce(F.col("s"), F.lit(0.0))
+        return keep(ranks.select("id", F.col("rank").alias("prev")).join(contrib, "id", "left").select(
+            "id", new.alias("rank"), F.abs(new - F.col("prev")).alias("delta")))
+
+    return keep(ids.select("id", F.lit(1.0).alias("rank"), F.lit(0.0).alias("delta"))), following, lambda ranks: ranks
+
+
+def _packed(graph: Graph, ids: DataFrame, n_vertices: int, reset: float) -> Rounds:
+    """First ranks, a round and the result as blocks ``block, rank (packed doubles), delta``.
+
+    Where the packed ranks fit the broadcast threshold they are broadcast to the
+    cells; beyond it cells and ranks are tables bucketed on the source block.
+    """
+    spark = ids.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    edges = materialize(weighted_out_edges(graph.edges), "pr-edges")
+    n_edges = edges.count()
+    # no more blocks than edges a vertex: then the ranks sent to all cells of a block are no more numbers than edges
+    blocks = min(n_vertices // BLOCK, n_edges // max(1, n_vertices)) + 1
+    pack, ones, sums, added, unpacked = _array_steps(reset)
+    places = materialize(
+        ids.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
+        .withColumn("pos", F.row_number().over(Window.partitionBy("block").orderBy("id")) - 1), "pr-places")
+
+    def placed(rows: DataFrame, key: str, block: str, pos: str) -> DataFrame:
+        hot = find_hot_keys(rows.groupBy(F.col(key).alias("id")).agg(F.count(F.lit(1)).alias("degree")), n_edges)
+        values = places.select("id", F.col("block").alias(block), F.col("pos").alias(pos))
+        return join_vertex_values(rows, key, values, hot).drop(key)
+
+    # a vertex has at most BLOCK edges in a cell, so cells of blocks dealt by a hash are about even
+    part = F.pmod(F.xxhash64("src", "dst"), F.lit(n_edges // (CELL_EDGES * blocks * blocks) + 1)).cast("int")
+    dealt = placed(placed(edges.withColumn("part", part), "src", "sb", "sp"), "dst", "db", "dp")
+    cells = dealt.groupBy("sb", "db", "part").applyInPandas(
+        pack, "sb int, db int, part int, source binary, w binary, target binary, at binary")
+    broadcast = fits_broadcast(spark, n_vertices, 8)
+    cells = materialize(cells.repartition(parts), "pr-cells") if broadcast else bucketed_table(cells, "sb", parts, "pr_cells")
+
+    def keep(df: DataFrame) -> DataFrame:
+        return materialize(df, "pr-ranks") if broadcast else bucketed_table(df, "block", parts, "pr_ranks")
+
+    def following(ranks: DataFrame) -> DataFrame:
+        sources = ranks.select(F.col("block").alias("sb"), "rank")
+        sent = cells.join(F.broadcast(sources) if broadcast else sources, "sb").select(
+            "sb", "db", "part", "source", "w", "target", "at", "rank").mapInPandas(
+            sums, "block int, sb int, part int, target binary, value binary")
+        before = ranks.select("block", F.lit(-1).alias("sb"), F.lit(-1).alias("part"), F.lit(None).cast("binary").alias("target"),
+                              F.col("rank").alias("value"))
+        new = keep(before.unionByName(sent).groupBy("block").applyInPandas(added, "block int, rank binary, delta double"))
+        if not broadcast:
+            drop_table(ranks)
+        return new
+
+    first = places.groupBy("block").agg(F.count(F.lit(1)).alias("n")).mapInPandas(ones, "block int, rank binary, delta double")
+    return keep(first), following, lambda ranks: materialize(
+        places.join(ranks.mapInPandas(unpacked, "block int, pos int, rank double"), ["block", "pos"]).select("id", "rank"), "pr-result")
+
+
+def _array_steps(reset: float) -> tuple[Callable, ...]:
+    """What tasks do with packed numbers; functions of this scope, so that workers need no module of this package."""
+
+    def pack(cell: pd.DataFrame) -> pd.DataFrame:
+        """A cell's edges by destination: source places, weights, distinct destinations and where each one's edges begin."""
+        cell = cell.sort_values(["dp", "sp"])
+        target, at = np.unique(cell["dp"].to_numpy(np.int32), return_index=True)
+        out = cell[["sb", "db", "part"]].head(1)
+        return out.assign(source=cell["sp"].to_numpy(np.int32).tobytes(), w=cell["w"].to_numpy(np.float64).tobytes(),
+                          target=target.tobytes(), at=at.astype(np.int32).tobytes())
+
+    def ones(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            yield pd.DataFrame({"block": b["block"], "rank": [np.ones(n).tobytes() for n in b["n"]], "delta": 0.0})
+
+    def sums(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """The sum of rank times weight of each destination of a cell."""
+        for b in batches:
+            for r in b.itertuples(index=False):
+                sent = np.frombuffer(r.rank)[np.frombuffer(r.source, np.int32)] * np.frombuffer(r.w)
+                value = np.add.reduceat(sent, np.frombuffer(r.at, np.int32))
+                yield pd.DataFrame({"block": [r.db], "sb": [r.sb], "part": [r.part], "target": [r.target], "value": [value.tobytes()]})
+
+    def added(rows: pd.DataFrame) -> pd.DataFrame:
+        """A block's new ranks from those before (part -1) and the cells' sums, always added in the same order."""
+        rows = rows.sort_values(["sb", "part"])
+        before = np.frombuffer(rows["value"].iloc[0])
+        total = np.zeros(len(before))
+        for target, value in zip(rows["target"].iloc[1:], rows["value"].iloc[1:]):
+            total[np.frombuffer(target, np.int32)] += np.frombuffer(value)
+        new = reset + (1.0 - reset) * total
+        return pd.DataFrame({"block": rows["block"].iloc[:1], "rank": [new.tobytes()], "delta": [np.abs(new - before).max()]})
+
+    def unpacked(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for block, packed in zip(b["block"], b["rank"]):
+                rank = np.frombuffer(packed)
+                yield pd.DataFrame({"block": block, "pos": np.arange(len(rank)), "rank": rank})
+
+    return pack, ones, sums, added, unpacked
+
+
 def pagerank_top(ranks: DataFrame, vertices: DataFrame, k: int = 10) -> DataFrame:
     """Top-k declared vertices by rank with 1-based position (ties → smaller id).
 
