@@ -55,7 +55,8 @@ WALKS = 8
 SAMPLES = 6
 BITS = 4
 BLOCK_ITEMS = 20_000
-CACHE_WORDS = 1_000_000
+#: Words whose codes a Python worker keeps; it keeps them through the stages that follow.
+CACHE_WORDS = 50_000
 #: Numbers in the walks of the windows that are handled together.
 WINDOW_CELLS = 4_000_000
 SEED = 7
@@ -74,8 +75,9 @@ class _Codes(dict):
     def __missing__(self, raw: str) -> int:
         word = raw.strip(_MARKS)
         value = self.known.get(word, 0) if word else -1
-        if len(self) < CACHE_WORDS:
-            self[raw] = value
+        if len(self) >= CACHE_WORDS:
+            self.clear()
+        self[raw] = value
         return value
 
 

@@ -109,6 +109,13 @@ def test_clean_documents_stay(leaks, odd, empty):
     assert decontam.without_leaks(docs, benchmark.filter("item_id < 0")).count() == docs.count()
 
 
+def test_workers_keep_few_word_codes():
+    codes = decontam._Codes({"leak": 1})
+    for k in range(200_000):
+        assert codes[f"w{k}"] == 0 and codes["(leak)"] == 1 and codes["..."] == -1
+    assert len(codes) < 60_000
+
+
 # ---------------------------------------------------------------- language
 
 
