@@ -10,8 +10,9 @@ Method, over every item-sized window of every whole text, where the text lies:
 
 1. q-gram lemma: a stretch within e edits of an item has at most L + e words and
    keeps at least L - 1 - 2e of the item's word pairs; windows after whose start
-   so many words hold fewer benchmark pairs are passed over.  This drops no
-   window that could match.
+   so many words hold fewer pairs of items of that length are passed over, then
+   those that, with e words more on either side, hold fewer of any one item.
+   This drops no window that could match.
 2. CGK embedding: a random walk reads the window, at each step copying the word
    it stands on and moving on or not by a random bit of (step, word).  Equal
    words bring shifted walks together again, so few edits become few unequal
@@ -38,7 +39,6 @@ from __future__ import annotations
 
 import re
 import string
-import uuid
 from collections import defaultdict
 from collections.abc import Iterator
 from functools import reduce
@@ -55,10 +55,10 @@ WALKS = 8
 SAMPLES = 6
 BITS = 4
 BLOCK_ITEMS = 20_000
-#: Words whose codes a Python worker keeps; it keeps them through the stages that follow.
-CACHE_WORDS = 50_000
 #: Numbers in the walks of the windows that are handled together.
 WINDOW_CELLS = 4_000_000
+#: Windows whose edit distance to an item is found together.
+VERIFIED_ROWS = 64
 SEED = 7
 _MARKS = string.punctuation + "。、，．！？：；「」『』（）《》"
 #: Letters of scripts without blanks: Thai, Lao, Myanmar, Khmer, kana, Han.
@@ -66,30 +66,21 @@ _UNSPACED = re.compile("[\u0e00-\u0eff\u1000-\u109f\u1780-\u17ff\u3040-\u30ff\u3
 
 
 class _Codes(dict):
-    """Word to code: 0 for words of no item, -1 for what has no letter or digit."""
+    """Word to code: 0 for words of no item, -1 for what has no letter or digit.  It keeps no words of texts."""
 
     def __init__(self, known: dict[str, int]):
-        super().__init__()
-        self.known = known
+        super().__init__(known)
+        self[""] = -1
 
     def __missing__(self, raw: str) -> int:
-        word = raw.strip(_MARKS)
-        value = self.known.get(word, 0) if word else -1
-        if len(self) >= CACHE_WORDS:
-            self.clear()
-        self[raw] = value
-        return value
+        return self.get(raw.strip(_MARKS), 0)
 
-
-_KEPT: dict[str, _Codes] = {}
-
-
-def _codes(index: ItemIndex) -> _Codes:
-    """One cache for all tasks of a Python worker that read the same index."""
-    if index.key not in _KEPT:
-        _KEPT.clear()
-        _KEPT[index.key] = _Codes(index.codes)
-    return _KEPT[index.key]
+    def of_text(self, text: str | None) -> np.ndarray:
+        """The codes of a text's words, without those of marks alone."""
+        get, raw = self.get, raw_words(text)
+        # a word of letters and digits has no marks to strip
+        codes = np.fromiter([get(w) or (0 if w.isalnum() else get(w.strip(_MARKS), 0)) for w in raw], np.int64, len(raw))
+        return codes if codes.size and codes.min() >= 0 else codes[codes >= 0]
 
 
 def raw_words(text: str | None) -> list[str]:
@@ -108,16 +99,31 @@ def edits_allowed(length: int) -> int:
     return int(MOST_EDITS * length)
 
 
-def edit_distance_within(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
-    """Least edits between the item and any stretch of the text, and where that stretch ends."""
-    places = np.arange(len(text) + 1)
-    row = np.zeros(len(text) + 1, np.int64)
+def edit_distances_within(item: np.ndarray, texts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For each row of words, least edits between the item and any stretch of the row, and where that stretch ends."""
+    places = np.arange(texts.shape[1] + 1)
+    rows = np.zeros((len(texts), len(places)), np.int64)
     for i, word in enumerate(item.tolist(), 1):
-        new = np.minimum(row[:-1] + (text != word), row[1:] + 1)
+        new = np.full_like(rows, i)
+        np.minimum(rows[:, :-1] + (texts != word), rows[:, 1:] + 1, out=new[:, 1:])
         # inserts: each place may come from any before it, a step each
-        row = np.minimum.accumulate(np.concatenate(([i], new)) - places) + places
-    end = int(np.argmin(row))
-    return int(row[end]), end
+        rows = np.minimum.accumulate(new - places, 1) + places
+    ends = rows.argmin(1)
+    return rows[np.arange(len(rows)), ends], ends
+
+
+def dense_starts(places: np.ndarray, least: int, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """Where stretches of ``width`` that hold ``least`` of the sorted places start: from, up to; both sorted, maybe overlapping."""
+    if len(places) < least:
+        return places[:0], places[:0]
+    low, high = places[least - 1:] - width + 1, places[:len(places) - least + 1]
+    some = low <= high
+    return low[some], high[some]
+
+
+def spans(firsts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """``counts`` numbers from each of ``firsts`` on, one span after the other."""
+    return np.repeat(firsts - (np.cumsum(counts) - counts), counts) + np.arange(counts.sum())
 
 
 def walks(windows: np.ndarray) -> np.ndarray:
@@ -154,13 +160,13 @@ class ItemIndex:
     """Benchmark items by length: their words' codes, their word pairs and their tables."""
 
     def __init__(self, items: list[tuple[int, str]]):
-        self.key = uuid.uuid4().hex
-        self.codes: dict[str, int] = {}
+        codes: dict[str, int] = {}
         self.items: list[tuple[int, np.ndarray]] = []
         for item_id, text in items:
             words = words_of(text)
             if words:
-                self.items.append((item_id, np.array([self.codes.setdefault(w, len(self.codes) + 1) for w in words], np.int64)))
+                self.items.append((item_id, np.array([codes.setdefault(w, len(codes) + 1) for w in words], np.int64)))
+        self.codes = _Codes(codes)
         by_length = defaultdict(list)
         self.single: dict[int, list[int]] = defaultdict(list)
         for n, (_, words) in enumerate(self.items):
@@ -178,6 +184,7 @@ class ItemIndex:
                 bits[pair] |= 1 << (len(words) % 64)
         self.pairs = np.array(sorted(bits), np.int64)
         self.pair_lengths = np.array([bits[p] for p in sorted(bits)], np.uint64)
+        self.holders = {length: self._holders_of(own) for length, own in by_length.items()}
         self.tables, self.places = {}, {}
         for length, own in sorted(by_length.items()):
             self.tables[length], self.places[length] = [], sampled_places(length)
@@ -187,34 +194,77 @@ class ItemIndex:
                     table[key].append(n)
                 self.tables[length].append(dict(table))
 
+    def _holders_of(self, numbers: list[int]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Of these items, all of one length: (pair, item that holds it, how often) sorted by pair; where each of ``pairs`` starts there."""
+        rows = []
+        for n in numbers:
+            words = self.items[n][1]
+            own, times = np.unique(np.searchsorted(self.pairs, words[:-1] << 32 | words[1:]), return_counts=True)
+            rows.append(np.stack((own, np.full(len(own), n), times)))
+        pairs, items, times = np.concatenate(rows, 1)
+        order = np.argsort(pairs, kind="stable")
+        pairs, firsts = np.unique(pairs[order], return_index=True)
+        return pairs, np.append(firsts, len(order)), items[order], times[order]
+
     def matches(self, codes: np.ndarray) -> dict[int, tuple[int, int]]:
         """Item number to (edits, first word) of its best match in a text's codes."""
         found = self._words_held(codes)
         if len(codes) < 2 or not len(self.pairs):
             return found
-        pairs = codes[:-1] << 32 | codes[1:]
         known = np.flatnonzero((codes[:-1] > 0) & (codes[1:] > 0))
-        which = np.minimum(np.searchsorted(self.pairs, pairs[known]), len(self.pairs) - 1)
-        hit = self.pairs[which] == pairs[known]
+        pairs = codes[known] << 32 | codes[known + 1]
+        which = np.minimum(np.searchsorted(self.pairs, pairs), len(self.pairs) - 1)
+        hit = self.pairs[which] == pairs
         known, which = known[hit], which[hit]
         if len(known) < self.least.min():
             return found
         bits, shifts = self.pair_lengths[which], (self.lengths % 64).astype(np.uint64)
         step = max(1, WINDOW_CELLS // len(shifts))
         held = sum(((bits[at:at + step, None] >> shifts[None]) & np.uint64(1)).sum(0) for at in range(0, len(bits), step))
-        tried: set[tuple[int, int]] = set()
         for k in np.flatnonzero(held >= self.least).tolist():
             length, least = int(self.lengths[k]), int(self.least[k])
             edits = edits_allowed(length)
-            own = known[(bits >> shifts[k]) & np.uint64(1) == 1]
-            # a text shorter than the item is one window, filled up with words of no item
-            starts = np.arange(max(1, len(codes) - length + edits + 1))
-            starts = starts[np.searchsorted(own, starts + length + edits - 1) - np.searchsorted(own, starts) >= least]
+            own = (bits >> shifts[k]) & np.uint64(1) == 1
+            starts, likely = self._starts(known[own], which[own], length, least, len(codes))
             step = max(1, WINDOW_CELLS // length)
             for at in range(0, len(starts), step):
-                self._read_windows(codes, starts[at:at + step], length, edits, tried, found)
+                self._read_windows(codes, starts[at:at + step], length, edits, likely, found)
         return found
 
+    def _starts(self, at: np.ndarray, which: np.ndarray, length: int, least: int, words: int) -> tuple[np.ndarray, set[int]]:
+        """Starts of windows of a text that may match items of ``length``, and those items, from the places of their pairs."""
+        edits = edits_allowed(length)
+        low, high = dense_starts(at, least, length + edits - 1)
+        # a text shorter than the item is one window, filled up with words of no item
+        high = np.minimum(high, max(0, words - length + edits))
+        low = np.maximum(low, np.concatenate(([0], high[:-1] + 1)))
+        starts = spans(low, np.maximum(high - low + 1, 0))
+        if not len(starts):
+            return starts, set()
+        near = np.searchsorted(starts, at + edits, "right") > np.searchsorted(starts, at - length - edits + 1, "right")
+        at, which = at[near], which[near]
+        may, likely = np.zeros(len(starts), bool), set()
+        for n, pairs in self._likely(which, length, least):
+            low, high = dense_starts(at[np.isin(which, pairs)], least, length + 2 * edits - 1)
+            if len(low):
+                likely.add(n)
+                may |= np.searchsorted(low, starts - edits, "right") > np.searchsorted(high, starts - edits)
+        return starts[may], likely
+
+    def _likely(self, which: np.ndarray, length: int, least: int) -> Iterator[tuple[int, np.ndarray]]:
+        """Items of ``length`` with ``least`` of their pairs among ``which``, and those pairs."""
+        pairs, firsts, items, times = self.holders[length]
+        seen, often = np.unique(which, return_counts=True)
+        row = np.minimum(np.searchsorted(pairs, seen), len(pairs) - 1)
+        own = pairs[row] == seen  # others are of lengths with the same bit
+        row, seen, often = row[own], seen[own], often[own]
+        counts = firsts[row + 1] - firsts[row]
+        rows, seen, often = spans(firsts[row], counts), np.repeat(seen, counts), np.repeat(often, counts)
+        numbers, place = np.unique(items[rows], return_inverse=True)
+        held = np.bincount(place, np.minimum(often, times[rows]), len(numbers))
+        for m in np.flatnonzero(held >= least).tolist():
+            yield int(numbers[m]), seen[place == m]
+
     def _words_held(self, codes: np.ndarray) -> dict[int, tuple[int, int]]:
         """Items of one word in a text's codes."""
         found: dict[int, tuple[int, int]] = {}
@@ -225,7 +275,7 @@ class ItemIndex:
         return found
 
     def _read_windows(self, codes: np.ndarray, starts: np.ndarray, length: int, edits: int,
-                      tried: set[tuple[int, int]], found: dict[int, tuple[int, int]]) -> None:
+                      likely: set[int], found: dict[int, tuple[int, int]]) -> None:
         """Add the matches of items of ``length`` words at the windows from ``starts`` to ``found``."""
         at = starts[:, None] + np.arange(length)[None]
         windows = np.where(at < len(codes), codes[np.minimum(at, len(codes) - 1)], 0)
@@ -233,21 +283,32 @@ class ItemIndex:
         windows, first_of = np.unique(windows, axis=0, return_index=True)
         starts, step = starts[first_of], max(1, WINDOW_CELLS // (WALKS * 2 * length))
         for at in range(0, len(starts), step):
-            self._look_up(codes, windows[at:at + step], starts[at:at + step], edits, tried, found)
+            self._look_up(codes, windows[at:at + step], starts[at:at + step], edits, likely, found)
 
     def _look_up(self, codes: np.ndarray, windows: np.ndarray, starts: np.ndarray, edits: int,
-                 tried: set[tuple[int, int]], found: dict[int, tuple[int, int]]) -> None:
+                 likely: set[int], found: dict[int, tuple[int, int]]) -> None:
         length = windows.shape[1]
+        candidates: dict[int, dict[int, None]] = defaultdict(dict)
         for table, keys in zip(self.tables[length], table_keys(windows, self.places[length]), strict=True):
             for start, key in zip(starts.tolist(), keys, strict=True):
                 for n in table.get(key, ()):
-                    # a stretch without an edit can't be bettered
-                    if (n, start) not in tried and found.get(n, (1, 0))[0]:
-                        tried.add((n, start))
-                        first = max(0, start - edits)
-                        distance, end = edit_distance_within(self.items[n][1], codes[first:start + length + edits])
-                        if distance <= edits and (n not in found or distance < found[n][0]):
-                            found[n] = distance, max(first, first + end - length)
+                    if n in likely:
+                        candidates[n][start] = None
+        # beyond either end of the text stand words of no item: to replace one is to delete one of the item's
+        around = np.arange(-edits, length + edits)
+        for n, own in candidates.items():
+            own = np.array(list(own))
+            for k in range(0, len(own), VERIFIED_ROWS):
+                # a stretch without an edit can't be bettered
+                if not found.get(n, (1, 0))[0]:
+                    break
+                at = own[k:k + VERIFIED_ROWS, None] + around
+                texts = np.where((at >= 0) & (at < len(codes)), codes[np.clip(at, 0, len(codes) - 1)], 0)
+                distances, ends = edit_distances_within(self.items[n][1], texts)
+                best = int(distances.argmin())
+                distance, end = int(distances[best]), int(ends[best] + at[best, 0])
+                if distance <= edits and (n not in found or distance < found[n][0]):
+                    found[n] = distance, max(0, int(at[best, 0]), end - length)
 
 
 def _block_matches(docs: DataFrame, items: list[tuple[int, str]]) -> DataFrame:
@@ -256,11 +317,9 @@ def _block_matches(docs: DataFrame, items: list[tuple[int, str]]) -> DataFrame:
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = index.value
-        codes, out = _codes(own), RowBuffer(schema)
+        out = RowBuffer(schema)
         for doc_id, text in texts_of(batches, "doc_id", "text"):
-            raw = raw_words(text)
-            got = np.fromiter(map(codes.__getitem__, raw), np.int64, len(raw))
-            for n, (edits, first) in sorted(own.matches(got if got.size and got.min() >= 0 else got[got >= 0]).items()):
+            for n, (edits, first) in sorted(own.matches(own.codes.of_text(text)).items()):
                 out.add(doc_id, own.items[n][0], edits, len(own.items[n][1]), first)
             yield from out.full()
         yield from out.rest()
@@ -292,13 +351,8 @@ def _block_clean(docs: DataFrame, items: list[tuple[int, str]]) -> DataFrame:
 
     def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = index.value
-        codes = _codes(own)
         for batch in batches:
-            clean = []
-            for (text,) in texts_of([batch], "text"):
-                raw = raw_words(text)
-                got = np.fromiter(map(codes.__getitem__, raw), np.int64, len(raw))
-                clean.append(not own.matches(got if got.size and got.min() >= 0 else got[got >= 0]))
+            clean = [not own.matches(own.codes.of_text(text)) for (text,) in texts_of([batch], "text")]
             yield batch.filter(pa.array(clean, pa.bool_()))
 
     return map_rows(docs, keep, docs.schema)

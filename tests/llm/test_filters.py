@@ -98,6 +98,30 @@ def test_windows_in_blocks_find_the_same(monkeypatch):
     assert {n: m[0] for n, m in parts.items()} == {n: m[0] for n, m in whole.items()} and len(whole) >= 30
 
 
+def test_windows_that_hold_no_item_are_not_walked(monkeypatch):
+    """Pieces of many items of one length: any window holds many of their word pairs, but few of any one item."""
+    rnd = random.Random(4)
+    items = [(n, " ".join(f"w{n}x{k}" for k in range(20))) for n in range(30)]
+    pieces = [" ".join(items[rnd.randrange(30)][1].split()[4:9]) for _ in range(60)]
+    index = decontam.ItemIndex(items)
+    walked, walks = [], decontam.walks
+    monkeypatch.setattr(decontam, "walks", lambda windows: walked.append(len(windows)) or walks(windows))
+    matches = lambda text: index.matches(np.array([index.codes.get(w, 0) for w in text.split()], np.int64))
+    assert matches(" ".join(pieces)) == {} and not walked
+    edited = items[3][1].replace("w3x7", "new").replace("w3x12", "other")
+    assert matches(" ".join([*pieces, edited, *pieces])) == {3: (2, 300)}
+    assert 0 < sum(walked) < 60
+
+
+def test_distances_of_many_windows():
+    rnd = np.random.default_rng(6)
+    for _ in range(50):
+        item, texts = rnd.integers(1, 5, rnd.integers(1, 12)), rnd.integers(0, 5, (7, rnd.integers(1, 20)))
+        distances, ends = decontam.edit_distances_within(item, texts)
+        for text, distance, end in zip(texts.tolist(), distances.tolist(), ends.tolist(), strict=True):
+            assert holds(item.tolist(), text[:end], distance) and not holds(item.tolist(), text, distance - 1)
+
+
 def test_clean_documents_stay(leaks, odd, empty):
     docs, benchmark, _ = leaks
     hit = {r.doc_id for r in decontam.find_leaks(docs, benchmark).collect()}
