@@ -15,3 +15,8 @@ def _c(x) -> Column:
 def path_text(path, sep: str = PATH_SEPARATOR) -> Column:
     """``[1, 2, 3]`` → ``'1 -> 2 -> 3'``."""
     return F.array_join(F.transform(_c(path), lambda x: x.cast("string")), sep)
+
+
+def text_path(text, sep: str = PATH_SEPARATOR) -> Column:
+    """``'1 -> 2 -> 3'`` → ``[1, 2, 3]``."""
+    return F.transform(F.split(_c(text), sep), lambda x: x.cast("bigint"))

@@ -20,12 +20,17 @@ dropped as soon as it is made.
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.paths import path_text
-from ..session import cut_lineage, materialize
+from ..functions.paths import path_text, text_path
+from ..session import discard_tables, materialize
+
+
+#: Paths that are labelled at a time.
+LABEL_ROWS = 4_000_000
 
 
 @dataclass(frozen=True)
@@ -116,8 +121,9 @@ def _best(rows: DataFrame, longest: bool) -> DataFrame:
     The aggregate keeps one candidate in each partial buffer, so a pair with
     millions of candidate paths never gathers them in one place.
     """
-    least = F.min(F.struct(*_order(longest), "km", "hops", "path")).alias("b")
-    return rows.groupBy("origin", "target").agg(least).select("origin", "target", "b.hops", "b.path", "b.km")
+    least = F.min(F.struct(*_order(longest), "hops")).alias("b")  # km and path are in what it is ordered by
+    km = -F.col("b.k") if longest else F.col("b.k")
+    return rows.groupBy("origin", "target").agg(least).select("origin", "target", "b.hops", text_path("b.t").alias("path"), km.alias("km"))
 
 
 def _in_bounds(frontier: DataFrame, hits: DataFrame, n_targets: int, longest: bool) -> DataFrame:
@@ -182,12 +188,12 @@ def _searched(edges: DataFrame, sources: DataFrame, targets: DataFrame, max_hops
 
 def _undominated(frontier: DataFrame, before: DataFrame | None) -> DataFrame:
     """The best row of each (origin, last) of ``frontier``, if better than all rows of ``before`` there."""
-    key = F.struct(*_order(longest=False), "km", "path")
+    key = F.struct(*_order(longest=False))
     rows = frontier.withColumn("new", F.lit(True))
     if before is not None:
         rows = rows.unionByName(before.select(*frontier.columns).withColumn("new", F.lit(False)))
     best = rows.groupBy("origin", "last").agg(F.min(F.when(F.col("new"), key)).alias("b"), F.min(F.when(~F.col("new"), key)).alias("old"))
-    return best.filter(F.col("b").isNotNull() & (F.col("old").isNull() | (F.col("b") < F.col("old")))).select("origin", "b.path", "last", "b.km")
+    return best.filter(F.col("b").isNotNull() & (F.col("old").isNull() | (F.col("b") < F.col("old")))).select("origin", text_path("b.t").alias("path"), "last", F.col("b.k").alias("km"))
 
 
 def request_paths(edges: DataFrame, requests: DataFrame, max_hops: int = 3, weight: str = "km") -> DataFrame:
@@ -238,21 +244,36 @@ def label_paths(paths: DataFrame, vertices: DataFrame, unknown: str = "???") ->
 
     Each path is exploded into at most ``max_hops + 1`` positions, looked up
     with a left join and re-assembled in position order, grouping by the
-    path's row (a group never holds more than one path's positions).
+    path's row (a group never holds more than one path's positions).  Other
+    columns go with the first position only.  About ``LABEL_ROWS`` paths at a
+    time are labelled and written, so that the exchanges of all don't exist at
+    once.
     """
     names = vertices.groupBy("id").agg(F.min("name").alias("name"))
     cols = paths.columns
     # equal paths stay one row each: the row number is written, so that it is the same wherever it is read
-    numbered = cut_lineage(paths.withColumn("_row", F.monotonically_increasing_id()))
-    exploded = numbered.select(*cols, "_row", F.posexplode("path").alias("_pos", "id"))
-    labelled = exploded.join(names, "id", "left").select(
-        *cols, "_row", "_pos",
-        F.concat(F.col("id").cast("string"), F.lit(":"), F.coalesce(F.col("name"), F.lit(unknown))).alias("_lab"),
-    )
-    return labelled.groupBy("_row", *cols).agg(
-        F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_pos", "_lab"))), lambda s: s["_lab"]),
-                     " -> ").alias("labels")
-    ).drop("_row")
+    numbered = materialize(paths.withColumn("_row", F.monotonically_increasing_id()), "paths")
+    n = numbered.count()
+    if n > LABEL_ROWS:
+        names = materialize(names, "names")
+    others = [c for c in cols if c != "path"]
+    slices = []
+    for k in range(rounds := max(1, -(-n // LABEL_ROWS))):
+        part = numbered if rounds == 1 else numbered.filter(F.pmod(F.xxhash64("_row"), F.lit(rounds)) == k)
+        exploded = part.select("_row", F.struct(*others).alias("_others"), F.posexplode("path").alias("_pos", "id"))
+        exploded = exploded.withColumn("_others", F.when(F.col("_pos") == 0, F.col("_others")))
+        at = F.collect_list(F.struct("_pos", "id", "name"))
+        whole = (exploded.join(names, "id", "left").groupBy("_row")
+                 .agg(F.array_sort(at).alias("_at"), F.max_by("_others", -F.col("_pos")).alias("_others")))
+        labels = F.transform("_at", lambda s: F.concat(s["id"].cast("string"), F.lit(":"), F.coalesce(s["name"], F.lit(unknown))))
+        named = {"path": F.col("_at.id")} | {c: F.col("_others").getField(c) for c in others}
+        whole = whole.select(*(named[c].alias(c) for c in cols), F.array_join(labels, " -> ").alias("labels"))
+        slices.append(whole if rounds == 1 else materialize(whole, "labels"))
+    if rounds == 1:
+        return slices[0]
+    discard_tables(numbered)
+    discard_tables(names)
+    return reduce(DataFrame.unionByName, slices)
 
 
 def itineraries(vertices: DataFrame, edges: DataFrame, src_country: str, dst_country: str,

@@ -6,7 +6,7 @@ This operator produces the same rows without that bound:
 
 1. range-partition the rows on ``(g, k...)`` and sort within partitions — a hot
    group is cut into many partitions by its order keys;
-2. the partition id is pinned by writing the rows to the checkpoint folder
+2. the partition id is pinned by writing the rows as a table
    (range bounds are sampled, so they must not be recomputed differently);
 3. ``lead`` inside each (partition, group) slice — a slice is never larger
    than one partition;
@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, materialize
 
 
 def _range_sorted(df: DataFrame, keys: list, partitions: int | None) -> DataFrame:
@@ -40,7 +40,7 @@ def lead_in_group(df: DataFrame, group: str, order: list[str], value: str, out:
     in ``order`` (null for the group's last row); rows tied on every order key
     are interchangeable, as with a window ``lead``."""
     keys = [group, *order]
-    ranged = cut_lineage(_range_sorted(df, keys, partitions).withColumn("_pid", F.spark_partition_id()))
+    ranged = materialize(_range_sorted(df, keys, partitions).withColumn("_pid", F.spark_partition_id()), "lead")
     slice_order = Window.partitionBy("_pid", group).orderBy(*order)
     # a null lead may be a null value: the last row of a slice is told by a lead of a constant
     local = ranged.withColumn(out, F.lead(value).over(slice_order)).withColumn(

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ..functions.paths import path_text
 from ..operators import graph, paths
-from ..session import cut_lineage
+from ..session import cut_lineage, discard_tables, materialize
 from ..sources import standins
 from .registry import query
 from .sqltext import AIRPORT, ALL_AIRPORTS, ROUTE, haversine, with_ctes
@@ -186,8 +186,14 @@ FROM ex LEFT JOIN airport a ON a.id = ex.vid GROUP BY ex.origin, ex.target"""))
 def q_path_labels(spark, sf_dir):
     """Shortest paths over all route pairs; ghosts on the way are labelled ``???``."""
     airports = standins.airports(spark, sf_dir)
-    edges = cut_lineage(graph.weighted_edges(standins.routes(spark, sf_dir), standins.all_airports(spark, sf_dir),
-                                             keep=(), distinct=True, unknown_km=graph.UNKNOWN_KM))
+    routes = standins.routes(spark, sf_dir)
+    pairs = materialize(graph.route_edges(routes), "route-pairs")
+    discard_tables(routes)
+    edges = materialize(graph.weighted_edges(pairs, standins.all_airports(spark, sf_dir), "src", "dst",
+                                             keep=(), unknown_km=graph.UNKNOWN_KM), "edges")
+    discard_tables(pairs)
     ends = (airports.filter(F.col("country") == c).select("id") for c in (COUNTRY_A, COUNTRY_B))
     best = paths.shortest_paths(edges, *ends, MAX_HOPS)
-    return paths.label_paths(best, airports).select("origin", "target", "labels")
+    if set(edges.inputFiles()).isdisjoint(best.inputFiles()):  # only its first hops read them, and are written
+        discard_tables(edges)
+    return paths.label_paths(best.select("origin", "target", "path"), airports).select("origin", "target", "labels")

@@ -1,6 +1,7 @@
 """Branch and bound for shortest / longest paths: same answers as enumeration, fewer rows on the way."""
 
 import random
+from pathlib import Path
 
 import duckdb
 import pytest
@@ -8,6 +9,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 from airmesh.operators import paths
+from airmesh.session import fresh_folder
 
 from .conftest import SF_SMALL
 
@@ -132,3 +134,41 @@ def test_labels_follow_the_shortest_way_of_three_hops(spark, tmp_dir):
     for t in ("part", "lineitem"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{tmp_dir}/{t}.parquet/*.parquet')")
     assert set(con.sql(entry.oracle_sql()["path_labels"]).fetchall()) == want
+
+
+def _tables(spark):
+    return {p.name for p in Path(fresh_folder(spark, "x").removeprefix("file:")).parent.glob("*")}
+
+
+def test_paths_are_labelled_a_part_at_a_time(spark, monkeypatch):
+    rnd = random.Random(4)
+    rows = [(k % 5, rnd.randrange(9), [rnd.randrange(9) for _ in range(rnd.randrange(1, 5))], "x y") for k in range(40)]
+    rows += rows[:7] + [(1, None, [3], None), (2, 2, [], "no stop"), (2, 2, None, "no path")]  # equal paths stay one row each
+    table = spark.createDataFrame(rows, "origin long, target long, path array<bigint>, `a b` string")
+    names = spark.createDataFrame([(i, None if i == 4 else f"n{i}") for i in range(7)] + [(2, "a")], "id long, name string")
+    known = {i: f"n{i}" for i in range(7) if i != 4} | {2: "a"}
+    want = sorted(str((*r, " -> ".join(f"{i}:{known.get(i, '???')}" for i in r[2]))) for r in rows if r[2])
+    for most in (1000, 10, 1):
+        monkeypatch.setattr(paths, "LABEL_ROWS", most)
+        before = _tables(spark)
+        out = paths.label_paths(table, names)
+        assert out.columns == [*table.columns, "labels"]
+        assert sorted(str(tuple(r)) for r in out.collect()) == want
+        assert {t.rsplit("-", 1)[0] for t in _tables(spark) - before} == ({"paths"} if most == 1000 else {"labels"})
+
+
+def test_labels_send_other_columns_once(spark, monkeypatch):
+    """Not with each stop: what a path's rows take on their way doesn't grow with its stops times its columns."""
+    table = spark.createDataFrame([(i, [i, i + 1, i + 2, i + 3], "x" * 50) for i in range(20)], "origin long, path array<bigint>, note string")
+    names = spark.createDataFrame([(i, "n") for i in range(30)], "id long, name string")
+    plan = paths.label_paths(table, names)._jdf.queryExecution().optimizedPlan().toString()
+    keys = [line for line in plan.splitlines() if "Aggregate [" in line and "collect_list" in line]
+    assert len(keys) == 1 and keys[0].strip().split("Aggregate [")[1].startswith("_row#") and "path" not in keys[0].split("]")[0]
+
+
+def test_path_labels_keep_no_table_of_their_way(spark):
+    before = _tables(spark)
+    out = entry.queries()["path_labels"](spark, SF_SMALL)
+    assert out.count()
+    left = {t.rsplit("-", 1)[0] for t in _tables(spark) - before}
+    assert not left & {"lead", "route-pairs", "edges"}
